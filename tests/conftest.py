@@ -1,0 +1,41 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("tests")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.checkpoint.dir", str(base / "scratch"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    """An empty database of its own; gives (name, folder)."""
+    name = f"db_{abs(hash(str(tmp_path))) % 10**10}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    yield name, str(tmp_path)
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def rows(df, *order):
+    """Rows as tuples, sorted by the given columns."""
+    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
