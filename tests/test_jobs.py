@@ -1,0 +1,146 @@
+"""The three jobs, one after the other and again."""
+
+import json
+from datetime import date
+from pathlib import Path
+
+import pytest
+
+from tests.conftest import rows
+from tillroll import __main__ as cli
+from tillroll.plans import Config, jobs, run_gold, run_reports, run_silver
+from tillroll.sinks import REPORT_TABLES
+
+DAY, NEXT = date(2024, 4, 27), date(2024, 4, 28)
+
+CUSTOMERS = """customer_id,first_name,last_name,email,country,city,registration_date
+1,Ann,A,ANN@x.com,usa,Reno,2024-01-01
+2,Bob,B,,uk,Bath,2024-01-02
+3,Cy,C,cy@x.com,uk,Bath,not a date
+"""
+PRODUCTS = """product_id,product_name,category,subcategory,price,supplier_id
+1,Smart 4K TV 55",electronics,TVs,800.00,5
+2,Novel,books,fiction,10.00,6
+3,Ghost,books,fiction,,6
+4,Lamp,home,light,word,6
+"""
+TRANSACTIONS = """transaction_id,customer_id,product_id,transaction_date,quantity,unit_price,payment_method
+1,1,1,2024-01-15 10:30:00,1,799.99,paypal
+2,1,2,2024-01-16 10:30:00,3,9.99,paypal
+3,2,2,2024-04-16 10:30:00,1,10.99,paypal
+4,2,3,2024-04-16 10:30:00,1,1.00,paypal
+5,3,2,2024-04-16 10:30:00,,1.00,paypal
+"""
+
+
+@pytest.fixture
+def cfg(spark, database):
+    db, base = database
+    raw = Path(base) / "raw"
+    raw.mkdir()
+    for name, text in (("customers", CUSTOMERS), ("products", PRODUCTS), ("transactions", TRANSACTIONS)):
+        (raw / f"{name}.csv").write_text(text)
+    yield lambda **kw: Config(**{"base_uri": base, "in_path": "raw", "out_path": "silver", "database": db, "reporting_database": f"{db}_rep", "as_of": DAY, **kw})
+    spark.sql(f"DROP DATABASE IF EXISTS {db}_rep CASCADE")
+
+
+def gold(cfg, **kw):
+    return cfg(in_path="silver", out_path="gold", **kw)
+
+
+def snapshot(spark, config):
+    """All rows of all report tables."""
+    return {t: sorted(map(str, spark.table(f"{config.reporting_database}.{t}").collect())) for t in REPORT_TABLES}
+
+
+CM = [(1, 2, 829.96, 414.98), (2, 2, 11.99, 5.995)]
+PM = [("Books", "Fiction", 4, 40.96, 10.49, 2), ("Electronics", "Tvs", 1, 799.99, 799.99, 1)]
+
+
+def read_gold(spark, config):
+    cm = spark.table(f"{config.database}.customer_metrics").drop("first_purchase", "last_purchase")
+    return rows(cm, "customer_id"), rows(spark.table(f"{config.database}.product_metrics"), "category")
+
+
+def test_the_whole_chain(spark, cfg):
+    counts = run_silver(spark, cfg())
+    assert counts == {
+        "customers": {"rows": 3, "malformed": 1},
+        "products": {"rows": 4, "malformed": 1},
+        "transactions": {"rows": 5, "malformed": 0},
+    }
+    db = cfg().database
+    assert rows(spark.table(f"{db}.customers").select("customer_id", "email", "country", "load_date"), "customer_id") == [
+        (1, "ann@x.com", "USA", DAY),
+        (3, "cy@x.com", "UK", DAY),
+    ]
+    run_gold(spark, gold(cfg))
+    assert read_gold(spark, cfg()) == (CM, PM)
+    run_reports(spark, gold(cfg))
+    reports = snapshot(spark, cfg())
+    assert [len(reports[t]) for t in REPORT_TABLES] == [2, 1, 2, 2, 1]
+    activity = spark.table(f"{db}_rep.customer_activity_analysis")
+    assert rows(activity) == [(2, 1, 1, 0, DAY)]
+
+    # the same day again changes nothing
+    run_silver(spark, cfg())
+    run_gold(spark, gold(cfg))
+    run_reports(spark, gold(cfg))
+    assert read_gold(spark, cfg()) == (CM, PM)
+    assert snapshot(spark, cfg()) == reports
+
+    # the next day adds a silver load and a report snapshot
+    run_silver(spark, cfg(as_of=NEXT))
+    run_gold(spark, gold(cfg, load_date=NEXT))
+    assert read_gold(spark, cfg()) == (CM, PM)
+    run_reports(spark, gold(cfg, as_of=NEXT))
+    dates = spark.table(f"{db}_rep.customer_segment_value").groupBy("spst_date").count()
+    assert rows(dates, "spst_date") == [(DAY, 2), (NEXT, 2)]
+
+
+def test_append_mode_adds_rows(spark, cfg):
+    for _ in range(2):
+        run_silver(spark, cfg(mode="append"))
+    assert spark.table(f"{cfg().database}.transactions").count() == 8
+
+
+@pytest.mark.parametrize("options", [{"silver_format": "csv"}, {"gold_format": "orc"}, {"infer_schema": True}])
+def test_formats_and_inference(spark, cfg, options):
+    (Path(cfg().base_uri) / "raw" / "products.csv").write_text(PRODUCTS.replace("word", ""))
+    run_silver(spark, cfg(**options))
+    run_gold(spark, gold(cfg, **options))
+    cm, pm = read_gold(spark, cfg())
+    assert (cm, pm) == (CM, PM)
+
+
+def test_products_over_the_limit_are_joined_by_salted_shuffle(spark, cfg, monkeypatch):
+    run_silver(spark, cfg())
+    plans = []
+    monkeypatch.setattr(jobs, "product_metrics", lambda tx, p, **kw: plans.append(kw) or product_metrics(tx, p, **kw))
+    product_metrics = __import__("tillroll.plans.gold", fromlist=["x"]).product_metrics
+    for limit in (10**6, 10):
+        run_gold(spark, gold(cfg, broadcast_limit_bytes=limit, product_salts=4))
+        assert read_gold(spark, cfg())[1] == PM
+    assert plans == [{"products_are_small": True, "salts": 4}, {"products_are_small": False, "salts": 4}]
+
+
+def test_gold_refuses_to_replace_its_input(spark, cfg):
+    with pytest.raises(ValueError, match="must differ"):
+        run_gold(spark, cfg(in_path="silver", out_path="/silver/"))
+
+
+def test_as_of_defaults_to_today(spark, cfg):
+    config = cfg(as_of=None)
+    run_silver(spark, config)
+    assert rows(spark.table(f"{config.database}.products").select("load_date").distinct()) == [(config.day(spark),)]
+
+
+def test_command_line(spark, cfg, capsys):
+    config = cfg()
+    common = ["--base-uri", config.base_uri, "--database", config.database, "--as-of", "2024-04-27"]
+    cli.main(["silver", *common, "--in-path", "raw", "--out-path", "silver"])
+    assert json.loads(capsys.readouterr().out)["transactions"] == {"rows": 5, "malformed": 0}
+    cli.main(["gold", *common, "--in-path", "silver", "--out-path", "gold"])
+    cli.main(["reports", *common, "--in-path", "silver", "--out-path", "gold", "--reporting-database", config.reporting_database])
+    assert read_gold(spark, config) == (CM, PM)
+    assert spark.table(f"{config.reporting_database}.top_performing_subcategories").count() == 2

@@ -1,0 +1,316 @@
+"""Scans, schema discovery, sinks and DDL."""
+
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.conftest import rows
+from tillroll.session import scratch_dir
+from tillroll.sinks import REPORT_TABLES, create_report_tables, ensure_database, write_catalog, write_overwrite, write_snapshot
+from tillroll.sources import RAW, scan_catalog, scan_csv, scan_format, scan_parquet
+from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
+
+DAY, NEXT = date(2024, 4, 27), date(2024, 4, 28)
+SMALL = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("x", T.DoubleType())])
+
+
+def csv(tmp_path, name, text):
+    path = Path(tmp_path) / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+# Scans
+
+
+def test_csv_edge_tokens(spark, tmp_path):
+    path = csv(tmp_path, "a.csv", 'id,name,x\n1,,1.5\n2,"",2.5\n3,n,word\n4,short\n5,long,5.5,extra\n')
+    df = scan_csv(spark, path, SMALL, corrupt_column="_bad")
+    assert rows(df, "id") == [
+        (1, None, 1.5, None),
+        (2, None, 2.5, None),
+        (3, "n", None, "3,n,word"),
+        (4, "short", None, "4,short"),
+        (5, "long", 5.5, "5,long,5.5,extra"),
+    ]
+    assert rows(scan_csv(spark, path, SMALL).select("id"), "id") == [(i,) for i in range(1, 6)]
+
+
+def test_csv_inference_turns_a_column_with_a_word_to_text(spark, tmp_path):
+    path = csv(tmp_path, "a.csv", "id,x\n1,1.5\n2,word\n")
+    assert [f.dataType.simpleString() for f in scan_csv(spark, path).schema] == ["int", "string"]
+
+
+def test_csv_header_must_match_the_schema(spark, tmp_path):
+    path = csv(tmp_path, "a.csv", "name,id,x\nn,1,1.5\n")
+    with pytest.raises(Exception, match="CSV header does not conform|HEADER"):
+        scan_csv(spark, path, SMALL).collect()
+
+
+def test_csv_bare_quote_types_and_large_ids(spark, tmp_path):
+    products = csv(tmp_path, "p.csv", 'product_id,product_name,category,subcategory,price,supplier_id\n103,Smart 4K TV 55",Electronics,TVs,799.99,503\n')
+    assert rows(scan_csv(spark, products, RAW["products"])) == [(103, 'Smart 4K TV 55"', "Electronics", "TVs", 799.99, 503)]
+    tx = csv(tmp_path, "t.csv", "transaction_id,customer_id,product_id,transaction_date,quantity,unit_price,payment_method\n3000000000,15,103,2024-01-15 10:30:00,1,799.99,credit_card\n")
+    declared = scan_csv(spark, tx, RAW["transactions"])
+    assert rows(declared) == [(3000000000, 15, 103, datetime(2024, 1, 15, 10, 30), 1, 799.99, "credit_card")]
+    assert rows(scan_csv(spark, tx)) == rows(declared)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "orc", "parquet"])
+def test_formats_round_trip(spark, tmp_path, fmt):
+    df = spark.createDataFrame([(1, "a", 0.5), (2, None, None)], SMALL)
+    write_overwrite(df, f"{tmp_path}/t", fmt)
+    assert rows(scan_format(spark, f"{tmp_path}/t", fmt, SMALL), "id") == rows(df, "id")
+    if fmt != "json":
+        assert scan_format(spark, f"{tmp_path}/t", fmt).schema == SMALL
+
+
+def test_csv_keeps_microseconds(spark, tmp_path):
+    df = spark.sql("SELECT TIMESTAMP'2024-01-15 10:30:00.123456' AS a, TIMESTAMP_NTZ'2024-01-15 10:30:00.123456' AS b")
+    write_overwrite(df, f"{tmp_path}/t", "csv")
+    assert rows(scan_format(spark, f"{tmp_path}/t", "csv", df.schema)) == rows(df)
+
+
+def test_parquet_root_keeps_the_partition_column(spark, tmp_path):
+    df = spark.createDataFrame([(1, DAY), (2, NEXT)], "id int, load_date date")
+    df.write.partitionBy("load_date").parquet(f"{tmp_path}/t")
+    out = scan_parquet(spark, f"{tmp_path}/t")
+    assert rows(out, "id") == [(1, DAY), (2, NEXT)]
+    assert "load_date" not in spark.read.parquet(f"{tmp_path}/t/*").columns
+
+
+# Catalog sink
+
+
+def test_append_twice_doubles_the_rows(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    write_catalog(df, db, "t", f"{base}/t")
+    write_catalog(df, db, "t", f"{base}/t")
+    assert rows(scan_catalog(spark, db, "t"), "id") == [(1, "a"), (1, "a"), (2, "b"), (2, "b")]
+    assert scan_parquet(spark, f"{base}/t").count() == 4
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "orc"])
+def test_new_and_missing_columns(spark, database, fmt):
+    db, base = database
+    write_catalog(spark.createDataFrame([(1, "a")], "id int, name string"), db, "t", f"{base}/t", fmt)
+    write_catalog(spark.createDataFrame([(0.5, 2)], "x double, id int"), db, "t", f"{base}/t", fmt)
+    assert rows(scan_catalog(spark, db, "t"), "id") == [(1, "a", None), (2, None, 0.5)]
+
+
+def test_the_format_argument_is_honoured(spark, database):
+    db, base = database
+    write_catalog(spark.createDataFrame([(1,)], "id int"), db, "t", f"{base}/t", "csv")
+    assert {r[0] for r in spark.read.text(f"{base}/t").collect()} == {"id", "1"}
+
+
+def test_rerun_of_a_day_replaces_that_day_only(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1, DAY), (2, DAY)], "id int, load_date date")
+    for day, part in ((DAY, df), (NEXT, df), (NEXT, df.limit(1))):
+        write_catalog(part, db, "t", f"{base}/t", partition={"load_date": day}, mode="overwrite")
+    assert rows(scan_catalog(spark, db, "t").groupBy("load_date").count(), "load_date") == [(DAY, 2), (NEXT, 1)]
+
+
+def test_new_column_in_a_partitioned_table(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1,)], "id int")
+    write_catalog(df, db, "t", f"{base}/t", partition={"load_date": DAY}, mode="overwrite")
+    write_catalog(df.withColumn("x", F.lit(2)), db, "t", f"{base}/t", partition={"load_date": NEXT}, mode="overwrite")
+    assert rows(scan_catalog(spark, db, "t").select("id", "x", "load_date"), "load_date") == [(1, None, DAY), (1, 2, NEXT)]
+
+
+def test_overwrite_without_partition_replaces_all(spark, database):
+    db, base = database
+    for value in (1, 2):
+        df = spark.createDataFrame([(value,)], "id int")
+        write_catalog(df, db, "t", f"{base}/t", mode="overwrite")
+    assert rows(scan_catalog(spark, db, "t")) == [(2,)]
+
+
+def test_a_lost_table_is_registered_again_with_its_old_days(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1,)], "id int")
+    write_catalog(df, db, "t", f"{base}/t", partition={"load_date": DAY})
+    spark.sql(f"DROP TABLE {db}.t")  # external: the files stay
+    write_catalog(df, db, "t", f"{base}/t", partition={"load_date": NEXT})
+    assert rows(scan_catalog(spark, db, "t"), "load_date") == [(1, DAY), (1, NEXT)]
+
+
+def test_unknown_mode_is_refused(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.raises(ValueError, match="mode"):
+        write_catalog(df, db, "t", f"{base}/t", mode="replace")
+    with pytest.raises(ValueError, match="mode"):
+        write_snapshot(df, db, "t", DAY, mode="replace")
+
+
+# Path sink
+
+
+def test_overwrite_registers_the_table(spark, database):
+    db, base = database
+    for value in (1, 2):
+        write_overwrite(spark.createDataFrame([(value,)], "id int"), f"{base}/t", database=db, table="t")
+    assert rows(scan_catalog(spark, db, "t")) == [(2,)]
+    assert rows(scan_parquet(spark, f"{base}/t")) == [(2,)]
+
+
+# Report tables
+
+
+def test_report_tables_have_the_fixed_types(spark, database):
+    db, base = database
+    create_report_tables(spark, db, f"{base}/reports")
+    create_report_tables(spark, db, f"{base}/reports")  # a second time changes nothing
+    for table, columns in REPORT_TABLES.items():
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE {db}.{table}").collect()}
+        assert {c: described[c] for c in columns} == {c: t.lower() for c, t in columns.items()}
+        assert described["spst_date"] == "date"
+    created = spark.sql(f"SHOW CREATE TABLE {db}.customer_segment_value").first()[0]
+    assert "zstd" in created and "PARTITIONED BY (spst_date)" in created
+
+
+def test_snapshots(spark, database):
+    db, base = database
+    create_report_tables(spark, db, f"{base}/reports")
+    report = spark.createDataFrame([("Low Value", 3, 1.5, 1)], "customer_segment string, customer_count bigint, avg_spent double, avg_transactions bigint")
+    snapshots = scan_catalog(spark, db, "customer_segment_value").select("spst_date")
+    write_snapshot(report, db, "customer_segment_value", DAY)
+    write_snapshot(report, db, "customer_segment_value", DAY)
+    assert rows(snapshots) == [(DAY,)]
+    write_snapshot(report.select(*reversed(report.columns)), db, "customer_segment_value", NEXT)
+    assert rows(scan_catalog(spark, db, "customer_segment_value"), "spst_date") == [
+        ("Low Value", 3, 1.5, 1, DAY),
+        ("Low Value", 3, 1.5, 1, NEXT),
+    ]
+    write_snapshot(report, db, "customer_segment_value", NEXT, mode="append")
+    spark.sql(f"REFRESH TABLE {db}.customer_segment_value")
+    assert scan_catalog(spark, db, "customer_segment_value").count() == 3
+    assert list(Path(base).glob("reports/customer_segment_value/spst_date=2024-04-27/*.zstd.parquet"))
+
+
+def test_overlong_segment_is_refused(spark, database):
+    db, base = database
+    create_report_tables(spark, db, f"{base}/reports")
+    report = spark.createDataFrame([("13 characters", 3, 1.5, 1)], "customer_segment string, customer_count bigint, avg_spent double, avg_transactions bigint")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        write_snapshot(report, db, "customer_segment_value", DAY)
+
+
+def test_column_list_insert_fills_the_date(spark, database):
+    db, _ = database
+    create_report_tables(spark, db)
+    spark.sql(f"INSERT INTO {db}.customer_activity_analysis (total_customers, active_90_days) VALUES (1, 1)")
+    row = scan_catalog(spark, db, "customer_activity_analysis").withColumn("today", F.current_date()).first()
+    assert row["spst_date"] == row["today"] and row["inactive_90_days"] is None
+
+
+def test_ensure_database_keeps_what_is_there(spark, database):
+    db, base = database
+    write_catalog(spark.createDataFrame([(1,)], "id int"), db, "t", f"{base}/t")
+    ensure_database(spark, db)
+    assert scan_catalog(spark, db, "t").count() == 1
+
+
+# Schema discovery
+
+
+def test_discover_datasets(spark, tmp_path):
+    base = f"{tmp_path}/ra.w"
+    csv(base, "one.csv", "id\n1\n")
+    csv(base, "two/part-0.csv", "id\n1\n")
+    csv(base, "two/part-1.csv", "id\n2\n")
+    csv(base, "three.csv/part-0.csv", "id\n1\n")
+    assert discover_datasets(spark, base) == {
+        "one": f"{base}/one.csv",
+        "three": f"{base}/three.csv",
+        "two": f"{base}/two",
+    }
+
+
+def test_drift_and_its_application(spark, database):
+    db, base = database
+    raw = f"{base}/raw"
+    csv(raw, "t.csv", "id,x,new\n1,1.5,a\n")
+    csv(raw, "fresh.csv", "k\n7\n")
+    spark.sql(f"CREATE TABLE {db}.t (id INT, x INT, old STRING) USING csv OPTIONS (header 'true') LOCATION '{raw}/t.csv'")
+    spark.sql(f"CREATE TABLE {db}.gone (a INT) USING parquet LOCATION '{base}/gone'")
+    datasets = discover_datasets(spark, raw)
+    found = infer_schemas(spark, datasets)
+    drift = schema_drift(spark, found, catalog_schemas(spark, db))
+    assert rows(drift, "dataset", "column") == [
+        ("fresh", "k", 0, None, "int", "add"),
+        ("gone", "a", 0, "int", None, "deprecate"),
+        ("t", "new", 2, None, "string", "add"),
+        ("t", "old", 2, "string", None, "deprecate"),
+        ("t", "x", 1, "int", "double", "change"),
+    ]
+    apply_drift(spark, drift, db, datasets, found)
+    assert rows(scan_catalog(spark, db, "fresh")) == [(7,)]
+    types = {f.name: f.dataType.simpleString() for f in scan_catalog(spark, db, "t").schema}
+    assert types == {"id": "int", "x": "double", "old": "string", "new": "string"}
+    assert rows(scan_catalog(spark, db, "t").select("id", "x", "old", "new")) == [(1, 1.5, None, "a")]
+    assert rows(schema_drift(spark, found, catalog_schemas(spark, db))) == []
+
+
+def crawl(spark, db, raw):
+    datasets = discover_datasets(spark, raw)
+    found = infer_schemas(spark, datasets)
+    apply_drift(spark, schema_drift(spark, found, catalog_schemas(spark, db)), db, datasets, found)
+
+
+def test_a_column_new_at_the_end_is_added_in_place(spark, database):
+    db, base = database
+    raw = f"{base}/raw"
+    csv(raw, "t.csv", "id,x\n1,b\n")
+    spark.sql(f"CREATE TABLE {db}.t (id INT) USING csv OPTIONS (header 'true') LOCATION '{raw}/t.csv' TBLPROPERTIES (k = 'kept')")
+    crawl(spark, db, raw)
+    assert rows(scan_catalog(spark, db, "t")) == [(1, "b")]
+    assert ("k", "kept") in rows(spark.sql(f"SHOW TBLPROPERTIES {db}.t"))
+
+
+def test_a_deprecated_column_that_comes_back(spark, database):
+    db, base = database
+    raw = f"{base}/raw"
+    csv(raw, "t.csv", "id\n1\n")
+    spark.sql(f"CREATE TABLE {db}.t (id INT, old STRING) USING csv OPTIONS (header 'true') LOCATION '{raw}/t.csv'")
+    crawl(spark, db, raw)
+    assert catalog_schemas(spark, db)["t"].names == ["id"]
+    csv(raw, "t.csv", "id,old\n1,b\n")
+    crawl(spark, db, raw)
+    assert catalog_schemas(spark, db)["t"].names == ["id", "old"]
+
+
+def test_a_deprecated_column_that_comes_back_as_another_type(spark, database):
+    db, base = database
+    raw = f"{base}/raw"
+    csv(raw, "t.csv", "id,old\n1,0.5\n")
+    spark.sql(
+        f"CREATE TABLE {db}.t (id INT, old STRING) USING csv OPTIONS (header 'true') LOCATION '{raw}/t.csv' "
+        "TBLPROPERTIES ('deprecated.columns' = 'old')"
+    )
+    crawl(spark, db, raw)
+    assert [(f.name, f.dataType.simpleString()) for f in catalog_schemas(spark, db)["t"]] == [("id", "int"), ("old", "double")]
+
+
+def test_a_type_change_of_owned_data_is_refused(spark, database):
+    db, _ = database
+    spark.sql(f"CREATE TABLE {db}.t (id INT) USING parquet")
+    found = {"t": T.StructType([T.StructField("id", T.StringType())])}
+    with pytest.raises(ValueError, match="owns its data"):
+        apply_drift(spark, schema_drift(spark, found, catalog_schemas(spark, db)), db, {"t": "x"}, found)
+
+
+# Scratch folder
+
+
+def test_scratch_is_under_the_checkpoint_folder(spark):
+    first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir") + "/a_")

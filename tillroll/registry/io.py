@@ -76,8 +76,9 @@ def _schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"LOCATION '{base}/raw/{name}.csv'"
         )
     datasets = discover_datasets(spark, f"{base}/raw")
-    drift = schema_drift(spark, infer_schemas(spark, datasets), catalog_schemas(spark, database))
-    apply_drift(spark, drift, database, datasets)
+    found = infer_schemas(spark, datasets)
+    drift = schema_drift(spark, found, catalog_schemas(spark, database))
+    apply_drift(spark, drift, database, datasets, found)
     after = [
         (name, field.name, field.dataType.simpleString())
         for name, schema in catalog_schemas(spark, database).items()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.sinks.ddl import columns_ddl, options_ddl, quoted, table_name
+from tillroll.sinks.ddl import columns_ddl, options_ddl, quoted, schema_columns, table_name
 from tillroll.sources.scan import scan_format
 
 ADD, CHANGE, DEPRECATE = "add", "change", "deprecate"
@@ -43,7 +43,7 @@ def catalog_schemas(spark: SparkSession, database: str) -> dict[str, T.StructTyp
     for table in spark.catalog.listTables(database):
         if table.isTemporary:
             continue
-        gone = set(_deprecated(spark, table_name(database, table.name)))
+        gone = _deprecated(spark, table_name(database, table.name))
         fields = spark.table(table_name(database, table.name)).schema.fields
         schemas[table.name] = T.StructType([f for f in fields if f.name not in gone])
     return schemas
@@ -86,62 +86,63 @@ def _field_list(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFr
 
 
 def apply_drift(
-    spark: SparkSession, drift: DataFrame, database: str, datasets: dict[str, str], fmt: str = "csv"
+    spark: SparkSession,
+    drift: DataFrame,
+    database: str,
+    datasets: dict[str, str],
+    found: dict[str, T.StructType],
+    fmt: str = "csv",
 ) -> None:
     """Bring the catalog up to date with a drift table.
 
-    An unknown dataset becomes an external table over its files. New columns are added and vanished ones listed in the
-    table property ``deprecated.columns``. A changed type re-registers the external table, since Spark can't alter the
-    type of a file table's column; the files aren't touched, nor is a table whose data Spark owns.
+    An unknown dataset becomes an external table over its files. Columns that vanished stay, after all others, and are
+    listed in the table property ``deprecated.columns``. Columns new at the end are added in place. A changed type, or
+    in CSV (which is read by position) a changed order, re-registers the external table over the same files, since
+    Spark can't alter those in place; a table that owns its data is refused that.
     """
-    by_dataset: dict[str, list] = {}
-    for row in drift.orderBy("dataset", "position").collect():  # one row per differing column
-        by_dataset.setdefault(row["dataset"], []).append(row)
-    for dataset, rows in by_dataset.items():
+    changes = [r["dataset"] for r in drift.select("dataset").distinct().collect()]  # names of datasets only
+    for dataset in sorted(changes):
         name = table_name(database, dataset)
-        added = {r["column"]: r["new_type"] for r in rows if r["action"] == ADD}
-        changed = {r["column"]: r["new_type"] for r in rows if r["action"] == CHANGE}
-        vanished = [r["column"] for r in rows if r["action"] == DEPRECATE]
+        wanted = schema_columns(found[dataset]) if dataset in found else {}
         if not spark.catalog.tableExists(name):
-            _register(spark, name, added, datasets[dataset], fmt, [])
+            _register(spark, name, wanted, datasets[dataset], fmt, set())
             continue
-        vanished = sorted({*_deprecated(spark, name), *vanished} - {*added, *changed})
-        if changed:
-            _reregister(spark, name, changed, added, datasets[dataset], fmt, vanished)
+        held = schema_columns(spark.table(name).schema)
+        marked, deprecated = _deprecated(spark, name), held.keys() - wanted.keys()
+        target = wanted | {c: type_ for c, type_ in held.items() if c in deprecated}
+        retyped = any(target[c] != type_ for c, type_ in held.items())
+        moved = fmt == "csv" and wanted and list(target)[: len(held)] != list(held)
+        if retyped or moved:
+            _refuse_owned(spark, name)
+            spark.sql(f"DROP TABLE {name}")
+            _register(spark, name, target, datasets[dataset], fmt, deprecated)
             continue
-        fresh = {c: t for c, t in added.items() if c not in spark.table(name).columns}
+        fresh = {c: type_ for c, type_ in target.items() if c not in held}
         if fresh:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl(fresh)})")
-        if vanished:
-            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{DEPRECATED_PROPERTY}' = '{','.join(vanished)}')")
+        if deprecated != marked:
+            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({_mark(deprecated)})")
 
 
 def _register(
-    spark: SparkSession, name: str, columns: dict[str, str], path: str, fmt: str, deprecated: list[str]
+    spark: SparkSession, name: str, columns: dict[str, str], path: str, fmt: str, deprecated: set[str]
 ) -> None:
-    marks = f"TBLPROPERTIES ('{DEPRECATED_PROPERTY}' = '{','.join(deprecated)}')" if deprecated else ""
     spark.sql(
-        f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}' {marks}"
+        f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}' "
+        f"TBLPROPERTIES ({_mark(deprecated)})"
     )
 
 
-def _reregister(
-    spark: SparkSession,
-    name: str,
-    changed: dict[str, str],
-    added: dict[str, str],
-    path: str,
-    fmt: str,
-    deprecated: list[str],
-) -> None:
+def _refuse_owned(spark: SparkSession, name: str) -> None:
     described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
     if described.get("Type") != "EXTERNAL":
-        raise ValueError(f"{name} owns its data: the type of {sorted(changed)} can't be changed in place")
-    columns = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
-    spark.sql(f"DROP TABLE {name}")
-    _register(spark, name, {**columns, **changed, **added}, path, fmt, deprecated)
+        raise ValueError(f"{name} owns its data: a column's type or place can't be changed")
+
+
+def _mark(deprecated: set[str]) -> str:
+    return f"'{DEPRECATED_PROPERTY}' = '{quoted(','.join(sorted(deprecated)))}'"
 
 
-def _deprecated(spark: SparkSession, name: str) -> list[str]:
+def _deprecated(spark: SparkSession, name: str) -> set[str]:
     marks = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == DEPRECATED_PROPERTY).collect()
-    return [c for row in marks for c in row["value"].split(",") if c]
+    return {c for row in marks for c in row["value"].split(",") if c}
