@@ -8,7 +8,7 @@ import pytest
 
 from tests.conftest import rows
 from tillroll import __main__ as cli
-from tillroll.plans import Config, jobs, run_gold, run_reports, run_silver
+from tillroll.plans import Config, jobs, run_discovery, run_gold, run_reports, run_silver
 from tillroll.sinks import REPORT_TABLES
 
 DAY, NEXT = date(2024, 4, 27), date(2024, 4, 28)
@@ -135,6 +135,20 @@ def test_as_of_defaults_to_today(spark, cfg):
     assert rows(spark.table(f"{config.database}.products").select("load_date").distinct()) == [(config.day(spark),)]
 
 
+def test_discovery_follows_the_files(spark, cfg):
+    config = cfg(raw_database=f"{cfg().database}_raw")
+    assert run_discovery(spark, config) == {"add": 20}
+    assert run_discovery(spark, config) == {}
+    raw = Path(config.base_uri) / "raw"
+    (raw / "customers.csv").write_text("customer_id,email\n1,a@x.com\n")
+    (raw / "products.csv").write_text(PRODUCTS.replace("word", "3").replace("price", "cost"))
+    assert run_discovery(spark, config) == {"add": 1, "deprecate": 6}
+    table = spark.table(f"{config.raw_database}.products")
+    assert table.columns == ["product_id", "product_name", "category", "subcategory", "cost", "supplier_id", "price"]
+    assert rows(table.select("product_id", "cost", "price"), "product_id")[3] == (4, 3.0, None)
+    spark.sql(f"DROP DATABASE {config.raw_database} CASCADE")
+
+
 def test_command_line(spark, cfg, capsys):
     config = cfg()
     common = ["--base-uri", config.base_uri, "--database", config.database, "--as-of", "2024-04-27"]

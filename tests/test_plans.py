@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll import plans
+from tillroll.plans import gold
 from tillroll.sources.schemas import GOLD
 
 DAY = date(2024, 4, 27)
@@ -182,6 +183,23 @@ def test_product_metrics_edges(spark):
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in GOLD["product_metrics"]]
 
 
+def test_missing_names_form_their_own_groups(spark):
+    names = [("x", None), (None, "x"), (None, None), ("", ""), ("ab", "c"), ("a", "bc")]
+    products = spark.createDataFrame([(i, "p", c, s, 1.0, 1) for i, (c, s) in enumerate(names)], PRODUCTS)
+    tx = spark.createDataFrame([(i, 7, i, None, i + 1, 1.0) for i in range(len(names))], TX)
+    out = {(r["category"], r["subcategory"]): r["total_units_sold"] for r in plans.product_metrics(tx, products).collect()}
+    assert out == {pair: i + 1 for i, pair in enumerate(names)}
+
+
+def test_names_that_share_a_key_fail_instead_of_merging(spark, monkeypatch):
+    monkeypatch.setattr(gold, "_names_key", lambda: F.lit(1).cast("bigint"))
+    products = spark.createDataFrame([(1, "p", "a", "x", 1.0, 1), (2, "p", "a", "y", 1.0, 1)], PRODUCTS)
+    tx = spark.createDataFrame([(1, 7, 1, None, 1, 1.0)], TX)
+    with pytest.raises(Exception, match="same 64-bit key"):
+        plans.product_metrics(tx, products).collect()
+    assert plans.product_metrics(tx, products.filter("product_id = 1")).count() == 1
+
+
 def test_both_sides_may_carry_a_load_date(spark):
     tx = plans.process_transactions(spark.createDataFrame(SAMPLE_TRANSACTIONS, TX), DAY)
     products = plans.process_products(spark.createDataFrame(SAMPLE_PRODUCTS, PRODUCTS), DAY)

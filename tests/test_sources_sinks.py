@@ -223,11 +223,12 @@ def test_ensure_database_keeps_what_is_there(spark, database):
 
 
 def test_discover_datasets(spark, tmp_path):
-    base = f"{tmp_path}/ra.w"
+    base = f"{tmp_path}/w/ra.w"
     csv(base, "one.csv", "id\n1\n")
     csv(base, "two/part-0.csv", "id\n1\n")
     csv(base, "two/part-1.csv", "id\n2\n")
-    csv(base, "three.csv/part-0.csv", "id\n1\n")
+    csv(base, "three.csv/w/ra.w/part-0.csv", "id\n1\n")
+    assert discover_datasets(spark, f"file://{base}/").keys() == {"one", "two", "three"}
     assert discover_datasets(spark, base) == {
         "one": f"{base}/one.csv",
         "three": f"{base}/three.csv",

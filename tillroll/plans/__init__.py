@@ -1,7 +1,7 @@
-"""The user-level API: cleaning rules, metrics, reports and the three jobs."""
+"""The user-level API: cleaning rules, metrics, reports and the jobs."""
 
 from tillroll.plans.gold import customer_metrics, product_metrics
-from tillroll.plans.jobs import Config, run_gold, run_reports, run_silver
+from tillroll.plans.jobs import Config, run_discovery, run_gold, run_reports, run_silver
 from tillroll.plans.reports import (
     category_performance_analysis,
     customer_activity_analysis,
@@ -22,6 +22,7 @@ __all__ = [
     "process_products",
     "process_transactions",
     "product_metrics",
+    "run_discovery",
     "run_gold",
     "run_reports",
     "run_silver",

@@ -1,4 +1,4 @@
-"""The three batch jobs: raw to silver, silver to gold, gold to reports."""
+"""The batch jobs: discovery of raw schemas, raw to silver, silver to gold, gold to reports."""
 
 from dataclasses import dataclass
 from datetime import date
@@ -19,6 +19,7 @@ from tillroll.plans.reports import (
 from tillroll.plans.silver import process_customers, process_products, process_transactions
 from tillroll.sinks.ddl import create_report_tables, ensure_database
 from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
+from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
 from tillroll.sources.scan import CORRUPT_COLUMN, scan_catalog, scan_csv, scan_format
 from tillroll.sources.schemas import RAW, SILVER
 
@@ -34,7 +35,7 @@ class Config:
     """Parameters of a job.
 
     ``in_path`` and ``out_path`` are folders under ``base_uri``. ``database`` holds the silver and gold tables,
-    ``reporting_database`` the reports. ``as_of`` is the load and snapshot date, by default the session's current date.
+    ``reporting_database`` the reports, ``raw_database`` the raw datasets that discovery finds. ``as_of`` is the load and snapshot date, by default the session's current date.
     ``mode`` 'overwrite' replaces what an earlier run of the same day wrote; 'append' adds to it.
     """
 
@@ -43,6 +44,7 @@ class Config:
     out_path: str
     database: str
     reporting_database: str = "reporting"
+    raw_database: str = "raw"
     as_of: date | None = None
     mode: str = "overwrite"
     silver_format: str = "parquet"
@@ -63,6 +65,20 @@ class Config:
         return self.as_of or spark.sql("SELECT current_date() AS today").first()["today"]
 
 
+def run_discovery(spark: SparkSession, cfg: Config) -> dict[str, int]:
+    """Register every dataset under ``in_path`` with its inferred schema, and follow the changes since the last run.
+
+    Returns the number of columns per action taken.
+    """
+    ensure_database(spark, cfg.raw_database)
+    datasets = discover_datasets(spark, cfg.source(""))
+    found = infer_schemas(spark, datasets)
+    drift = schema_drift(spark, found, catalog_schemas(spark, cfg.raw_database))
+    taken = {row["action"]: row["count"] for row in drift.groupBy("action").count().collect()}
+    apply_drift(spark, drift, cfg.raw_database, datasets, found)
+    return taken
+
+
 def run_silver(spark: SparkSession, cfg: Config) -> dict[str, dict[str, int]]:
     """Clean the three raw CSV files into silver tables, partitioned by ``load_date``.
 

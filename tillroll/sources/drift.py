@@ -4,6 +4,8 @@ Policy: every dataset is read again on every run; new and changed columns update
 are marked as deprecated.
 """
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +25,13 @@ def discover_datasets(spark: SparkSession, base: str) -> dict[str, str]:
     Lists files without opening them. Only the distinct names come to the driver.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
-    inner = F.regexp_extract("path", f".*/{_last_segment(base)}/([^/]+)", 1)
-    entries = [row["entry"] for row in files.select(inner.alias("entry")).distinct().collect()]
+    folder = re.sub("^[a-z0-9]+:", "", base.rstrip("/"))  # listed paths may spell the scheme in another way
+    folder = re.sub("^///", "/", folder)
+    entry = F.regexp_extract("path", rf"^.*?\Q{folder}\E/([^/]+)", 1)
+    entries = [row["entry"] for row in files.select(entry.alias("entry")).distinct().collect()]
     return {entry.split(".")[0]: f"{base.rstrip('/')}/{entry}" for entry in sorted(entries)}
 
 
-def _last_segment(path: str) -> str:
-    return r"\Q" + path.rstrip("/").rsplit("/", 1)[-1] + r"\E"
-
-
 def infer_schemas(spark: SparkSession, datasets: dict[str, str], fmt: str = "csv") -> dict[str, T.StructType]:
     """Schema of each dataset as Spark infers it from all its rows."""
     return {name: scan_format(spark, path, fmt).schema for name, path in datasets.items()}
