@@ -30,7 +30,6 @@ def join_tx_products(
     *,
     products_are_small: bool = False,
     salts: int = 1,
-    salt_by: str = "transaction_id",
 ) -> DataFrame:
     """Inner join of transactions with products on ``product_id``, which is kept once.
 
@@ -40,13 +39,14 @@ def join_tx_products(
       adaptive execution splits the partitions of hot products.
     - ``products_are_small``: the caller has checked the size (see :func:`measured_bytes`); broadcast them.
     - ``salts`` > 1, for products too large to broadcast: every product key is spread over that many sub-keys by a hash
-      of ``salt_by``, so that one product holding a third of all rows doesn't end in one shuffle partition. The
-      products are repeated once per salt. The hash is a function of the row, so a retried task salts alike.
+      of the transaction's columns, so that one product holding a third of all rows doesn't end in one shuffle partition
+      even without adaptive execution. The products are repeated once per salt. The hash is a function of the row, so
+      a retried task salts alike; ``tx`` should hold ``transaction_id``, to tell like purchases apart.
     """
     if products_are_small:
         return tx.join(F.broadcast(products), "product_id", "inner")
     if salts <= 1:
         return tx.join(products, "product_id", "inner")
-    salted_tx = tx.withColumn(_SALT, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    salted_tx = tx.withColumn(_SALT, F.pmod(F.xxhash64(*tx.columns), F.lit(salts)).cast("int"))
     salted_products = products.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_tx.join(salted_products, ["product_id", _SALT], "inner").drop(_SALT)

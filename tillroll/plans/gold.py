@@ -76,7 +76,7 @@ def _names_key() -> Column:
 
 
 def _names_by_key(products: DataFrame) -> DataFrame:
-    """The names behind each key. Should two pairs of names ever share a key, the query fails instead of merging them."""
+    """The names behind each key. Should two pairs ever share a key, the query fails instead of merging them."""
     pairs = products.select(_names_key().alias(_KEY), F.struct("category", "subcategory").alias("pair"))
     checked = pairs.distinct().groupBy(_KEY).agg(F.min("pair").alias("pair"), row_count().alias("pairs"))
     clash = F.raise_error(F.lit("two (category, subcategory) pairs have the same 64-bit key"))

@@ -35,8 +35,9 @@ class Config:
     """Parameters of a job.
 
     ``in_path`` and ``out_path`` are folders under ``base_uri``. ``database`` holds the silver and gold tables,
-    ``reporting_database`` the reports, ``raw_database`` the raw datasets that discovery finds. ``as_of`` is the load and snapshot date, by default the session's current date.
-    ``mode`` 'overwrite' replaces what an earlier run of the same day wrote; 'append' adds to it.
+    ``reporting_database`` the reports, ``raw_database`` the raw datasets that discovery finds. ``as_of`` is the load
+    and snapshot date, by default the session's current date. ``mode`` 'overwrite' replaces what an earlier run of the
+    same day wrote; 'append' adds to it. ``load_date`` makes gold read one day's silver rows instead of all.
     """
 
     base_uri: str
@@ -52,7 +53,7 @@ class Config:
     infer_schema: bool = False
     load_date: date | None = None
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES
-    product_salts: int = 32
+    product_salts: int = 16
 
     def source(self, name: str) -> str:
         return f"{self.base_uri.rstrip('/')}/{self.in_path.strip('/')}/{name}"

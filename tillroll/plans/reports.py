@@ -80,7 +80,8 @@ def top_performing_subcategories(pm: DataFrame, n: int | None = None) -> DataFra
     All rows unless ``n`` is given. The share is NULL where the category's revenue is zero.
     """
     rows = pm.select("category", "subcategory", "total_revenue", "total_units_sold")
-    return order_desc(partition_share(rows, "total_revenue", ["category"], "category_revenue_share"), "total_revenue", n)
+    shares = partition_share(rows, "total_revenue", ["category"], "category_revenue_share")
+    return order_desc(shares, "total_revenue", n)
 
 
 def customer_purchase_frequency(

@@ -158,7 +158,12 @@ def _run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     parts = [
         scan_catalog(spark, database, name).selectExpr(
-            f"'{name}' AS dataset", f"{key} AS key", f"{one} AS text_1", f"{two} AS text_2", f"{num} AS num", "load_date"
+            f"'{name}' AS dataset",
+            f"{key} AS key",
+            f"{one} AS text_1",
+            f"{two} AS text_2",
+            f"{num} AS num",
+            "load_date",
         )
         for name, (key, one, two, num) in shapes.items()
     ]

@@ -113,7 +113,8 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PRODUCTS_RAW = """products_raw AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, lower(p_brand) AS subcategory,
-         CASE WHEN p_partkey % 30 = 5 THEN CAST('NaN' AS DOUBLE) WHEN p_partkey % 25 <> 3 THEN p_retailprice END AS price,
+         CASE WHEN p_partkey % 30 = 5 THEN CAST('NaN' AS DOUBLE)
+              WHEN p_partkey % 25 <> 3 THEN p_retailprice END AS price,
          CASE WHEN p_partkey % 20 <> 7 THEN p_size END AS supplier_id
   FROM part)"""
 
@@ -176,11 +177,6 @@ PM = """pm AS (
          count(DISTINCT customer_id) AS unique_customers
   FROM tx JOIN products USING (product_id) GROUP BY category, subcategory)"""
 
-# Silver over the raw views, as the cleaning rules make it.
-SILVER_TX = """silver_tx AS (
-  SELECT * REPLACE (CAST(unit_price AS DECIMAL(12,2)) AS unit_price) FROM tx_raw
-  WHERE quantity IS NOT NULL AND unit_price IS NOT NULL)"""
-
 
 def initcap_sql(column: str) -> str:
     return (

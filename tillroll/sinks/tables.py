@@ -54,7 +54,9 @@ def _ensure_table(
         return
     columns |= {c: "date" for c in partition}
     by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition)})" if partition else ""
-    spark.sql(f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} {by} LOCATION '{quoted(path)}'")
+    spark.sql(
+        f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} {by} LOCATION '{quoted(path)}'"
+    )
 
 
 def _insert(rows: DataFrame, name: str, partition: Mapping[str, date], mode: str) -> None:
