@@ -191,7 +191,6 @@ def test_snapshots(spark, database):
         ("Low Value", 3, 1.5, 1, NEXT),
     ]
     write_snapshot(report, db, "customer_segment_value", NEXT, mode="append")
-    spark.sql(f"REFRESH TABLE {db}.customer_segment_value")
     assert scan_catalog(spark, db, "customer_segment_value").count() == 3
     assert list(Path(base).glob("reports/customer_segment_value/spst_date=2024-04-27/*.zstd.parquet"))
 
