@@ -113,6 +113,20 @@ def test_formats_and_inference(spark, cfg, options):
     assert (cm, pm) == (CM, PM)
 
 
+def test_moved_and_new_columns(spark, cfg):
+    run_silver(spark, cfg())
+    moved = "country,EMAIL,customer_id,loyalty\nus,NEW@x.com,4,gold\n"
+    (Path(cfg().base_uri) / "raw" / "customers.csv").write_text(moved)
+    counts = run_silver(spark, cfg(as_of=NEXT))
+    assert counts["customers"] == {"rows": 1, "malformed": 0}
+    silver = spark.table(f"{cfg().database}.customers")
+    assert rows(silver.select("customer_id", "email", "country", "city", "loyalty", "load_date"), "customer_id") == [
+        (1, "ann@x.com", "USA", "Reno", None, DAY),
+        (3, "cy@x.com", "UK", "Bath", None, DAY),
+        (4, "new@x.com", "US", None, "gold", NEXT),
+    ]
+
+
 def test_products_over_the_limit_are_joined_by_salted_shuffle(spark, cfg, monkeypatch):
     run_silver(spark, cfg())
     plans = []

@@ -22,7 +22,7 @@ def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
 
 def _present(df: DataFrame, column: str) -> Column:
     here = F.col(column).isNotNull()
-    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+    if isinstance(df.select(column).schema[0].dataType, (T.DoubleType, T.FloatType)):
         here = here & ~F.isnan(column)
     return here
 

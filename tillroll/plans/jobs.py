@@ -20,7 +20,7 @@ from tillroll.plans.silver import process_customers, process_products, process_t
 from tillroll.sinks.ddl import create_report_tables, ensure_database
 from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
-from tillroll.sources.scan import CORRUPT_COLUMN, scan_catalog, scan_csv, scan_format
+from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format
 from tillroll.sources.schemas import RAW, SILVER
 
 PROCESS = {
@@ -83,16 +83,18 @@ def run_discovery(spark: SparkSession, cfg: Config) -> dict[str, int]:
 def run_silver(spark: SparkSession, cfg: Config) -> dict[str, dict[str, int]]:
     """Clean the three raw CSV files into silver tables, partitioned by ``load_date``.
 
+    Columns are found by their header; ones that aren't declared come through as text and are added to the table.
     Returns the rows read and, under a declared schema, the malformed ones among them, per table. Both are counted
     while the rows are written, without another pass.
     """
     ensure_database(spark, cfg.database)
     day, counts = cfg.day(spark), {}
     for name, process in PROCESS.items():
+        path = cfg.source(f"{name}.csv")
         if cfg.infer_schema:
-            raw, bad = scan_csv(spark, cfg.source(f"{name}.csv")), F.lit(False)
+            raw, bad = scan_csv(spark, path), F.lit(False)
         else:
-            raw = scan_csv(spark, cfg.source(f"{name}.csv"), RAW[name], corrupt_column=CORRUPT_COLUMN)
+            raw = scan_csv(spark, path, header_schema(spark, path, RAW[name]), corrupt_column=CORRUPT_COLUMN)
             bad = F.col(CORRUPT_COLUMN).isNotNull()
         seen = Observation(f"raw {name}")
         raw = raw.observe(seen, row_count().alias("rows"), count_where(bad).alias("malformed")).drop(CORRUPT_COLUMN)

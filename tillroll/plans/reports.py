@@ -54,7 +54,7 @@ def customer_activity_analysis(cm: DataFrame, as_of: date | None = None, days: i
 
 
 def _moment(df: DataFrame, column: str) -> Column:
-    is_micros = isinstance(df.schema[column].dataType, T.LongType)
+    is_micros = isinstance(df.select(column).schema[0].dataType, T.LongType)
     return epoch_micros_to_ts(F.col(column)) if is_micros else F.col(column)
 
 

@@ -1,6 +1,16 @@
 """Where rows come from: files, catalog tables, and the discovery of their schemas."""
 
-from tillroll.sources.scan import CORRUPT_COLUMN, scan_catalog, scan_csv, scan_format, scan_parquet
+from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format, scan_parquet
 from tillroll.sources.schemas import GOLD, RAW, SILVER
 
-__all__ = ["CORRUPT_COLUMN", "GOLD", "RAW", "SILVER", "scan_catalog", "scan_csv", "scan_format", "scan_parquet"]
+__all__ = [
+    "CORRUPT_COLUMN",
+    "GOLD",
+    "RAW",
+    "SILVER",
+    "header_schema",
+    "scan_catalog",
+    "scan_csv",
+    "scan_format",
+    "scan_parquet",
+]

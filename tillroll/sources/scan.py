@@ -28,6 +28,16 @@ def scan_csv(
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
+def header_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.StructType:
+    """Schema of CSV files in the order of their header: declared types by name, text for columns not declared.
+
+    Reads one line, so files whose columns moved or grew keep their single pass without inference.
+    """
+    fields = {f.name.lower(): f for f in declared.fields}
+    names = spark.read.option("header", True).csv(path).columns
+    return T.StructType([fields.get(name.lower(), T.StructField(name, T.StringType())) for name in names])
+
+
 def scan_format(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType | None = None, **options: object
 ) -> DataFrame:
