@@ -98,6 +98,11 @@ def test_money_of_null_and_of_decimal(spark):
     assert one(spark, fn.money_units(F.lit("19.99").cast("decimal(12,2)"))) == 199900
 
 
+def test_a_price_that_is_no_number_is_an_error(spark):
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        spark.range(1).select(fn.money_units(F.lit(float("nan")))).collect()
+
+
 def test_line_amount(spark):
     assert one(spark, fn.line_amount(F.lit(3), F.lit(19.99))) == 59.97
     assert one(spark, fn.line_amount(F.lit(-2), F.lit(0.1))) == -0.2

@@ -48,6 +48,10 @@ def gold(cfg, **kw):
     return cfg(in_path="silver", out_path="gold", **kw)
 
 
+def reports(cfg, **kw):
+    return cfg(in_path="gold", out_path="reports", **kw)
+
+
 def snapshot(spark, config):
     """All rows of all report tables."""
     return {t: sorted(map(str, spark.table(f"{config.reporting_database}.{t}").collect())) for t in REPORT_TABLES}
@@ -76,24 +80,24 @@ def test_the_whole_chain(spark, cfg):
     ]
     run_gold(spark, gold(cfg))
     assert read_gold(spark, cfg()) == (CM, PM)
-    run_reports(spark, gold(cfg))
-    reports = snapshot(spark, cfg())
-    assert [len(reports[t]) for t in REPORT_TABLES] == [2, 1, 2, 2, 1]
+    run_reports(spark, reports(cfg))
+    written = snapshot(spark, cfg())
+    assert [len(written[t]) for t in REPORT_TABLES] == [2, 1, 2, 2, 1]
     activity = spark.table(f"{db}_rep.customer_activity_analysis")
     assert rows(activity) == [(2, 1, 1, 0, DAY)]
 
     # the same day again changes nothing
     run_silver(spark, cfg())
     run_gold(spark, gold(cfg))
-    run_reports(spark, gold(cfg))
+    run_reports(spark, reports(cfg))
     assert read_gold(spark, cfg()) == (CM, PM)
-    assert snapshot(spark, cfg()) == reports
+    assert snapshot(spark, cfg()) == written
 
     # the next day adds a silver load and a report snapshot
     run_silver(spark, cfg(as_of=NEXT))
     run_gold(spark, gold(cfg, load_date=NEXT))
     assert read_gold(spark, cfg()) == (CM, PM)
-    run_reports(spark, gold(cfg, as_of=NEXT))
+    run_reports(spark, reports(cfg, as_of=NEXT))
     dates = spark.table(f"{db}_rep.customer_segment_value").groupBy("spst_date").count()
     assert rows(dates, "spst_date") == [(DAY, 2), (NEXT, 2)]
 
@@ -163,12 +167,33 @@ def test_discovery_follows_the_files(spark, cfg):
     spark.sql(f"DROP DATABASE {config.raw_database} CASCADE")
 
 
+def test_every_job_works_when_the_catalog_was_lost(spark, cfg):
+    def forget():
+        for db in (cfg().database, cfg().reporting_database):
+            for table in spark.catalog.listTables(db) if spark.catalog.databaseExists(db) else []:
+                spark.sql(f"DROP TABLE {db}.{table.name}")
+
+    for day in (DAY, NEXT):
+        run_silver(spark, cfg(as_of=day))
+        forget()
+        run_gold(spark, gold(cfg, load_date=day))
+        forget()
+        run_reports(spark, reports(cfg, as_of=day))
+        forget()
+    run_silver(spark, cfg(as_of=NEXT))
+    assert rows(spark.table(f"{cfg().database}.products").groupBy("load_date").count(), "load_date") == [(DAY, 2), (NEXT, 2)]
+    run_reports(spark, reports(cfg, as_of=NEXT))
+    dates = spark.table(f"{cfg().reporting_database}.customer_segment_value").groupBy("spst_date").count()
+    assert rows(dates, "spst_date") == [(DAY, 2), (NEXT, 2)]
+    assert read_gold(spark, cfg()) == (CM, PM)
+
+
 def test_command_line(spark, cfg, capsys):
     config = cfg()
     common = ["--base-uri", config.base_uri, "--database", config.database, "--as-of", "2024-04-27"]
     cli.main(["silver", *common, "--in-path", "raw", "--out-path", "silver"])
     assert json.loads(capsys.readouterr().out)["transactions"] == {"rows": 5, "malformed": 0}
     cli.main(["gold", *common, "--in-path", "silver", "--out-path", "gold"])
-    cli.main(["reports", *common, "--in-path", "silver", "--out-path", "gold", "--reporting-database", config.reporting_database])
+    cli.main(["reports", *common, "--in-path", "gold", "--out-path", "reports", "--reporting-database", config.reporting_database])
     assert read_gold(spark, config) == (CM, PM)
     assert spark.table(f"{config.reporting_database}.top_performing_subcategories").count() == 2

@@ -17,11 +17,11 @@ from tillroll.plans.reports import (
     top_performing_subcategories,
 )
 from tillroll.plans.silver import process_customers, process_products, process_transactions
-from tillroll.sinks.ddl import create_report_tables, ensure_database
+from tillroll.sinks.ddl import create_report_tables, ensure_database, register_table
 from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
 from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format
-from tillroll.sources.schemas import RAW, SILVER
+from tillroll.sources.schemas import GOLD, RAW, SILVER
 
 PROCESS = {
     "customers": process_customers,
@@ -138,8 +138,13 @@ def _silver(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
 
 
 def run_reports(spark: SparkSession, cfg: Config) -> None:
-    """Write the five reports as the day's snapshot, reading gold by name from the catalog."""
-    create_report_tables(spark, cfg.reporting_database, cfg.target("reporting"))
+    """Write the five reports as the day's snapshot under ``out_path``.
+
+    Gold is read by name from the catalog; where that has lost the tables, they are registered again from ``in_path``.
+    """
+    create_report_tables(spark, cfg.reporting_database, cfg.target(""))
+    for name in GOLD:
+        register_table(spark, cfg.database, name, cfg.source(name), cfg.gold_format)
     day = cfg.day(spark)
     cm = scan_catalog(spark, cfg.database, "customer_metrics")
     pm = scan_catalog(spark, cfg.database, "product_metrics")

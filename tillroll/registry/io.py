@@ -4,6 +4,7 @@ Files go to a fresh folder in the shared scratch folder, tables to a database of
 """
 
 import uuid
+from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
 
@@ -136,14 +137,7 @@ def _silver_config(spark: SparkSession, sf_dir: str) -> Config:
 
 def _gold_config(spark: SparkSession, sf_dir: str) -> Config:
     silver = _silver_config(spark, sf_dir)
-    cfg = Config(
-        silver.base_uri,
-        "silver",
-        "gold",
-        silver.database,
-        reporting_database=f"{silver.database}_reporting",
-        as_of=v.AS_OF,
-    )
+    cfg = replace(silver, in_path="silver", out_path="gold")
     run_gold(spark, cfg)
     return cfg
 
@@ -240,7 +234,8 @@ def _report_select(name: str, text: str, source: str) -> str:
 
 def _run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the five reports in one common shape."""
-    cfg = _gold_config(spark, sf_dir)
+    gold = _gold_config(spark, sf_dir)
+    cfg = replace(gold, in_path="gold", out_path="reports", reporting_database=f"{gold.database}_reporting")
     run_reports(spark, cfg)
     parts = [
         spark.sql(_report_select(name, "STRING", table_name(cfg.reporting_database, name))) for name in REPORT_SHAPES

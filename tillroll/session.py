@@ -7,12 +7,13 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "tillroll", **conf: object) -> SparkSession:
-    """A session in UTC with adaptive execution, including its skew handling. ``conf`` entries win.
+    """A session in UTC and ANSI mode, with adaptive execution and its skew handling. ``conf`` entries win.
 
     Sizes that depend on the cluster and the data (shuffle partitions, memory) are left to spark-submit.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

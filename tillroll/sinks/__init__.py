@@ -1,6 +1,12 @@
 """Where rows go: catalog tables, plain paths, report snapshots; and the DDL for them."""
 
-from tillroll.sinks.ddl import REPORT_TABLES, SNAPSHOT_COLUMN, create_report_tables, ensure_database
+from tillroll.sinks.ddl import (
+    REPORT_TABLES,
+    SNAPSHOT_COLUMN,
+    create_report_tables,
+    ensure_database,
+    register_table,
+)
 from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
 
 __all__ = [
@@ -8,6 +14,7 @@ __all__ = [
     "SNAPSHOT_COLUMN",
     "create_report_tables",
     "ensure_database",
+    "register_table",
     "write_catalog",
     "write_overwrite",
     "write_snapshot",

@@ -83,6 +83,13 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` {at}")
 
 
+def register_table(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:
+    """Make the files under ``path`` a table of the catalog, if it doesn't know one by that name."""
+    ensure_database(spark, database)
+    name = table_name(database, table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}'")
+
+
 def create_report_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the five report tables: zstd Parquet, checked text lengths, one partition per snapshot date.
 
