@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillroll import operators as op
+from tillroll.plans import product_metrics
 
 NAN = float("nan")
 
@@ -113,6 +114,17 @@ def test_a_hot_product_is_split_by_adaptive_execution(spark, shuffled):
     assert "isSkew=true" in plan(joined) or "skew=true" in plan(joined)
 
 
+def test_a_hot_product_is_split_under_the_metrics_too(spark, shuffled):
+    products = spark.range(100).select(
+        F.col("id").cast("int").alias("product_id"), F.lit("c").alias("category"), F.lit("s").alias("subcategory")
+    )
+    tx = hot_transactions(spark).withColumns({"customer_id": F.col("transaction_id") % 50, "quantity": F.lit(1)})
+    out = product_metrics(tx, products)
+    assert out.first()["total_units_sold"] == 30_000
+    out.collect()
+    assert "isSkew=true" in plan(out) or "skew=true" in plan(out)
+
+
 def test_salting_spreads_a_hot_product(spark, shuffled):
     products = spark.range(100).select(F.col("id").cast("int").alias("product_id"), F.lit("c").alias("category"))
 

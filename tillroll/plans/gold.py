@@ -53,8 +53,9 @@ def product_metrics(
     needed = ["product_id", "customer_id", "quantity", "unit_price"]
     if salts > 1 and not products_are_small:
         needed.append("transaction_id")
-    keyed = products.select("product_id", _names_key().alias(_KEY))
-    joined = join_tx_products(tx.select(*needed), keyed, products_are_small=products_are_small, salts=salts)
+    joined = join_tx_products(
+        tx.select(*needed), product_keys(products), products_are_small=products_are_small, salts=salts
+    )
     quantity, price = F.col("quantity"), F.col("unit_price")
     metrics = joined.groupBy(_KEY).agg(
         F.sum("quantity").alias("total_units_sold"),
@@ -62,13 +63,16 @@ def product_metrics(
         mean_price(price).alias("avg_price"),
         distinct_count(F.col("customer_id"), distinct_rsd).alias("unique_customers"),
     )
-    names = _names_by_key(products)
-    metrics = metrics.join(F.broadcast(names) if products_are_small else names, _KEY)
-    return metrics.select(
+    return metrics.join(_names_by_key(products), _KEY).select(
         "category", "subcategory", "total_units_sold", "total_revenue", "avg_price", "unique_customers"
     )
 
 
+def product_keys(products: DataFrame) -> DataFrame:
+    """What :func:`product_metrics` joins the transactions with: ``product_id`` and the key of its two names."""
+    return products.select("product_id", _names_key().alias(_KEY))
+
+
 def _names_key() -> Column:
     """64-bit key of (category, subcategory). The NULL flags tell (NULL, x) from (x, NULL)."""
     category, subcategory = F.col("category"), F.col("subcategory")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.aggregates import count_where, row_count
 from tillroll.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
-from tillroll.plans.gold import customer_metrics, product_metrics
+from tillroll.plans.gold import customer_metrics, product_keys, product_metrics
 from tillroll.plans.reports import (
     category_performance_analysis,
     customer_activity_analysis,
@@ -122,7 +122,7 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
         raise ValueError("in_path and out_path must differ: gold replaces what lies under its path")
     ensure_database(spark, cfg.database)
     tx, products = _silver(spark, cfg, "transactions"), _silver(spark, cfg, "products")
-    fits = measured_bytes(products.select("product_id", "category", "subcategory")) <= cfg.broadcast_limit_bytes
+    fits = measured_bytes(product_keys(products)) <= cfg.broadcast_limit_bytes
     gold = {
         "customer_metrics": customer_metrics(tx),
         "product_metrics": product_metrics(tx, products, products_are_small=fits, salts=cfg.product_salts),
