@@ -235,6 +235,14 @@ def test_discover_datasets(spark, tmp_path):
     }
 
 
+def test_two_datasets_of_one_name_are_refused(spark, tmp_path):
+    base = f"{tmp_path}/raw"
+    csv(base, "one.csv", "id\n1\n")
+    csv(base, "one/part-0.csv", "id\n1\n")
+    with pytest.raises(ValueError, match="name of its own"):
+        discover_datasets(spark, base)
+
+
 def test_drift_and_its_application(spark, database):
     db, base = database
     raw = f"{base}/raw"
@@ -276,6 +284,22 @@ def test_a_column_new_at_the_end_is_added_in_place(spark, database):
     assert ("k", "kept") in rows(spark.sql(f"SHOW TBLPROPERTIES {db}.t"))
 
 
+def test_columns_that_only_moved(spark, database):
+    db, base = database
+    raw = f"{base}/raw"
+    csv(raw, "t.csv", "id,b,a,c\n1,b,a,c\n")
+    spark.sql(
+        f"CREATE TABLE {db}.t (id INT, a STRING, b STRING, c STRING) USING csv OPTIONS (header 'true') "
+        f"LOCATION '{raw}/t.csv'"
+    )
+    found = infer_schemas(spark, discover_datasets(spark, raw))
+    drift = schema_drift(spark, found, catalog_schemas(spark, db))
+    assert rows(drift.select("column", "position", "action"), "position") == [("b", 1, "move"), ("a", 2, "move")]
+    crawl(spark, db, raw)
+    assert rows(scan_catalog(spark, db, "t").select("id", "a", "b", "c")) == [(1, "a", "b", "c")]
+    assert rows(schema_drift(spark, found, catalog_schemas(spark, db))) == []
+
+
 def test_a_deprecated_column_that_comes_back(spark, database):
     db, base = database
     raw = f"{base}/raw"

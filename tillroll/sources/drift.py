@@ -6,14 +6,14 @@ are marked as deprecated.
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.sinks.ddl import columns_ddl, options_ddl, quoted, schema_columns, table_name
 from tillroll.sources.scan import scan_format
 
-ADD, CHANGE, DEPRECATE = "add", "change", "deprecate"
+ADD, CHANGE, MOVE, DEPRECATE = "add", "change", "move", "deprecate"
 DEPRECATED_PROPERTY = "deprecated.columns"
 
 _FIELDS = "dataset string, column string, position int, type string"
@@ -22,14 +22,17 @@ _FIELDS = "dataset string, column string, position int, type string"
 def discover_datasets(spark: SparkSession, base: str) -> dict[str, str]:
     """Name and path of each dataset: the files and folders directly under ``base``, named without extension.
 
-    Lists files without opening them. Only the distinct names come to the driver.
+    Lists files without opening them. Only the distinct names come to the driver. Two entries of one name are refused.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
     folder = re.sub("^[a-z0-9]+:", "", base.rstrip("/"))  # listed paths may spell the scheme in another way
     folder = re.sub("^///", "/", folder)
     entry = F.regexp_extract("path", rf"^.*?\Q{folder}\E/([^/]+)", 1)
     entries = [row["entry"] for row in files.select(entry.alias("entry")).distinct().collect()]
-    return {entry.split(".")[0]: f"{base.rstrip('/')}/{entry}" for entry in sorted(entries)}
+    names = [entry.split(".")[0] for entry in entries]
+    if "" in names or len(set(names)) < len(names):
+        raise ValueError(f"each dataset under {base} needs a name of its own, found {sorted(entries)}")
+    return {name: f"{base.rstrip('/')}/{entry}" for name, entry in sorted(zip(names, entries))}
 
 
 def infer_schemas(spark: SparkSession, datasets: dict[str, str], fmt: str = "csv") -> dict[str, T.StructType]:
@@ -55,25 +58,30 @@ def schema_drift(
     """Columns that differ between the found and the known schemas.
 
     One row per difference: dataset, column, position, old_type, new_type and the action the policy takes. A dataset
-    the catalog doesn't know gives an 'add' for each column, a vanished one a 'deprecate' for each.
+    the catalog doesn't know gives an 'add' for each column, a vanished one a 'deprecate' for each. A 'move' is a column
+    of unchanged type whose place among the columns of both schemas differs.
     """
     new = _field_list(spark, found).alias("new")
     old = _field_list(spark, known).alias("old")
-    return (
-        old.join(new, ["dataset", "column"], "full_outer")
-        .filter(~F.col("old.type").eqNullSafe(F.col("new.type")))
-        .select(
-            "dataset",
-            "column",
-            F.coalesce("new.position", "old.position").alias("position"),
-            F.col("old.type").alias("old_type"),
-            F.col("new.type").alias("new_type"),
-            F.when(F.col("old.type").isNull(), ADD)
-            .when(F.col("new.type").isNull(), DEPRECATE)
-            .otherwise(CHANGE)
-            .alias("action"),
+    both = F.col("old.type").isNotNull() & F.col("new.type").isNotNull()
+    columns_of = Window.partitionBy("dataset", both)
+    compared = old.join(new, ["dataset", "column"], "full_outer").select(
+        "dataset",
+        "column",
+        F.coalesce("new.position", "old.position").alias("position"),
+        F.col("old.type").alias("old_type"),
+        F.col("new.type").alias("new_type"),
+        F.when(F.col("old.type").isNull(), ADD)
+        .when(F.col("new.type").isNull(), DEPRECATE)
+        .when(F.col("old.type") != F.col("new.type"), CHANGE)
+        .when(
+            F.row_number().over(columns_of.orderBy("old.position"))
+            != F.row_number().over(columns_of.orderBy("new.position")),
+            MOVE,
         )
+        .alias("action"),
     )
+    return compared.filter(F.col("action").isNotNull())
 
 
 def _field_list(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:
