@@ -109,6 +109,14 @@ def test_the_format_argument_is_honoured(spark, database):
     assert {r[0] for r in spark.read.text(f"{base}/t").collect()} == {"id", "1"}
 
 
+def test_parquet_is_written_with_zstd(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1,)], "id int")
+    write_catalog(df, db, "t", f"{base}/t")
+    write_overwrite(df, f"{base}/u", database=db, table="u")
+    assert list(Path(base).glob("t/*.zstd.parquet")) and list(Path(base).glob("u/*.zstd.parquet"))
+
+
 def test_rerun_of_a_day_replaces_that_day_only(spark, database):
     db, base = database
     df = spark.createDataFrame([(1, DAY), (2, DAY)], "id int, load_date date")

@@ -6,7 +6,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.sinks.ddl import (
-    CSV_OPTIONS,
+    FORMAT_OPTIONS,
     SNAPSHOT_COLUMN,
     columns_ddl,
     options_ddl,
@@ -80,9 +80,7 @@ def write_overwrite(
 
     Never give a path the rows are read from: Spark empties it before it reads.
     """
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS)
+    writer = df.write.format(fmt).mode("overwrite").options(**FORMAT_OPTIONS.get(fmt, {}))
     if table is None:
         writer.save(path)
     else:
