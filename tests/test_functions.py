@@ -123,12 +123,12 @@ def test_total_amount_overflow_is_an_error(spark):
 def test_means_skip_missing_values(spark):
     df = spark.createDataFrame([(1, 10.0), (3, 20.0), (None, 40.0), (5, None)], "q int, p double")
     assert df.agg(fn.mean_amount(F.col("q"), F.col("p"))).first()[0] == 35.0
-    assert math.isclose(df.agg(fn.mean_price(F.col("p"))).first()[0], 70 / 3)
+    assert math.isclose(df.agg(fn.mean_money(F.col("p"))).first()[0], 70 / 3)
 
 
 def test_means_over_nothing_are_null(spark):
     df = spark.createDataFrame([], "q int, p double")
-    out = df.agg(fn.mean_amount(F.col("q"), F.col("p")), fn.mean_price(F.col("p")), fn.total_amount(F.col("q"), F.col("p")))
+    out = df.agg(fn.mean_amount(F.col("q"), F.col("p")), fn.mean_money(F.col("p")), fn.total_amount(F.col("q"), F.col("p")))
     assert tuple(out.first()) == (None, None, None)
 
 

@@ -223,6 +223,27 @@ def test_metrics_do_not_depend_on_partitioning(spark):
     assert rows(plans.product_metrics(one, products)) == rows(plans.product_metrics(many, products))
 
 
+def test_report_sums_do_not_depend_on_partitioning(spark):
+    money = (F.col("id") * 7919 % 1_000_003 * 1_000_003 / 100).alias("total_spent")
+    cm = spark.range(20_000).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 9).alias("total_transactions"), money, F.lit(1.0).alias("avg_transaction_amount")
+    )
+    pm = spark.range(20_000).select(
+        (F.col("id") % 3).cast("string").alias("category"),
+        F.col("id").alias("total_units_sold"),
+        money.alias("total_revenue"),
+        F.lit(1.0).alias("avg_price"),
+        F.lit(1).alias("unique_customers"),
+    )
+    for report, gold_rows in (
+        (plans.customer_segment_value, cm),
+        (plans.customer_purchase_frequency, cm),
+        (plans.category_performance_analysis, pm),
+    ):
+        one, many = report(gold_rows.coalesce(1)), report(gold_rows.repartition(7))
+        assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(

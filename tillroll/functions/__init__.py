@@ -5,10 +5,11 @@ from tillroll.functions.aggregates import (
     distinct_count,
     int_avg,
     mean_amount,
-    mean_price,
+    mean_money,
     ratio_of_sums,
     row_count,
     total_amount,
+    total_money,
     value_count,
 )
 from tillroll.functions.money import line_amount, line_units, money_units, units_to_double
@@ -26,12 +27,13 @@ __all__ = [
     "line_amount",
     "line_units",
     "mean_amount",
-    "mean_price",
+    "mean_money",
     "money_units",
     "ratio_of_sums",
     "row_count",
     "share_pct",
     "total_amount",
+    "total_money",
     "units_to_double",
     "value_count",
     "value_segment",

@@ -30,20 +30,24 @@ def distinct_count(value: Column, rsd: float | None = None) -> Column:
     return F.count_distinct(value) if rsd is None else F.approx_count_distinct(value, rsd)
 
 
+def total_money(amount: Column) -> Column:
+    """Exact sum of a money column."""
+    return units_to_double(F.sum(money_units(amount)))
+
+
+def mean_money(amount: Column) -> Column:
+    """Plain mean of a money column over the rows where it is present, from the exact sum."""
+    return F.try_divide(total_money(amount), F.count(amount))
+
+
 def total_amount(quantity: Column, unit_price: Column) -> Column:
     """Exact sum of quantity times price."""
     return units_to_double(F.sum(line_units(quantity, unit_price)))
 
 
 def mean_amount(quantity: Column, unit_price: Column) -> Column:
-    """Mean of quantity times price over the rows where both are present."""
-    units = line_units(quantity, unit_price)
-    return F.try_divide(units_to_double(F.sum(units)), F.count(units))
-
-
-def mean_price(unit_price: Column) -> Column:
-    """Plain mean of the price per row, not weighted by quantity."""
-    return F.try_divide(units_to_double(F.sum(money_units(unit_price))), F.count(unit_price))
+    """Mean of quantity times price over the rows where both are present, from the exact sum."""
+    return F.try_divide(total_amount(quantity, unit_price), F.count(line_units(quantity, unit_price)))
 
 
 def int_avg(value: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.aggregates import (
     distinct_count,
     mean_amount,
-    mean_price,
+    mean_money,
     row_count,
     total_amount,
     value_count,
@@ -60,7 +60,7 @@ def product_metrics(
     metrics = joined.groupBy(_KEY).agg(
         F.sum("quantity").alias("total_units_sold"),
         total_amount(quantity, price).alias("total_revenue"),
-        mean_price(price).alias("avg_price"),
+        mean_money(price).alias("avg_price"),
         distinct_count(F.col("customer_id"), distinct_rsd).alias("unique_customers"),
     )
     return metrics.join(_names_by_key(products), _KEY).select(

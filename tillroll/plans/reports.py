@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.aggregates import count_where, int_avg, ratio_of_sums, row_count
+from tillroll.functions.aggregates import count_where, int_avg, mean_money, ratio_of_sums, row_count, total_money
+from tillroll.functions.money import money_units, units_to_double
 from tillroll.functions.scalars import date_or_today, days_between, epoch_micros_to_ts
 from tillroll.functions.segments import (
     FREQUENT_FROM,
@@ -29,7 +30,7 @@ def customer_segment_value(
         .groupBy("customer_segment")
         .agg(
             row_count().alias("customer_count"),
-            F.avg("total_spent").alias("avg_spent"),
+            mean_money(F.col("total_spent")).alias("avg_spent"),
             int_avg(F.col("total_transactions")).alias("avg_transactions"),
         )
     )
@@ -65,11 +66,13 @@ def category_performance_analysis(pm: DataFrame) -> DataFrame:
     twice. ``category_avg_price`` is the unweighted mean of the subcategories' means. Both are meant so.
     """
     rolled = pm.groupBy("category").agg(
-        F.sum("total_revenue").alias("category_revenue"),
+        total_money(F.col("total_revenue")).alias("category_revenue"),
         F.sum("total_units_sold").alias("category_units"),
         F.sum("unique_customers").alias("total_customers"),
         F.avg("avg_price").alias("category_avg_price"),
-        ratio_of_sums(F.col("total_revenue"), F.col("unique_customers")).alias("revenue_per_customer"),
+        units_to_double(ratio_of_sums(money_units(F.col("total_revenue")), F.col("unique_customers"))).alias(
+            "revenue_per_customer"
+        ),
     )
     return order_desc(rolled, "category_revenue")
 
@@ -93,7 +96,7 @@ def customer_purchase_frequency(
         .groupBy("frequency_segment")
         .agg(
             row_count().alias("customer_count"),
-            F.avg("total_spent").alias("avg_total_spent"),
+            mean_money(F.col("total_spent")).alias("avg_total_spent"),
             F.avg("avg_transaction_amount").alias("avg_transaction_value"),
         )
     )

@@ -28,12 +28,11 @@ def _global_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rollup_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rolled = pm(spark, sf_dir).groupBy("category").agg(
+    return pm(spark, sf_dir).groupBy("category").agg(
         a.row_count().alias("subcategories"),
         F.sum("total_units_sold").alias("category_units"),
-        F.sum("total_revenue").alias("category_revenue"),
+        a.total_money(F.col("total_revenue")).alias("category_revenue"),
     )
-    return v.round6(rolled, "category_revenue")
 
 
 def _agg_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +62,7 @@ QUERIES = {
     "agg_avg": lambda s, d: _by_product(
         v.tx(s, d),
         mean_amount=a.mean_amount(F.col("quantity"), F.col("unit_price")),
-        mean_price=a.mean_price(F.col("unit_price")),
+        mean_price=a.mean_money(F.col("unit_price")),
     ),
     "agg_avg_int": lambda s, d: _by_product(v.tx(s, d), mean=a.int_avg(F.col("transaction_id") % 11 - 7)),
     "agg_min_max": lambda s, d: _by_product(
@@ -87,7 +86,8 @@ FROM cm GROUP BY {FREQUENCY_CASE}""",
     "global_agg": f"""WITH {v.TX} SELECT count(*) AS transactions, CAST(sum(quantity) AS BIGINT) AS units,
        min(transaction_date) AS first_purchase, max(transaction_date) AS last_purchase FROM tx""",
     "rollup_category": f"""{GOLD_PM} SELECT category, count(*) AS subcategories,
-       CAST(sum(total_units_sold) AS BIGINT) AS category_units, round(sum(total_revenue), 6) AS category_revenue
+       CAST(sum(total_units_sold) AS BIGINT) AS category_units,
+       {v.EXACT_SUM.format('total_revenue')} AS category_revenue
 FROM pm GROUP BY category""",
     "agg_count_star": _product_sql(v.TX_RAW, "tx_raw", "count(*) AS transactions"),
     "agg_count_col": _product_sql(v.TX_RAW, "tx_raw", "count(unit_price) AS priced, count(quantity) AS counted"),

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.plans.jobs import Config, run_gold, run_reports, run_silver
+from tillroll.plans.reports import customer_segment_value
 from tillroll.plans.silver import process_products
 from tillroll.registry import reports as r
 from tillroll.registry import views as v
@@ -107,7 +108,7 @@ def _sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sink_report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, base = _database(spark, "snapshots")
     create_report_tables(spark, database, base)
-    report = r.segment_value(r.cm(spark, sf_dir))
+    report = customer_segment_value(r.cm(spark, sf_dir))
     for day in (v.AS_OF, v.AS_OF, NEXT_DAY):
         write_snapshot(report, database, "customer_segment_value", day)
     return scan_catalog(spark, database, "customer_segment_value")
@@ -192,20 +193,22 @@ def _run_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Column of each report that goes to each place of the common shape.
 REPORT_SHAPES = {
-    "customer_segment_value": ("customer_segment", "NULL", "customer_count", "avg_spent", "avg_transactions"),
+    "customer_segment_value": ("customer_segment", "NULL", "customer_count", "avg_spent", "avg_transactions", "NULL"),
     "customer_activity_analysis": (
         "'all'",
         "NULL",
         "total_customers",
         "active_90_days",
-        "inactive_90_days + 1000 * avg_customer_lifespan",
+        "inactive_90_days",
+        "avg_customer_lifespan",
     ),
     "category_performance_analysis": (
         "category",
         "CAST(total_customers AS {text})",
         "category_units",
         "category_revenue",
-        "category_avg_price + revenue_per_customer",
+        "category_avg_price",
+        "revenue_per_customer",
     ),
     "top_performing_subcategories": (
         "category",
@@ -213,6 +216,7 @@ REPORT_SHAPES = {
         "total_units_sold",
         "total_revenue",
         "category_revenue_share",
+        "NULL",
     ),
     "customer_purchase_frequency": (
         "frequency_segment",
@@ -220,15 +224,17 @@ REPORT_SHAPES = {
         "customer_count",
         "avg_total_spent",
         "avg_transaction_value",
+        "NULL",
     ),
 }
 
 
 def _report_select(name: str, text: str, source: str) -> str:
-    one, two, n, x, y = (part.format(text=text) for part in REPORT_SHAPES[name])
+    one, two, n, *measures = (part.format(text=text) for part in REPORT_SHAPES[name])
+    x, y, z = (f"round(CAST({measure} AS DOUBLE), 4)" for measure in measures)
     return (
         f"SELECT '{name}' AS report, {one} AS key_1, CAST({two} AS {text}) AS key_2, CAST({n} AS BIGINT) AS n, "
-        f"round(CAST({x} AS DOUBLE), 4) AS x, round(CAST({y} AS DOUBLE), 4) AS y, spst_date FROM {source}"
+        f"{x} AS x, {y} AS y, {z} AS z, spst_date FROM {source}"
     )
 
 

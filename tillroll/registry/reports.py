@@ -1,5 +1,7 @@
 """Queries for the user-level operators: cleaning rules, metrics and reports."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.plans.gold import customer_metrics, product_metrics
@@ -30,42 +32,45 @@ def pm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_metrics(v.tx(spark, sf_dir), v.products(spark, sf_dir))
 
 
-def pm_large(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return product_metrics(v.tx_large(spark, sf_dir), v.products(spark, sf_dir))
+def cm_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_metrics(v.tx_large(spark, sf_dir))
 
 
-def segment_value(gold: DataFrame) -> DataFrame:
-    return v.round6(customer_segment_value(gold), "avg_spent")
+def pm_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_metrics(v.tx_large(spark, sf_dir), v.products(spark, sf_dir))
 
 
 def category_performance(gold: DataFrame) -> DataFrame:
-    return v.round6(
-        category_performance_analysis(gold), "category_revenue", "category_avg_price", "revenue_per_customer"
-    )
+    return v.rounded(category_performance_analysis(gold), "category_avg_price", "revenue_per_customer")
 
 
 def purchase_frequency(gold: DataFrame) -> DataFrame:
-    return v.round6(customer_purchase_frequency(gold), "avg_total_spent", "avg_transaction_value")
+    return v.rounded(customer_purchase_frequency(gold), "avg_transaction_value")
 
 
 # The reports as SELECTs over cm and pm; other modules reuse them.
 SEGMENT_VALUE_SQL = f"""SELECT {VALUE_CASE} AS customer_segment, count(*) AS customer_count,
-       round(avg(total_spent), 6) AS avg_spent,
+       {v.EXACT_SUM.format('total_spent')} / count(total_spent) AS avg_spent,
        CAST(sum(total_transactions) // count(total_transactions) AS BIGINT) AS avg_transactions
 FROM cm GROUP BY 1"""
 
-ACTIVITY_SQL = f"""SELECT count(*) AS total_customers,
-       count(CASE WHEN datediff('day', last_purchase, DATE '{v.AS_OF}') <= 90 THEN 1 END) AS active_90_days,
-       count(CASE WHEN datediff('day', last_purchase, DATE '{v.AS_OF}') > 90 THEN 1 END) AS inactive_90_days,
+
+def activity_sql(as_of: date) -> str:
+    return f"""SELECT count(*) AS total_customers,
+       count(CASE WHEN datediff('day', last_purchase, DATE '{as_of}') <= 90 THEN 1 END) AS active_90_days,
+       count(CASE WHEN datediff('day', last_purchase, DATE '{as_of}') > 90 THEN 1 END) AS inactive_90_days,
        CAST(sum(datediff('day', first_purchase, last_purchase))
             // count(datediff('day', first_purchase, last_purchase)) AS BIGINT) AS avg_customer_lifespan
 FROM cm"""
 
-CATEGORY_SQL = """SELECT category, round(sum(total_revenue), 6) AS category_revenue,
+
+ACTIVITY_SQL = activity_sql(v.AS_OF)
+
+CATEGORY_SQL = f"""SELECT category, {v.EXACT_SUM.format('total_revenue')} AS category_revenue,
        CAST(sum(total_units_sold) AS BIGINT) AS category_units,
        CAST(sum(unique_customers) AS BIGINT) AS total_customers,
-       round(avg(avg_price), 6) AS category_avg_price,
-       round(sum(total_revenue) / nullif(CAST(sum(unique_customers) AS DOUBLE), 0), 6) AS revenue_per_customer
+       round(avg(avg_price), 4) AS category_avg_price,
+       round(sum(total_revenue) / nullif(CAST(sum(unique_customers) AS DOUBLE), 0), 4) AS revenue_per_customer
 FROM pm GROUP BY category"""
 
 SUBCATEGORY_SQL = """SELECT category, subcategory, total_revenue, total_units_sold,
@@ -74,8 +79,8 @@ SUBCATEGORY_SQL = """SELECT category, subcategory, total_revenue, total_units_so
 FROM pm"""
 
 FREQUENCY_SQL = f"""SELECT {FREQUENCY_CASE} AS frequency_segment, count(*) AS customer_count,
-       round(avg(total_spent), 6) AS avg_total_spent,
-       round(avg(avg_transaction_amount), 6) AS avg_transaction_value
+       {v.EXACT_SUM.format('total_spent')} / count(total_spent) AS avg_total_spent,
+       round(avg(avg_transaction_amount), 4) AS avg_transaction_value
 FROM cm GROUP BY 1"""
 
 GOLD_CM = f"WITH {v.TX}, {v.CM}"
@@ -89,14 +94,17 @@ QUERIES = {
     "process_transactions": lambda s, d: process_transactions(v.tx_raw(s, d), v.AS_OF),
     "customer_metrics": cm,
     "product_metrics": pm,
-    "customer_segment_value": lambda s, d: segment_value(cm(s, d)),
+    "customer_segment_value": lambda s, d: customer_segment_value(cm(s, d)),
     "customer_activity_analysis": lambda s, d: customer_activity_analysis(cm(s, d), v.AS_OF),
     "category_performance_analysis": lambda s, d: category_performance(pm(s, d)),
     "top_performing_subcategories": lambda s, d: top_performing_subcategories(pm(s, d)),
     "customer_purchase_frequency": lambda s, d: purchase_frequency(cm(s, d)),
-    "customer_metrics_large": lambda s, d: customer_metrics(v.tx_large(s, d)),
+    "customer_metrics_large": cm_large,
     "product_metrics_large": pm_large,
-    "customer_segment_value_large": lambda s, d: segment_value(customer_metrics(v.tx_large(s, d))),
+    "customer_segment_value_large": lambda s, d: customer_segment_value(cm_large(s, d)),
+    "customer_activity_analysis_large": lambda s, d: customer_activity_analysis(cm_large(s, d), v.AS_OF_LARGE),
+    "category_performance_analysis_large": lambda s, d: category_performance(pm_large(s, d)),
+    "customer_purchase_frequency_large": lambda s, d: purchase_frequency(cm_large(s, d)),
     "top_performing_subcategories_large": lambda s, d: top_performing_subcategories(pm_large(s, d)),
 }
 
@@ -120,5 +128,8 @@ SELECT *, DATE '{v.AS_OF}' AS load_date FROM tx_raw WHERE quantity IS NOT NULL A
     "customer_metrics_large": f"{GOLD_CM_LARGE} SELECT * FROM cm",
     "product_metrics_large": f"{GOLD_PM_LARGE} SELECT * FROM pm",
     "customer_segment_value_large": f"{GOLD_CM_LARGE} {SEGMENT_VALUE_SQL}",
+    "customer_activity_analysis_large": f"{GOLD_CM_LARGE} {activity_sql(v.AS_OF_LARGE)}",
+    "category_performance_analysis_large": f"{GOLD_PM_LARGE} {CATEGORY_SQL}",
+    "customer_purchase_frequency_large": f"{GOLD_CM_LARGE} {FREQUENCY_SQL}",
     "top_performing_subcategories_large": f"{GOLD_PM_LARGE} {SUBCATEGORY_SQL}",
 }

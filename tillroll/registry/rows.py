@@ -73,7 +73,7 @@ QUERIES = {
     ),
     "join_tx_products": lambda s, d: _joined(s, d, salts=1),
     "join_tx_products_salted": lambda s, d: _joined(s, d, salts=8),
-    "window_partition_sum": lambda s, d: v.round6(
+    "window_partition_sum": lambda s, d: v.rounded(
         partition_total(
             pm(s, d).select("category", "subcategory", "total_revenue"), "total_revenue", ["category"], "category_total"
         ),
@@ -119,7 +119,7 @@ SELECT customer_id, total_transactions, {FREQUENCY_CASE} AS frequency_segment FR
     "join_tx_products": _JOIN_SQL,
     "join_tx_products_salted": _JOIN_SQL,
     "window_partition_sum": f"""{GOLD_PM} SELECT category, subcategory, total_revenue,
-       round(sum(total_revenue) OVER (PARTITION BY category), 6) AS category_total FROM pm""",
+       round(sum(total_revenue) OVER (PARTITION BY category), 4) AS category_total FROM pm""",
     "window_share": f"""{GOLD_PM} SELECT category, subcategory, total_revenue,
        round(total_revenue * 100.0 / nullif(sum(total_revenue) OVER (PARTITION BY category), 0), 2) AS share FROM pm""",
     "order_by_agg": f"""{GOLD_PM} SELECT category, CAST(sum(total_units_sold) AS BIGINT) AS category_units

@@ -6,15 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = date(2024, 4, 27)
+AS_OF_LARGE = date(2001, 10, 1)  # 90 days before lies inside the order dates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def round6(df: DataFrame, *columns: str) -> DataFrame:
-    """Doubles that were summed or averaged in no fixed order, rounded so that they compare equal."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Means of means, which are summed in no fixed order, to four decimals so that they compare equal."""
+    return df.withColumns({c: F.round(c, 4) for c in columns})
+
+
+# A sum of money doubles, exact as the library's.
+EXACT_SUM = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
 def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
