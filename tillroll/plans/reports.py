@@ -83,7 +83,8 @@ def top_performing_subcategories(pm: DataFrame, n: int | None = None) -> DataFra
     All rows unless ``n`` is given. The share is NULL where the category's revenue is zero.
     """
     rows = pm.select("category", "subcategory", "total_revenue", "total_units_sold")
-    shares = partition_share(rows, "total_revenue", ["category"], "category_revenue_share")
+    rows = rows.withColumn("_units", money_units(F.col("total_revenue")))
+    shares = partition_share(rows, "_units", ["category"], "category_revenue_share").drop("_units")
     return order_desc(shares, "total_revenue", n)
 
 
