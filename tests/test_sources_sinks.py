@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -346,3 +347,15 @@ def test_a_type_change_of_owned_data_is_refused(spark, database):
 def test_scratch_is_under_the_checkpoint_folder(spark):
     first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir") + "/a_")
+
+
+@pytest.mark.parametrize(("master", "refused"), [("local[8]", False), ("yarn", True), ("spark://host:7077", True)])
+def test_scratch_without_a_shared_folder(master, refused):
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
+    )
+    if refused:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(session, "a")
+    else:
+        assert Path(scratch_dir(session, "a")).parent.is_dir()
