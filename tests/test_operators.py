@@ -167,3 +167,10 @@ def test_order_desc_puts_nulls_first(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,), (2.0,)], "x double")
     assert rows(op.order_desc(df, "x")) == [(None,), (3.0,), (2.0,), (1.0,)]
     assert rows(op.order_desc(df, "x", 2)) == [(None,), (3.0,)]
+
+
+def test_order_desc_breaks_ties_by_the_other_columns(spark):
+    df = spark.createDataFrame([("b", 1.0, 2), ("a", 1.0, 2), ("a", 1.0, 1), ("z", 2.0, 9)], "k string, x double, n int")
+    expected = [("z", 2.0, 9), ("a", 1.0, 1), ("a", 1.0, 2), ("b", 1.0, 2)]
+    assert rows(op.order_desc(df.repartition(4), "x")) == expected
+    assert rows(op.order_desc(df.repartition(3, "n"), "x", 2)) == expected[:2]
