@@ -104,6 +104,14 @@ def test_new_and_missing_columns(spark, database, fmt):
     assert rows(scan_catalog(spark, db, "t"), "id") == [(1, "a", None), (2, None, 0.5)]
 
 
+def test_odd_column_names(spark, database):
+    db, base = database
+    df = spark.createDataFrame([(1, "a")], T.StructType([T.StructField("the id", T.IntegerType()), T.StructField("na`me", T.StringType())]))
+    write_catalog(df.select("the id"), db, "t", f"{base}/t")
+    write_catalog(df, db, "t", f"{base}/t")
+    assert rows(scan_catalog(spark, db, "t")) in ([(1, None), (1, "a")], [(1, "a"), (1, None)])
+
+
 def test_the_format_argument_is_honoured(spark, database):
     db, base = database
     write_catalog(spark.createDataFrame([(1,)], "id int"), db, "t", f"{base}/t", "csv")

@@ -62,12 +62,17 @@ def quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def identifier(name: str) -> str:
+    """A name for use as an identifier in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def table_name(database: str, table: str) -> str:
-    return f"`{database}`.`{table}`"
+    return f"{identifier(database)}.{identifier(table)}"
 
 
 def columns_ddl(columns: Mapping[str, str]) -> str:
-    return ", ".join(f"`{name}` {type_}" for name, type_ in columns.items())
+    return ", ".join(f"{identifier(name)} {type_}" for name, type_ in columns.items())
 
 
 def options_ddl(fmt: str) -> str:
@@ -83,7 +88,7 @@ def schema_columns(schema: T.StructType) -> dict[str, str]:
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the database if absent. Never drops one."""
     at = f"LOCATION '{quoted(location)}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` {at}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(database)} {at}")
 
 
 def register_table(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:

@@ -9,6 +9,7 @@ from tillroll.sinks.ddl import (
     FORMAT_OPTIONS,
     SNAPSHOT_COLUMN,
     columns_ddl,
+    identifier,
     options_ddl,
     quoted,
     schema_columns,
@@ -53,7 +54,7 @@ def _ensure_table(
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl(fresh)})")
         return
     columns |= {c: "date" for c in partition}
-    by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition)})" if partition else ""
+    by = f"PARTITIONED BY ({', '.join(map(identifier, partition))})" if partition else ""
     spark.sql(
         f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} {by} LOCATION '{quoted(path)}'"
     )
@@ -69,7 +70,7 @@ def _insert(rows: DataFrame, name: str, partition: Mapping[str, date], mode: str
 
 
 def _partition_spec(partition: Mapping[str, date]) -> str:
-    spec = ", ".join(f"`{c}` = DATE'{day.isoformat()}'" for c, day in partition.items())
+    spec = ", ".join(f"{identifier(c)} = DATE'{day.isoformat()}'" for c, day in partition.items())
     return f"PARTITION ({spec})" if spec else ""
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tillroll.sinks.ddl import table_name
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
@@ -55,4 +57,4 @@ def scan_parquet(spark: SparkSession, root: str) -> DataFrame:
 
 def scan_catalog(spark: SparkSession, database: str, table: str) -> DataFrame:
     """A catalog table by name."""
-    return spark.table(f"`{database}`.`{table}`")
+    return spark.table(table_name(database, table))
