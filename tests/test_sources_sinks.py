@@ -301,6 +301,16 @@ def test_a_column_new_at_the_end_is_added_in_place(spark, database):
     assert ("k", "kept") in rows(spark.sql(f"SHOW TBLPROPERTIES {db}.t"))
 
 
+@pytest.mark.parametrize("moment", ["2024-01-15 10:30:00", "2024-01-15T10:30:00.5", "2024-01-15T10:30:00Z"])
+def test_a_discovered_moment_reads_as_it_was_inferred(spark, database, moment):
+    db, base = database
+    csv(f"{base}/raw", "t.csv", f"id,at\n1,{moment}\n")
+    crawl(spark, db, f"{base}/raw")
+    table = scan_catalog(spark, db, "t")
+    assert table.schema["at"].dataType == T.TimestampType()
+    assert table.first()["at"].replace(microsecond=0) == datetime(2024, 1, 15, 10, 30)
+
+
 def test_columns_that_only_moved(spark, database):
     db, base = database
     raw = f"{base}/raw"

@@ -17,7 +17,7 @@ from tillroll.plans.silver import process_products
 from tillroll.registry import reports as r
 from tillroll.registry import views as v
 from tillroll.session import scratch_dir
-from tillroll.sinks.ddl import REPORT_TABLES, create_report_tables, ensure_database, table_name
+from tillroll.sinks.ddl import REPORT_TABLES, create_report_tables, ensure_database
 from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import (
     apply_drift,
@@ -28,6 +28,7 @@ from tillroll.sources.drift import (
 )
 from tillroll.sources.scan import scan_catalog, scan_csv, scan_format, scan_parquet
 from tillroll.sources.schemas import RAW
+from tillroll.sqltext import table_name
 
 NEXT_DAY = v.AS_OF + timedelta(days=1)
 

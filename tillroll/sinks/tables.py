@@ -5,9 +5,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.sinks.ddl import (
+from tillroll.sinks.ddl import SNAPSHOT_COLUMN
+from tillroll.sqltext import (
     FORMAT_OPTIONS,
-    SNAPSHOT_COLUMN,
     columns_ddl,
     identifier,
     options_ddl,

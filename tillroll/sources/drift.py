@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.sinks.ddl import columns_ddl, options_ddl, quoted, schema_columns, table_name
 from tillroll.sources.scan import scan_format
+from tillroll.sqltext import columns_ddl, quoted, schema_columns, table_name
 
 ADD, CHANGE, MOVE, DEPRECATE = "add", "change", "move", "deprecate"
 DEPRECATED_PROPERTY = "deprecated.columns"
@@ -135,8 +135,9 @@ def apply_drift(
 def _register(
     spark: SparkSession, name: str, columns: dict[str, str], path: str, fmt: str, deprecated: set[str]
 ) -> None:
+    options = "OPTIONS (header 'true')" if fmt == "csv" else ""  # as the schema was inferred
     spark.sql(
-        f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}' "
+        f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options} LOCATION '{quoted(path)}' "
         f"TBLPROPERTIES ({_mark(deprecated)})"
     )
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillroll.sinks.ddl import table_name
+from tillroll.sqltext import table_name
 
 CORRUPT_COLUMN = "_corrupt_record"
 
