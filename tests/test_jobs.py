@@ -108,7 +108,7 @@ def test_append_mode_adds_rows(spark, cfg):
     assert spark.table(f"{cfg().database}.transactions").count() == 8
 
 
-@pytest.mark.parametrize("options", [{"silver_format": "csv"}, {"gold_format": "orc"}, {"infer_schema": True}])
+@pytest.mark.parametrize("options", [{"silver_format": "csv"}, {"silver_format": "json"}, {"gold_format": "orc"}, {"infer_schema": True}])
 def test_formats_and_inference(spark, cfg, options):
     (Path(cfg().base_uri) / "raw" / "products.csv").write_text(PRODUCTS.replace("word", ""))
     run_silver(spark, cfg(**options))
@@ -188,6 +188,17 @@ def test_every_job_works_when_the_catalog_was_lost(spark, cfg):
     assert read_gold(spark, cfg()) == (CM, PM)
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "orc"])
+def test_gold_of_any_format_is_registered_with_its_types(spark, cfg, fmt):
+    run_silver(spark, cfg())
+    run_gold(spark, gold(cfg, gold_format=fmt))
+    for table in ("customer_metrics", "product_metrics"):
+        spark.sql(f"DROP TABLE {cfg().database}.{table}")
+    run_reports(spark, reports(cfg, gold_format=fmt))
+    assert read_gold(spark, cfg()) == (CM, PM)
+    assert rows(spark.table(f"{cfg().reporting_database}.customer_activity_analysis")) == [(2, 1, 1, 0, DAY)]
+
+
 def test_command_line(spark, cfg, capsys):
     config = cfg()
     common = ["--base-uri", config.base_uri, "--database", config.database, "--as-of", "2024-04-27"]

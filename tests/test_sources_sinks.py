@@ -70,10 +70,11 @@ def test_formats_round_trip(spark, tmp_path, fmt):
         assert scan_format(spark, f"{tmp_path}/t", fmt).schema == SMALL
 
 
-def test_csv_keeps_microseconds(spark, tmp_path):
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_text_keeps_microseconds(spark, tmp_path, fmt):
     df = spark.sql("SELECT TIMESTAMP'2024-01-15 10:30:00.123456' AS a, TIMESTAMP_NTZ'2024-01-15 10:30:00.123456' AS b")
-    write_overwrite(df, f"{tmp_path}/t", "csv")
-    assert rows(scan_format(spark, f"{tmp_path}/t", "csv", df.schema)) == rows(df)
+    write_overwrite(df, f"{tmp_path}/t", fmt)
+    assert rows(scan_format(spark, f"{tmp_path}/t", fmt, df.schema)) == rows(df)
 
 
 def test_parquet_root_keeps_the_partition_column(spark, tmp_path):

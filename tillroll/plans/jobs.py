@@ -22,6 +22,7 @@ from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
 from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format
 from tillroll.sources.schemas import GOLD, RAW, SILVER
+from tillroll.sqltext import TEXT_FORMATS
 
 PROCESS = {
     "customers": process_customers,
@@ -132,7 +133,7 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
 
 
 def _silver(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
-    schema = SILVER[name] if cfg.silver_format == "csv" else None
+    schema = SILVER[name] if cfg.silver_format in TEXT_FORMATS else None
     df = scan_format(spark, cfg.source(name), cfg.silver_format, schema)
     return df if cfg.load_date is None else df.filter(F.col("load_date") == F.lit(cfg.load_date))
 
@@ -143,8 +144,9 @@ def run_reports(spark: SparkSession, cfg: Config) -> None:
     Gold is read by name from the catalog; where that has lost the tables, they are registered again from ``in_path``.
     """
     create_report_tables(spark, cfg.reporting_database, cfg.target(""))
-    for name in GOLD:
-        register_table(spark, cfg.database, name, cfg.source(name), cfg.gold_format)
+    for name, schema in GOLD.items():
+        declared = schema if cfg.gold_format in TEXT_FORMATS else None
+        register_table(spark, cfg.database, name, cfg.source(name), cfg.gold_format, declared)
     day = cfg.day(spark)
     cm = scan_catalog(spark, cfg.database, "customer_metrics")
     pm = scan_catalog(spark, cfg.database, "product_metrics")

@@ -1,8 +1,9 @@
 """Databases and report tables."""
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
-from tillroll.sqltext import columns_ddl, identifier, options_ddl, quoted, table_name
+from tillroll.sqltext import columns_ddl, identifier, options_ddl, quoted, schema_columns, table_name
 
 SNAPSHOT_COLUMN = "spst_date"
 
@@ -50,11 +51,19 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(database)} {at}")
 
 
-def register_table(spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet") -> None:
-    """Make the files under ``path`` a table of the catalog, if it doesn't know one by that name."""
+def register_table(
+    spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet", schema: T.StructType | None = None
+) -> None:
+    """Make the files under ``path`` a table of the catalog, if it doesn't know one by that name.
+
+    Text formats need the ``schema``; others bring their own.
+    """
     ensure_database(spark, database)
-    name = table_name(database, table)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}'")
+    columns = f"({columns_ddl(schema_columns(schema))})" if schema else ""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table_name(database, table)} {columns} USING {fmt} {options_ddl(fmt)} "
+        f"LOCATION '{quoted(path)}'"
+    )
 
 
 def create_report_tables(spark: SparkSession, database: str, location: str | None = None) -> None:

@@ -4,14 +4,19 @@ from collections.abc import Mapping
 
 from pyspark.sql import types as T
 
-# CSV: header row, and timestamps to the microsecond (Spark's default would cut them to milliseconds).
+# Text formats, which don't hold the types of their columns.
+TEXT_FORMATS = ("csv", "json")
+
+# Timestamps in text keep their microseconds (Spark's default would cut them to milliseconds).
+_MOMENTS = {
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+}
+
 # Parquet: zstd, a third smaller than the default codec on silver transactions at the same speed.
 FORMAT_OPTIONS = {
-    "csv": {
-        "header": "true",
-        "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    },
+    "csv": {"header": "true", **_MOMENTS},
+    "json": _MOMENTS,
     "parquet": {"compression": "zstd"},
 }
 
