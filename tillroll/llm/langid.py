@@ -3,7 +3,8 @@
 A text becomes the counts of its letter n-grams (one to three letters, lower case, words padded by one blank), hashed
 into ``DIM`` buckets, damped, weighted by inverse document frequency and normalised. Every language has several
 centroids, from spherical k-means over its training texts. A text gets the language of the centroid with the largest
-cosine. It is rejected if it lies further from that centroid than any training text of the language did, by a margin.
+cosine. It is rejected if its cosine is under ``rejection`` times the least that any training text has to its nearest
+centroid. Short texts lie far out by nature, so the margin is wide.
 
 Fitting uses at most ``per_language`` labelled texts of each language (a bound on the classifier's sample, drawn by
 hash); prediction covers every text, whole.
@@ -104,7 +105,7 @@ def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
 
 
 class Model:
-    """Languages, their centroids as unit rows, the weight of each bucket, and the least cosine of each language."""
+    """Languages, their centroids as unit rows, the weight of each bucket, and the least cosine that is accepted."""
 
     def __init__(self, idf, languages, centroids, least):
         self.idf, self.languages, self.centroids, self.least = idf, languages, centroids, least
@@ -122,11 +123,11 @@ class Model:
         known = np.array([c is not None for c in found], bool)
         score = np.where(known, np.clip(cosines[np.arange(len(best)), best], 0, 1), 0).astype(float)
         names = [self.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
-        return names, score, ~known | (score < self.least[best])
+        return names, score, ~known | (score < self.least)
 
 
-def fit(docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection: float = 0.6) -> Model:
-    """A model of the labelled rows that may teach. ``rejection`` scales the least cosine seen in training."""
+def fit(docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection: float = 0.35) -> Model:
+    """A model of the labelled rows that may teach. ``rejection``: see above."""
 
     def vectors(batch: pa.RecordBatch) -> list[tuple]:
         found = ((lang.as_py(), counts(text.as_py())) for lang, text in zip(batch["lang"], batch["text"], strict=True))
@@ -139,7 +140,7 @@ def fit(docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection:
     def centroids(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         x = unit(np.array([np.frombuffer(v, np.float32) for v in group["vector"]]) * idf)
         c = k_means(x, clusters)
-        least = float((x @ c.T).max(axis=1).min()) * rejection
+        least = float((x @ c.T).max(axis=1).min())
         return pd.DataFrame({"lang": key[0], "cluster": range(len(c)), "vector": [v.astype(np.float32).tobytes() for v in c], "least": least})
 
     sample = staged(map_rows(training_sample(docs, per_language), vectors, "lang string, vector binary"), "langid")
@@ -150,7 +151,7 @@ def fit(docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection:
     found = sample.groupBy("lang").applyInPandas(centroids, "lang string, cluster int, vector binary, least double").collect()
     found = sorted(found, key=lambda r: (r["lang"], r["cluster"]))
     matrix = np.array([np.frombuffer(r["vector"], np.float32) for r in found]).reshape(len(found), DIM)
-    return Model(idf, [r["lang"] for r in found], matrix, np.array([r["least"] for r in found]))
+    return Model(idf, [r["lang"] for r in found], matrix, rejection * min((r["least"] for r in found), default=0.0))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
