@@ -1,6 +1,6 @@
 """The operators as queries over the given tables, and equivalent SQL where SQL can express them."""
 
-from . import exact_dedup, langid, minhash, mixing, packing
+from . import exact_dedup, langid, licenses, lines, minhash, mixing, packing, pii, tokens, topk
 from .common import table
 
 #: Wanted shares of the tokens by quality label, 1 being good text.
@@ -11,15 +11,32 @@ def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op2_pii(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op3_licenses(spark, sf_dir):
+    return licenses.scan_corpus(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op5_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op6_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.fit(docs))
 
 
+def op7_token_counts(spark, sf_dir):
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,12 +50,21 @@ def op9_mixing(spark, sf_dir):
     return rated.withColumn("copies", mixing.copies(rated["rate"], rated["doc_id"]))
 
 
+def op10_lines(spark, sf_dir):
+    return lines.remove_boilerplate(table(spark, sf_dir, "documents"), site_col="source", min_sites=8)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_pii": op2_pii,
+    "op3_licenses": op3_licenses,
     "op4_packing": op4_packing,
+    "op5_topk": op5_topk,
     "op6_langid": op6_langid,
+    "op7_token_counts": op7_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
+    "op10_lines": op10_lines,
 }
 
 #: The sequence of words and the sets of shingles as the contract has them; copies of a set are linked as one.
@@ -76,4 +102,29 @@ ranked AS (SELECT doc_id, p, first_value(doc_id) OVER (PARTITION BY p ORDER BY n
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(p) AS text_sha256 FROM ranked
 """
 
-ORACLES = {"op1_minhash": OP1_SQL, "op8_exact_dedup": OP8_SQL}
+OP5_SQL = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM good q JOIN good c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+OP10_SQL = r"""
+WITH pieces AS (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, source, unnest(l) AS line, generate_subscripts(l, 1) AS pos FROM pieces),
+bare AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS key FROM lines),
+drop AS (SELECT key FROM bare WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= 8),
+marked AS (SELECT b.*, d.key IS NOT NULL AS gone FROM bare b LEFT JOIN drop d ON b.key = d.key),
+clean AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
+    count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed FROM marked GROUP BY doc_id)
+SELECT d.doc_id, c.text, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN clean c ON d.doc_id = c.doc_id
+"""
+
+ORACLES = {"op1_minhash": OP1_SQL, "op5_topk": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op10_lines": OP10_SQL}
