@@ -12,7 +12,7 @@ from tillroll.functions.aggregates import (
     total_money,
     value_count,
 )
-from tillroll.functions.money import line_amount, line_units, money_units, units_to_double
+from tillroll.functions.money import line_amount, line_parts, money_parts, money_units, total_of, units_to_double
 from tillroll.functions.scalars import date_or_today, days_between, epoch_micros_to_ts, share_pct, whole_div
 from tillroll.functions.segments import frequency_segment, value_segment
 
@@ -25,15 +25,17 @@ __all__ = [
     "frequency_segment",
     "int_avg",
     "line_amount",
-    "line_units",
+    "line_parts",
     "mean_amount",
     "mean_money",
+    "money_parts",
     "money_units",
     "ratio_of_sums",
     "row_count",
     "share_pct",
     "total_amount",
     "total_money",
+    "total_of",
     "units_to_double",
     "value_count",
     "value_segment",

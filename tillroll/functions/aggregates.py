@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import line_units, money_units, units_to_double
+from tillroll.functions.money import line_parts, money_parts, total_of
 from tillroll.functions.scalars import whole_div
 
 
@@ -31,23 +31,23 @@ def distinct_count(value: Column, rsd: float | None = None) -> Column:
 
 
 def total_money(amount: Column) -> Column:
-    """Exact sum of a money column."""
-    return units_to_double(F.sum(money_units(amount)))
+    """Sum of a money column; exact for up to four decimals, and without a cut for others."""
+    return total_of(money_parts(amount))
 
 
 def mean_money(amount: Column) -> Column:
-    """Plain mean of a money column over the rows where it is present, from the exact sum."""
+    """Plain mean of a money column over the rows where it is present, from :func:`total_money`."""
     return F.try_divide(total_money(amount), F.count(amount))
 
 
 def total_amount(quantity: Column, unit_price: Column) -> Column:
-    """Exact sum of quantity times price."""
-    return units_to_double(F.sum(line_units(quantity, unit_price)))
+    """Sum of quantity times price; exact for up to four decimals, and without a cut for others."""
+    return total_of(line_parts(quantity, unit_price))
 
 
 def mean_amount(quantity: Column, unit_price: Column) -> Column:
-    """Mean of quantity times price over the rows where both are present, from the exact sum."""
-    return F.try_divide(total_amount(quantity, unit_price), F.count(line_units(quantity, unit_price)))
+    """Mean of quantity times price over the rows where both are present, from :func:`total_amount`."""
+    return F.try_divide(total_amount(quantity, unit_price), F.count(line_parts(quantity, unit_price)[0]))
 
 
 def int_avg(value: Column) -> Column:
