@@ -141,6 +141,25 @@ def test_salting_spreads_a_hot_product(spark, shuffled):
     assert plain > 0.33 and salted < 0.25
 
 
+def test_only_hot_products_are_repeated(spark, shuffled):
+    products = spark.range(1000).select(F.col("id").cast("int").alias("product_id"), F.lit("c").alias("category"))
+    tx = hot_transactions(spark)
+    hot = op.hot_products(tx)
+    assert hot and len(hot) < 100
+    shares = {r["product_id"]: r["count"] / tx.count() for r in tx.groupBy("product_id").count().collect()}
+    assert hot == sorted(k for k, share in shares.items() if share > 0.01 and k is not None)
+    joined = op.join_tx_products(tx, products, salts=16)
+    assert joined.count() == tx.where("product_id < 1000").count()
+    assert op.hot_products(tx, hot_share=0.9) == []
+
+
+def test_totals_bring_no_partition_together(spark):
+    df = spark.createDataFrame([("a", 0.1)] * 10, "category string, revenue double")
+    total = op.partition_total(df, "revenue", ["category"], "total")
+    assert rows(total.select("total").distinct()) == [(1.0,)]
+    assert "Window" not in total._jdf.queryExecution().executedPlan().toString()
+
+
 def test_partition_total_and_share(spark):
     df = spark.createDataFrame(
         [("a", 1.0), ("a", 2.0), ("b", 0.0), ("c", None), (None, 5.0)], "category string, revenue double"

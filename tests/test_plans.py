@@ -191,13 +191,10 @@ def test_missing_names_form_their_own_groups(spark):
     assert out == {pair: i + 1 for i, pair in enumerate(names)}
 
 
-def test_names_that_share_a_key_fail_instead_of_merging(spark, monkeypatch):
-    monkeypatch.setattr(gold, "_names_key", lambda: F.lit(1).cast("bigint"))
+def test_names_are_looked_up_with_one_shuffle_and_no_check(spark):
     products = spark.createDataFrame([(1, "p", "a", "x", 1.0, 1), (2, "p", "a", "y", 1.0, 1)], PRODUCTS)
-    tx = spark.createDataFrame([(1, 7, 1, None, 1, 1.0)], TX)
-    with pytest.raises(Exception, match="same 64-bit key"):
-        plans.product_metrics(tx, products).collect()
-    assert plans.product_metrics(tx, products.filter("product_id = 1")).count() == 1
+    text = gold._names_by_key(products)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text and "raise_error" not in text
 
 
 def test_both_sides_may_carry_a_load_date(spark):

@@ -8,6 +8,7 @@ BROADCAST_LIMIT_BYTES = 256 * 1024 * 1024
 _ROW_OVERHEAD_BYTES = 32
 _FIXED_WIDTH_BYTES = 16
 _SALT = "_salt"
+HOT_SHARE = 0.01
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -30,6 +31,7 @@ def join_tx_products(
     *,
     products_are_small: bool = False,
     salts: int = 1,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Inner join of transactions with products on ``product_id``, which is kept once.
 
@@ -38,15 +40,27 @@ def join_tx_products(
     - Default: no hint. Spark broadcasts the products under its own size limit; otherwise it shuffles both sides and
       adaptive execution splits the partitions of hot products.
     - ``products_are_small``: the caller has checked the size (see :func:`measured_bytes`); broadcast them.
-    - ``salts`` > 1, for products too large to broadcast: every product key is spread over that many sub-keys by a hash
-      of the transaction's columns, so that one product holding a third of all rows doesn't end in one shuffle partition
-      even without adaptive execution. The products are repeated once per salt. The hash is a function of the row, so
-      a retried task salts alike; ``tx`` should hold ``transaction_id``, to tell like purchases apart.
+    - ``salts`` > 1, for products too large to broadcast: the hot products, those with over ``hot_share`` of the
+      transactions, are found by a count (one pass over the key column); their transactions are spread over that many
+      sub-keys by a hash of the transaction's columns, and only their rows are repeated once per salt. All others are
+      joined as they are. At most ``1 / hot_share`` ids reach the driver. The hash is a function of the row, so a retried
+      task salts alike; ``tx`` should hold ``transaction_id``, to tell like purchases apart.
     """
     if products_are_small:
         return tx.join(F.broadcast(products), "product_id", "inner")
-    if salts <= 1:
+    hot = hot_products(tx, hot_share) if salts > 1 else []
+    if not hot:
         return tx.join(products, "product_id", "inner")
-    salted_tx = tx.withColumn(_SALT, F.pmod(F.xxhash64(*tx.columns), F.lit(salts)).cast("int"))
-    salted_products = products.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    is_hot, spread = F.col("product_id").isin(hot), F.pmod(F.xxhash64(*tx.columns), F.lit(salts)).cast("int")
+    salted_tx = tx.withColumn(_SALT, F.when(is_hot, spread).otherwise(0))
+    repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_products = products.withColumn(_SALT, F.explode(repeats))
     return salted_tx.join(salted_products, ["product_id", _SALT], "inner").drop(_SALT)
+
+
+def hot_products(tx: DataFrame, hot_share: float = HOT_SHARE) -> list:
+    """The ids with over ``hot_share`` of the transactions, ``1 / hot_share`` at most. Counted, never sampled."""
+    counts = tx.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n")).limit(int(1 / hot_share)).collect()
+    least = hot_share * (tx.count() if top else 0)
+    return sorted(r["product_id"] for r in top if r["n"] > least)

@@ -1,24 +1,36 @@
 """Totals and shares within a partition.
 
-Use these on aggregated rows, as the reports do: a window brings each partition's rows together in one task, and there
-a partition is the list of one category's subcategories, whatever the number of transactions behind it. The window
-buffer spills to disk, so a long list slows that task but doesn't break it.
+The totals are a plain aggregate, combined before its shuffle, and are joined back to the rows: a partition that holds a
+third of all rows is never brought together in one task.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillroll.functions.aggregates import total_money
 from tillroll.functions.scalars import share_pct
 
+_TOTAL = "_partition_total"
+
 
 def partition_total(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
-    """Add the sum of ``value`` over the whole partition."""
-    return df.withColumn(name, F.sum(value).over(Window.partitionBy(*by)))
+    """Add the sum of ``value`` over the whole partition; NULL keys form a partition. Doubles are summed as money."""
+    return _with_total(df, value, by).withColumnRenamed(_TOTAL, name)
 
 
 def partition_share(df: DataFrame, value: str, by: Sequence[str], name: str, digits: int = 2) -> DataFrame:
     """Add ``value`` as a percentage of its partition's total; NULL where the total is zero."""
-    total = F.sum(value).over(Window.partitionBy(*by))
-    return df.withColumn(name, share_pct(F.col(value), total, digits))
+    rows = _with_total(df, value, by)
+    return rows.withColumn(name, share_pct(F.col(value), F.col(_TOTAL), digits)).drop(_TOTAL)
+
+
+def _with_total(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    is_double = isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
+    total = total_money(F.col(value)) if is_double else F.sum(value)
+    keys = {c: f"_key_{i}" for i, c in enumerate(by)}
+    totals = df.groupBy(*(F.col(c).alias(k) for c, k in keys.items())).agg(total.alias(_TOTAL))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
+    return df.join(totals, same, "left").drop(*keys.values())

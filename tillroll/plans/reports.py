@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.aggregates import count_where, int_avg, mean_money, ratio_of_sums, row_count, total_money
-from tillroll.functions.money import money_units, units_to_double
+from tillroll.functions.aggregates import count_where, int_avg, mean_money, row_count, total_money
 from tillroll.functions.scalars import date_or_today, days_between, epoch_micros_to_ts
 from tillroll.functions.segments import (
     FREQUENT_FROM,
@@ -70,9 +69,7 @@ def category_performance_analysis(pm: DataFrame) -> DataFrame:
         F.sum("total_units_sold").alias("category_units"),
         F.sum("unique_customers").alias("total_customers"),
         F.avg("avg_price").alias("category_avg_price"),
-        units_to_double(ratio_of_sums(money_units(F.col("total_revenue")), F.col("unique_customers"))).alias(
-            "revenue_per_customer"
-        ),
+        F.try_divide(total_money(F.col("total_revenue")), F.sum("unique_customers")).alias("revenue_per_customer"),
     )
     return order_desc(rolled, "category_revenue")
 
@@ -83,8 +80,7 @@ def top_performing_subcategories(pm: DataFrame, n: int | None = None) -> DataFra
     All rows unless ``n`` is given. The share is NULL where the category's revenue is zero.
     """
     rows = pm.select("category", "subcategory", "total_revenue", "total_units_sold")
-    rows = rows.withColumn("_units", money_units(F.col("total_revenue")))
-    shares = partition_share(rows, "_units", ["category"], "category_revenue_share").drop("_units")
+    shares = partition_share(rows, "total_revenue", ["category"], "category_revenue_share")
     return order_desc(shares, "total_revenue", n)
 
 
