@@ -19,7 +19,7 @@ CUSTOMERS = """customer_id,first_name,last_name,email,country,city,registration_
 3,Cy,C,cy@x.com,uk,Bath,not a date
 """
 PRODUCTS = """product_id,product_name,category,subcategory,price,supplier_id
-1,Smart 4K TV 55",electronics,TVs,800.00,5
+1,Wall screen 55",electronics,TVs,800.00,5
 2,Novel,books,fiction,10.00,6
 3,Ghost,books,fiction,,6
 4,Lamp,home,light,word,6
@@ -142,6 +142,58 @@ def test_products_over_the_limit_are_joined_by_salted_shuffle(spark, cfg, monkey
     assert plans == [{"products_are_small": True, "salts": 4}, {"products_are_small": False, "salts": 4}]
 
 
+def test_inferred_prices_with_cents_after_whole_ones(spark, cfg):
+    raw = Path(cfg().base_uri) / "raw"
+    (raw / "products.csv").write_text("product_id,product_name,category,subcategory,price,supplier_id\n1,a,b,c,10,5\n")
+    run_silver(spark, cfg(infer_schema=True))
+    (raw / "products.csv").write_text("product_id,product_name,category,subcategory,price,supplier_id\n2,a,b,c,19.99,x\n")
+    run_silver(spark, cfg(infer_schema=True, as_of=NEXT))
+    table = spark.table(f"{cfg().database}.products")
+    assert rows(table.select("product_id", "price", "supplier_id", "load_date"), "product_id") == [
+        (1, 10.0, "5", DAY),
+        (2, 19.99, "x", NEXT),
+    ]
+
+
+def moved_columns(text, order):
+    lines = [line.split(",") for line in text.splitlines()]
+    return "".join(",".join(line[i] for i in order) + "\n" for line in lines)
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_silver_in_csv_is_read_by_name(spark, cfg, lost):
+    raw = Path(cfg().base_uri) / "raw"
+    (raw / "transactions.csv").write_text(moved_columns(TRANSACTIONS, [0, 2, 1, 3, 5, 4, 6]))
+    run_silver(spark, cfg(silver_format="csv"))
+    if lost:
+        spark.sql(f"DROP TABLE {cfg().database}.transactions")
+    run_gold(spark, gold(cfg, silver_format="csv"))
+    assert read_gold(spark, cfg())[1] == PM
+
+
+def test_products_of_several_loads_count_once(spark, cfg):
+    run_silver(spark, cfg())
+    raw = Path(cfg().base_uri) / "raw"
+    (raw / "transactions.csv").write_text(TRANSACTIONS.splitlines()[0] + "\n")
+    run_silver(spark, cfg(as_of=NEXT))
+    run_gold(spark, gold(cfg))
+    once = read_gold(spark, cfg())[1]
+    assert once == PM
+    run_gold(spark, gold(cfg, all_product_loads=True))
+    assert read_gold(spark, cfg())[1] != once
+    run_gold(spark, gold(cfg, product_load_date=DAY))
+    assert read_gold(spark, cfg())[1] == once
+
+
+def test_reports_read_the_gold_they_are_pointed_to(spark, cfg):
+    run_silver(spark, cfg())
+    run_gold(spark, gold(cfg))
+    run_gold(spark, cfg(in_path="silver", out_path="other"))
+    run_reports(spark, reports(cfg))
+    where = spark.sql(f"DESCRIBE EXTENDED {cfg().database}.customer_metrics").where("col_name = 'Location'").first()
+    assert where["data_type"].endswith("/gold/customer_metrics")
+
+
 def test_gold_refuses_to_replace_its_input(spark, cfg):
     with pytest.raises(ValueError, match="must differ"):
         run_gold(spark, cfg(in_path="silver", out_path="/silver/"))

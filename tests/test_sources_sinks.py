@@ -346,7 +346,7 @@ def test_a_deprecated_column_that_comes_back_as_another_type(spark, database):
     csv(raw, "t.csv", "id,old\n1,0.5\n")
     spark.sql(
         f"CREATE TABLE {db}.t (id INT, old STRING) USING csv OPTIONS (header 'true') LOCATION '{raw}/t.csv' "
-        "TBLPROPERTIES ('deprecated.columns' = 'old')"
+        """TBLPROPERTIES ('deprecated.columns' = '["old"]')"""
     )
     crawl(spark, db, raw)
     assert [(f.name, f.dataType.simpleString()) for f in catalog_schemas(spark, db)["t"]] == [("id", "int"), ("old", "double")]

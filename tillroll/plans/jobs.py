@@ -22,7 +22,7 @@ from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
 from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format
 from tillroll.sources.schemas import GOLD, RAW, SILVER
-from tillroll.sqltext import TEXT_FORMATS
+from tillroll.sqltext import TEXT_FORMATS, table_name
 
 PROCESS = {
     "customers": process_customers,
@@ -38,7 +38,9 @@ class Config:
     ``in_path`` and ``out_path`` are folders under ``base_uri``. ``database`` holds the silver and gold tables,
     ``reporting_database`` the reports, ``raw_database`` the raw datasets that discovery finds. ``as_of`` is the load
     and snapshot date, by default the session's current date. ``mode`` 'overwrite' replaces what an earlier run of the
-    same day wrote; 'append' adds to it. ``load_date`` makes gold read one day's silver rows instead of all.
+    same day wrote; 'append' adds to it. ``load_date`` makes gold read one day's silver transactions instead of all.
+    The products are those of their latest load, of ``product_load_date``, or with ``all_product_loads`` of all loads
+    (a product that was loaded twice then counts its transactions twice).
     """
 
     base_uri: str
@@ -53,6 +55,8 @@ class Config:
     gold_format: str = "parquet"
     infer_schema: bool = False
     load_date: date | None = None
+    product_load_date: date | None = None
+    all_product_loads: bool = False
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES
     product_salts: int = 16
 
@@ -117,12 +121,18 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
 
     Transactions are scanned once per table, each scan with its own few columns: at scale that is cheaper than keeping
     the union of the columns. Products are measured first and broadcast only if they fit ``broadcast_limit_bytes``;
-    beyond it the join is shuffled and salted. All load dates count, unless ``load_date`` picks one.
+    beyond it the join is shuffled, with the hot products salted. All load dates of the transactions count, unless
+    ``load_date`` picks one, and the latest load of the products.
     """
     if cfg.in_path.strip("/") == cfg.out_path.strip("/"):
         raise ValueError("in_path and out_path must differ: gold replaces what lies under its path")
     ensure_database(spark, cfg.database)
     tx, products = _silver(spark, cfg, "transactions"), _silver(spark, cfg, "products")
+    if cfg.load_date is not None:
+        tx = tx.filter(F.col("load_date") == F.lit(cfg.load_date))
+    if not cfg.all_product_loads:
+        day = cfg.product_load_date or products.agg(F.max("load_date")).first()[0]
+        products = products.filter(F.col("load_date") == F.lit(day))
     fits = measured_bytes(product_keys(products)) <= cfg.broadcast_limit_bytes
     gold = {
         "customer_metrics": customer_metrics(tx),
@@ -133,15 +143,20 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
 
 
 def _silver(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
-    schema = SILVER[name] if cfg.silver_format in TEXT_FORMATS else None
-    df = scan_format(spark, cfg.source(name), cfg.silver_format, schema)
-    return df if cfg.load_date is None else df.filter(F.col("load_date") == F.lit(cfg.load_date))
+    """A silver table by its catalog name; where the catalog has lost it, its files, with the columns found by name."""
+    if spark.catalog.tableExists(table_name(cfg.database, name)):
+        return scan_catalog(spark, cfg.database, name)
+    path, schema = cfg.source(name), None
+    if cfg.silver_format in TEXT_FORMATS:
+        schema = header_schema(spark, path, SILVER[name]) if cfg.silver_format == "csv" else SILVER[name]
+    return scan_format(spark, path, cfg.silver_format, schema)
 
 
 def run_reports(spark: SparkSession, cfg: Config) -> None:
     """Write the five reports as the day's snapshot under ``out_path``.
 
-    Gold is read by name from the catalog; where that has lost the tables, they are registered again from ``in_path``.
+    Gold is read by name from the catalog; where that has lost the tables, or they are over another folder than
+    ``in_path``, they are registered again.
     """
     create_report_tables(spark, cfg.reporting_database, cfg.target(""))
     for name, schema in GOLD.items():

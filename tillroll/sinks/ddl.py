@@ -1,5 +1,7 @@
 """Databases and report tables."""
 
+import re
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -54,16 +56,27 @@ def ensure_database(spark: SparkSession, database: str, location: str | None = N
 def register_table(
     spark: SparkSession, database: str, table: str, path: str, fmt: str = "parquet", schema: T.StructType | None = None
 ) -> None:
-    """Make the files under ``path`` a table of the catalog, if it doesn't know one by that name.
+    """Make the files under ``path`` a table of the catalog.
 
+    A table of that name over another folder is registered again over ``path``; one that owns its data is refused that.
     Text formats need the ``schema``; others bring their own.
     """
     ensure_database(spark, database)
+    name = table_name(database, table)
+    if spark.catalog.tableExists(name):
+        described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        if _plain(described.get("Location", "")) == _plain(path):
+            return
+        if described.get("Type") != "EXTERNAL":
+            raise ValueError(f"{name} owns its data under {described.get('Location')}, not under {path}")
+        spark.sql(f"DROP TABLE {name}")
     columns = f"({columns_ddl(schema_columns(schema))})" if schema else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table_name(database, table)} {columns} USING {fmt} {options_ddl(fmt)} "
-        f"LOCATION '{quoted(path)}'"
-    )
+    spark.sql(f"CREATE TABLE {name} {columns} USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}'")
+
+
+def _plain(location: str) -> str:
+    """A location without the ways to spell a local file's scheme."""
+    return re.sub("^file:/*", "/", location).rstrip("/")
 
 
 def create_report_tables(spark: SparkSession, database: str, location: str | None = None) -> None:

@@ -1,13 +1,16 @@
 """Sinks: catalog tables, plain paths and report snapshots."""
 
+import uuid
 from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.sinks.ddl import SNAPSHOT_COLUMN
 from tillroll.sqltext import (
     FORMAT_OPTIONS,
+    TEXT_FORMATS,
     columns_ddl,
     identifier,
     options_ddl,
@@ -30,6 +33,9 @@ def write_catalog(
     """Write rows under ``path`` and create or update the catalog table over it.
 
     Columns new to the table are added to it first (older rows read NULL); columns the rows lack are written as NULL.
+    A column whose type differs gets a type that holds both (whole numbers, then double, else text): no value is ever
+    stored through a narrowing cast. Where the older files can't be read under the new type, they are rewritten into a
+    fresh folder beside ``path``, which the table then points to.
     ``partition`` names one constant partition, as in ``{"load_date": day}``. ``mode`` is 'append', or 'overwrite' to
     replace the rows: of that partition only if one is given, so that a rerun of the same day changes nothing, else of
     the whole table.
@@ -39,27 +45,104 @@ def write_catalog(
     spark, name = df.sparkSession, table_name(database, table)
     partition = dict(partition or {})
     rows = df.drop(*partition)
-    _ensure_table(spark, name, rows, path, fmt, partition)
+    if spark.catalog.tableExists(name):
+        rows = _fit_table(spark, name, rows, path, fmt, partition)
+    else:
+        _create(spark, name, schema_columns(rows.schema), path, fmt, partition)
     _insert(rows, name, partition, mode)
 
 
-def _ensure_table(
-    spark: SparkSession, name: str, rows: DataFrame, path: str, fmt: str, partition: Mapping[str, date]
+def _create(
+    spark: SparkSession, name: str, columns: Mapping[str, str], path: str, fmt: str, partition: Mapping[str, date]
 ) -> None:
-    columns = schema_columns(rows.schema)
-    if spark.catalog.tableExists(name):
-        known = {c.lower() for c in spark.table(name).columns}
-        fresh = {c: t for c, t in columns.items() if c.lower() not in known}
-        if fresh:
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl(fresh)})")
-        return
-    columns |= {c: "date" for c in partition}
+    columns = {**columns, **{c: "date" for c in partition}}
     by = f"PARTITIONED BY ({', '.join(map(identifier, partition))})" if partition else ""
     spark.sql(
         f"CREATE TABLE {name} ({columns_ddl(columns)}) USING {fmt} {options_ddl(fmt)} {by} LOCATION '{quoted(path)}'"
     )
 
 
+_WHOLE = ["tinyint", "smallint", "int", "bigint"]
+_EXACT_IN_DOUBLE = 1 << 53
+
+
+def common_type(old: str, new: str) -> str:
+    """The narrowest type that holds the values of both: of whole numbers the wider, with fractions double, else text."""
+    if old == new:
+        return old
+    if old in _WHOLE and new in _WHOLE:
+        return _WHOLE[max(_WHOLE.index(old), _WHOLE.index(new))]
+    if {old, new} <= {*_WHOLE, "float", "double"}:
+        return "double"
+    return "string"
+
+
+def _reads_as(fmt: str, old: str, new: str) -> bool:
+    """Whether files that hold ``old`` can be read as ``new``."""
+    if fmt in TEXT_FORMATS:
+        return old != "string"
+    if fmt != "parquet":
+        return False
+    return (old in _WHOLE and new in _WHOLE) or (old in _WHOLE[:3] and new == "double") or (old, new) == ("float", "double")
+
+
+def _fit_table(
+    spark: SparkSession, name: str, rows: DataFrame, path: str, fmt: str, partition: Mapping[str, date]
+) -> DataFrame:
+    """Add the rows' new columns to the table and widen its types where needed; gives the rows under its types."""
+    table = spark.table(name)
+    held = {f.name.lower(): (f.name, f.dataType.simpleString()) for f in table.schema if f.name not in partition}
+    columns = schema_columns(rows.schema)
+    fresh = {c: t for c, t in columns.items() if c.lower() not in held}
+    shared = {c: (*held[c.lower()], t) for c, t in columns.items() if c.lower() in held}
+    target = {c: (old_name, common_type(old, new)) for c, (old_name, old, new) in shared.items() if old != new}
+    for c, (old_name, type_) in target.items():
+        if type_ == "double":
+            _refuse_long(rows, c, name)
+    wider = {old_name: type_ for old_name, type_ in target.values() if held[old_name.lower()][1] != type_}
+    if wider:
+        _widen(spark, name, table, wider, path, fmt, partition)
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns_ddl(fresh)})")
+    return rows.withColumns({c: F.col(identifier(c)).cast(type_) for c, (_, type_) in target.items()})
+
+
+def _refuse_long(rows: DataFrame, column: str, name: str) -> None:
+    """Whole numbers that a double can't hold are refused by name."""
+    if dict(rows.dtypes)[column] == "bigint":
+        beyond = F.max(F.col(identifier(column)) > _EXACT_IN_DOUBLE) | F.min(F.col(identifier(column)) < -_EXACT_IN_DOUBLE)
+        if rows.agg(F.coalesce(beyond, F.lit(False))).first()[0]:
+            raise ValueError(f"{column} of {name} is double, but has whole numbers beyond 2 ** 53")
+
+
+def _widen(
+    spark: SparkSession,
+    name: str,
+    table: DataFrame,
+    wider: Mapping[str, str],
+    path: str,
+    fmt: str,
+    partition: Mapping[str, date],
+) -> None:
+    """Register the external table again with wider types, over the same files if they can be read so."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    if described.get("Type") != "EXTERNAL":
+        raise ValueError(f"{name} owns its data: the types of {sorted(wider)} can't be changed")
+    old = schema_columns(table.schema)
+    location = described["Location"]
+    for c, type_ in wider.items():
+        if type_ == "double":
+            _refuse_long(table, c, name)
+    if not all(_reads_as(fmt, old[c], type_) for c, type_ in wider.items()):
+        location = f"{path.rstrip('/')}_{uuid.uuid4().hex[:8]}"
+        cast = table.withColumns({c: F.col(identifier(c)).cast(type_) for c, type_ in wider.items()})
+        cast.write.format(fmt).options(**FORMAT_OPTIONS.get(fmt, {})).partitionBy(*partition).save(location)
+    spark.sql(f"DROP TABLE {name}")
+    _create(spark, name, {c: wider.get(c, t) for c, t in old.items() if c not in partition}, location, fmt, partition)
+    if partition:
+        spark.catalog.recoverPartitions(name)
+
+
 def _insert(rows: DataFrame, name: str, partition: Mapping[str, date], mode: str) -> None:
     spark = rows.sparkSession
     into = "INTO" if mode == "append" else "OVERWRITE TABLE"

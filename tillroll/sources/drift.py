@@ -4,7 +4,7 @@ Policy: every dataset is read again on every run; new and changed columns update
 are marked as deprecated.
 """
 
-import re
+import json
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,15 +22,15 @@ _FIELDS = "dataset string, column string, position int, type string"
 def discover_datasets(spark: SparkSession, base: str) -> dict[str, str]:
     """Name and path of each dataset: the files and folders directly under ``base``, named without extension.
 
-    Lists files without opening them. Only the distinct names come to the driver. Two entries of one name are refused.
+    Lists that one level only. Names that start with a dot or an underscore are passed over, and two entries of one
+    name are refused.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select("path")
-    folder = re.sub("^[a-z0-9]+:", "", base.rstrip("/"))  # listed paths may spell the scheme in another way
-    folder = re.sub("^///", "/", folder)
-    entry = F.regexp_extract("path", rf"^.*?\Q{folder}\E/([^/]+)", 1)
-    entries = [row["entry"] for row in files.select(entry.alias("entry")).distinct().collect()]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(base)
+    listed = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    entries = [e for e in (status.getPath().getName() for status in listed) if not e.startswith((".", "_"))]
     names = [entry.split(".")[0] for entry in entries]
-    if "" in names or len(set(names)) < len(names):
+    if len(set(names)) < len(names):
         raise ValueError(f"each dataset under {base} needs a name of its own, found {sorted(entries)}")
     return {name: f"{base.rstrip('/')}/{entry}" for name, entry in sorted(zip(names, entries))}
 
@@ -104,7 +104,7 @@ def apply_drift(
     """Bring the catalog up to date with a drift table.
 
     An unknown dataset becomes an external table over its files. Columns that vanished stay, after all others, and are
-    listed in the table property ``deprecated.columns``. Columns new at the end are added in place. A changed type, or
+    listed in the table property ``deprecated.columns``, as JSON. Columns new at the end are added in place. A changed type, or
     in CSV (which is read by position) a changed order, re-registers the external table over the same files, since
     Spark can't alter those in place; a table that owns its data is refused that.
     """
@@ -149,9 +149,9 @@ def _refuse_owned(spark: SparkSession, name: str) -> None:
 
 
 def _mark(deprecated: set[str]) -> str:
-    return f"'{DEPRECATED_PROPERTY}' = '{quoted(','.join(sorted(deprecated)))}'"
+    return f"'{DEPRECATED_PROPERTY}' = '{quoted(json.dumps(sorted(deprecated)))}'"
 
 
 def _deprecated(spark: SparkSession, name: str) -> set[str]:
     marks = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == DEPRECATED_PROPERTY).collect()
-    return {c for row in marks for c in row["value"].split(",") if c}
+    return {c for row in marks for c in json.loads(row["value"])}

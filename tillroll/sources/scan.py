@@ -43,9 +43,9 @@ def header_schema(spark: SparkSession, path: str, declared: T.StructType) -> T.S
 def scan_format(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType | None = None, **options: object
 ) -> DataFrame:
-    """Files of any format Spark can read. CSV gets a header and, without ``schema``, inferred types."""
+    """Files of any format Spark can read. CSV gets a header, which must match ``schema``; without one, inferred types."""
     if fmt == "csv":
-        options = {"header": True, **({} if schema else {"inferSchema": True}), **options}
+        options = {"header": True, **({"enforceSchema": False} if schema else {"inferSchema": True}), **options}
     reader = spark.read.format(fmt).options(**options)
     return (reader.schema(schema) if schema else reader).load(path)
 
