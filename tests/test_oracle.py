@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle import connect, difference
+from tillroll.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,13 +18,18 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, key):
-    assert difference(entry.queries()[key](spark, SF_DIR), duck, entry.oracle_sql()[key]) is None
+    assert difference(QUERIES[key](spark, SF_DIR), duck, ORACLES[key]) is None
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+def test_every_query_is_registered():
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 def test_entry(spark):

@@ -51,6 +51,13 @@ def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, RAW["customers"])
 
 
+def _scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'scan_csv')}/customers.csv"
+    write_overwrite(v.raw_files(spark, sf_dir)["customers"], path, "csv")
+    inferred = scan_csv(spark, path)
+    return inferred.withColumn("customer_id", F.col("customer_id").cast("bigint"))  # int or bigint, by the values
+
+
 def _scan_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'scan_format')}/transactions"
     write_overwrite(v.tx_raw(spark, sf_dir), path, "orc")
@@ -99,6 +106,17 @@ def _sink_catalog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_catalog(spark, database, "customers")
 
 
+def _sink_catalog_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole prices first, then prices with cents, then suppliers as text."""
+    database, base = _database(spark, "type_change")
+    products = v.products_raw(spark, sf_dir).select("product_id", "price", "supplier_id").where("NOT isnan(price)")
+    whole = products.withColumn("price", F.floor("price").cast("int"))
+    texts = products.withColumn("supplier_id", F.concat(F.lit("s"), F.col("supplier_id").cast("string")))
+    for rows in (whole, products, texts):
+        write_catalog(rows, database, "products", f"{base}/products")
+    return scan_catalog(spark, database, "products")
+
+
 def _sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'overwrite')}/products"
     write_overwrite(v.products_raw(spark, sf_dir), path)
@@ -144,6 +162,46 @@ def _gold_config(spark: SparkSession, sf_dir: str) -> Config:
     return cfg
 
 
+MOVED = {
+    "customers": ["city", "email", "customer_id", "first_name", "last_name", "country", "registration_date"],
+    "products": ["price", "subcategory", "product_id", "product_name", "category", "supplier_id"],
+    "transactions": [
+        "product_id",
+        "customer_id",
+        "unit_price",
+        "quantity",
+        "transaction_id",
+        "transaction_date",
+        "payment_method",
+    ],
+}
+
+
+def _gold_csv_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold over silver in CSV whose raw files hold the columns in another order."""
+    database, base = _database(spark, "retail_csv")
+    for name, df in v.raw_files(spark, sf_dir).items():
+        write_overwrite(df.select(MOVED[name]), f"{base}/raw/{name}.csv", "csv")
+    cfg = Config(base, "raw", "silver", database, as_of=v.AS_OF, silver_format="csv")
+    run_silver(spark, cfg)
+    run_gold(spark, replace(cfg, in_path="silver", out_path="gold"))
+    return _gold_rows(spark, database)
+
+
+def _gold_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold over two days of transactions, each with the full products and customers."""
+    database, base = _database(spark, "retail_loads")
+    for part, day in enumerate((v.AS_OF, NEXT_DAY)):
+        raw = v.raw_files(spark, sf_dir)
+        raw["transactions"] = raw["transactions"].where(F.col("transaction_id") % 2 == part)
+        for name, df in raw.items():
+            write_overwrite(df, f"{base}/raw_{part}/{name}.csv", "csv")
+        cfg = Config(base, f"raw_{part}", "silver", database, as_of=day)
+        run_silver(spark, cfg)
+    run_gold(spark, replace(cfg, in_path="silver", out_path="gold"))
+    return _gold_rows(spark, database)
+
+
 def _run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the three silver tables in one common shape."""
     database = _silver_config(spark, sf_dir).database
@@ -167,8 +225,11 @@ def _run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_rows(spark, _gold_config(spark, sf_dir).database)
+
+
+def _gold_rows(spark: SparkSession, database: str) -> DataFrame:
     """The rows of the two gold tables in one common shape."""
-    database = _gold_config(spark, sf_dir).database
     cm = scan_catalog(spark, database, "customer_metrics").selectExpr(
         "CAST(customer_id AS STRING) AS key_1",
         "CAST(NULL AS STRING) AS key_2",
@@ -252,16 +313,20 @@ def _run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "scan_csv": _scan_csv,
+    "scan_csv_inferred": _scan_csv_inferred,
     "scan_format": _scan_format,
     "scan_parquet": lambda s, d: scan_parquet(s, f"{d}/orders.parquet"),
     "scan_catalog": _scan_catalog,
     "schema_drift": _schema_drift,
     "sink_catalog_append": _sink_catalog_append,
+    "sink_catalog_type_change": _sink_catalog_type_change,
     "sink_overwrite": _sink_overwrite,
     "sink_report_snapshot": _sink_report_snapshot,
     "ddl_reports": _ddl_reports,
     "run_silver": _run_silver,
     "run_gold": _run_gold,
+    "run_gold_csv_silver": _gold_csv_silver,
+    "run_gold_two_loads": _gold_two_loads,
     "run_reports": _run_reports,
 }
 
@@ -286,8 +351,16 @@ _REPORTS = {
     "customer_purchase_frequency": r.FREQUENCY_SQL,
 }
 
+_GOLD_ROWS = f"""{_SILVER_GOLD}
+SELECT CAST(customer_id AS VARCHAR) AS key_1, CAST(NULL AS VARCHAR) AS key_2, total_transactions AS n,
+       total_spent AS total, avg_transaction_amount AS mean, first_purchase, last_purchase,
+       CAST(NULL AS BIGINT) AS customers FROM cm
+UNION ALL SELECT category, subcategory, total_units_sold, total_revenue, avg_price, CAST(NULL AS TIMESTAMP),
+       CAST(NULL AS TIMESTAMP), unique_customers FROM pm"""
+
 ORACLES = {
     "scan_csv": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
+    "scan_csv_inferred": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
     "scan_format": f"WITH {v.TX_RAW} SELECT * FROM tx_raw",
     "scan_parquet": "SELECT * FROM orders",
     "scan_catalog": "SELECT * FROM part",
@@ -306,6 +379,11 @@ ORACLES = {
     "sink_catalog_append": f"""WITH {v.CUSTOMERS_RAW}
 SELECT customer_id, email, country, CAST(NULL AS VARCHAR) AS city FROM customers_raw
 UNION ALL SELECT customer_id, email, country, city FROM customers_raw""",
+    "sink_catalog_type_change": f"""WITH {v.PRODUCTS_RAW}, p AS (
+  SELECT product_id, price, CAST(supplier_id AS VARCHAR) AS supplier_id FROM products_raw
+  WHERE price IS NULL OR NOT isnan(price))
+SELECT product_id, floor(price) AS price, supplier_id FROM p
+UNION ALL SELECT * FROM p UNION ALL SELECT product_id, price, 's' || supplier_id FROM p""",
     "sink_overwrite": r.ORACLES["process_products"],
     "sink_report_snapshot": f"""{r.GOLD_CM}, report AS ({r.SEGMENT_VALUE_SQL})
 SELECT report.*, day AS spst_date FROM report, (VALUES ({_day(v.AS_OF)}), ({_day(NEXT_DAY)})) AS days(day)""",
@@ -317,12 +395,9 @@ UNION ALL SELECT 'products', product_id, {v.initcap_sql("category")}, {v.initcap
        {_day(v.AS_OF)} FROM products_raw WHERE price IS NOT NULL AND NOT isnan(price) AND supplier_id IS NOT NULL
 UNION ALL SELECT 'transactions', transaction_id, CAST(customer_id AS VARCHAR), CAST(product_id AS VARCHAR), unit_price,
        {_day(v.AS_OF)} FROM tx_raw WHERE quantity IS NOT NULL AND unit_price IS NOT NULL""",
-    "run_gold": f"""{_SILVER_GOLD}
-SELECT CAST(customer_id AS VARCHAR) AS key_1, CAST(NULL AS VARCHAR) AS key_2, total_transactions AS n,
-       total_spent AS total, avg_transaction_amount AS mean, first_purchase, last_purchase,
-       CAST(NULL AS BIGINT) AS customers FROM cm
-UNION ALL SELECT category, subcategory, total_units_sold, total_revenue, avg_price, CAST(NULL AS TIMESTAMP),
-       CAST(NULL AS TIMESTAMP), unique_customers FROM pm""",
+    "run_gold": _GOLD_ROWS,
+    "run_gold_csv_silver": _GOLD_ROWS,
+    "run_gold_two_loads": _GOLD_ROWS,
     "run_reports": _SILVER_GOLD
     + "\n"
     + "\nUNION ALL ".join(

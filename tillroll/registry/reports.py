@@ -3,6 +3,7 @@
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.plans.gold import customer_metrics, product_metrics
 from tillroll.plans.reports import (
@@ -15,6 +16,7 @@ from tillroll.plans.reports import (
 from tillroll.plans.silver import process_customers, process_products, process_transactions
 from tillroll.registry import views as v
 
+# The segments' labels and limits.
 VALUE_CASE = (
     "CASE WHEN total_spent >= 1000 THEN 'High Value' WHEN total_spent >= 500 THEN 'Medium Value' ELSE 'Low Value' END"
 )
@@ -40,6 +42,25 @@ def pm_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_metrics(v.tx_large(spark, sf_dir), v.products(spark, sf_dir))
 
 
+def cm_unit_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean is multiplied by its count, since means of cents lie right between two cents at times."""
+    metrics = customer_metrics(v.tx_unit_price(spark, sf_dir))
+    mean_times_n = F.col("avg_transaction_amount") * F.col("total_transactions")
+    return v.rounded(metrics.withColumn("avg_transaction_amount", mean_times_n), "total_spent", "avg_transaction_amount", digits=2)
+
+
+def pm_unit_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = product_metrics(v.tx_unit_price(spark, sf_dir), v.products(spark, sf_dir))
+    return v.rounded(metrics, "total_revenue", "avg_price", digits=2)
+
+
+def activity_epoch_micros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity report over gold whose moments are microseconds since the epoch."""
+    gold = cm(spark, sf_dir)
+    moments = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("first_purchase", "last_purchase")}
+    return customer_activity_analysis(gold.withColumns(moments), v.AS_OF)
+
+
 def category_performance(gold: DataFrame) -> DataFrame:
     return v.rounded(category_performance_analysis(gold), "category_avg_price", "revenue_per_customer")
 
@@ -99,6 +120,9 @@ QUERIES = {
     "category_performance_analysis": lambda s, d: category_performance(pm(s, d)),
     "top_performing_subcategories": lambda s, d: top_performing_subcategories(pm(s, d)),
     "customer_purchase_frequency": lambda s, d: purchase_frequency(cm(s, d)),
+    "customer_metrics_unit_price": cm_unit_price,
+    "product_metrics_unit_price": pm_unit_price,
+    "customer_activity_epoch_micros": activity_epoch_micros,
     "customer_metrics_large": cm_large,
     "product_metrics_large": pm_large,
     "customer_segment_value_large": lambda s, d: customer_segment_value(cm_large(s, d)),
@@ -125,6 +149,12 @@ SELECT *, DATE '{v.AS_OF}' AS load_date FROM tx_raw WHERE quantity IS NOT NULL A
     "category_performance_analysis": f"{GOLD_PM} {CATEGORY_SQL} ORDER BY category_revenue DESC",
     "top_performing_subcategories": f"{GOLD_PM} {SUBCATEGORY_SQL} ORDER BY total_revenue DESC",
     "customer_purchase_frequency": f"{GOLD_CM} {FREQUENCY_SQL}",
+    "customer_metrics_unit_price": f"""WITH {v.TX_UNIT_PRICE}, {v.CM}
+SELECT * REPLACE (round(total_spent, 2) AS total_spent, 
+  round(avg_transaction_amount * total_transactions, 2) AS avg_transaction_amount) FROM cm""",
+    "product_metrics_unit_price": f"""WITH {v.TX_UNIT_PRICE}, {v.PRODUCTS}, {v.PM}
+SELECT * REPLACE (round(total_revenue, 2) AS total_revenue, round(avg_price, 2) AS avg_price) FROM pm""",
+    "customer_activity_epoch_micros": f"{GOLD_CM} {ACTIVITY_SQL}",
     "customer_metrics_large": f"{GOLD_CM_LARGE} SELECT * FROM cm",
     "product_metrics_large": f"{GOLD_PM_LARGE} SELECT * FROM pm",
     "customer_segment_value_large": f"{GOLD_CM_LARGE} {SEGMENT_VALUE_SQL}",

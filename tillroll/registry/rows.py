@@ -11,7 +11,8 @@ from tillroll.operators.joins import join_tx_products
 from tillroll.operators.ordering import order_desc
 from tillroll.operators.windows import partition_share, partition_total
 from tillroll.registry import views as v
-from tillroll.registry.reports import FREQUENCY_CASE, GOLD_CM, GOLD_PM, VALUE_CASE, cm, pm
+from tillroll.plans.reports import customer_segment_value
+from tillroll.registry.reports import FREQUENCY_CASE, GOLD_CM, GOLD_PM, SEGMENT_VALUE_SQL, VALUE_CASE, cm, pm
 
 
 def _line_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +21,10 @@ def _line_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cte_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report under a name of its own, selected again."""
     return spark.sql(
-        f"""WITH customer_segments AS (
-              SELECT {VALUE_CASE} AS customer_segment, count(*) AS customer_count FROM {{cm}} GROUP BY {VALUE_CASE})
-            SELECT * FROM customer_segments""",
-        cm=cm(spark, sf_dir),
+        "WITH by_value AS (SELECT * FROM {report}) SELECT customer_segment, avg_spent FROM by_value WHERE customer_count > 0",
+        report=customer_segment_value(cm(spark, sf_dir)),
     )
 
 
@@ -73,11 +73,8 @@ QUERIES = {
     ),
     "join_tx_products": lambda s, d: _joined(s, d, salts=1),
     "join_tx_products_salted": lambda s, d: _joined(s, d, salts=8),
-    "window_partition_sum": lambda s, d: v.rounded(
-        partition_total(
-            pm(s, d).select("category", "subcategory", "total_revenue"), "total_revenue", ["category"], "category_total"
-        ),
-        "category_total",
+    "window_partition_sum": lambda s, d: partition_total(
+        pm(s, d).select("category", "subcategory", "total_revenue"), "total_revenue", ["category"], "category_total"
     ),
     "window_share": lambda s, d: partition_share(
         pm(s, d).select("category", "subcategory", "total_revenue"), "total_revenue", ["category"], "share"
@@ -110,18 +107,18 @@ WHERE price IS NOT NULL AND NOT isnan(price) AND supplier_id IS NOT NULL""",
 SELECT customer_id, lower(email) AS email, upper(country) AS country, city FROM customers_raw""",
     "add_load_date": f"WITH {v.PRODUCTS} SELECT *, DATE '{v.AS_OF}' AS load_date FROM products",
     "line_amount": f"WITH {v.TX} SELECT transaction_id, CAST(quantity * unit_price AS DOUBLE) AS amount FROM tx",
-    "cte_select": f"""{GOLD_CM}, customer_segments AS (
-  SELECT {VALUE_CASE} AS customer_segment, count(*) AS customer_count FROM cm GROUP BY {VALUE_CASE})
-SELECT * FROM customer_segments""",
+    "cte_select": f"""{GOLD_CM}, by_value AS ({SEGMENT_VALUE_SQL})
+SELECT customer_segment, avg_spent FROM by_value WHERE customer_count > 0""",
     "case_value_segment": f"{GOLD_CM} SELECT customer_id, total_spent, {VALUE_CASE} AS customer_segment FROM cm",
     "case_frequency_segment": f"""{GOLD_CM}
 SELECT customer_id, total_transactions, {FREQUENCY_CASE} AS frequency_segment FROM cm""",
     "join_tx_products": _JOIN_SQL,
     "join_tx_products_salted": _JOIN_SQL,
     "window_partition_sum": f"""{GOLD_PM} SELECT category, subcategory, total_revenue,
-       round(sum(total_revenue) OVER (PARTITION BY category), 4) AS category_total FROM pm""",
+       CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY category) AS DOUBLE) AS category_total FROM pm""",
     "window_share": f"""{GOLD_PM} SELECT category, subcategory, total_revenue,
-       round(total_revenue * 100.0 / nullif(sum(total_revenue) OVER (PARTITION BY category), 0), 2) AS share FROM pm""",
+       round(total_revenue * 100.0 / nullif(
+         CAST(sum(CAST(total_revenue AS DECIMAL(18,2))) OVER (PARTITION BY category) AS DOUBLE), 0), 2) AS share FROM pm""",
     "order_by_agg": f"""{GOLD_PM} SELECT category, CAST(sum(total_units_sold) AS BIGINT) AS category_units
 FROM pm GROUP BY category ORDER BY category_units DESC""",
     "order_by_col": f"{GOLD_PM} SELECT category, subcategory, total_revenue FROM pm ORDER BY total_revenue DESC",

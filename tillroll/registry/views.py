@@ -13,9 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Means of means, which are summed in no fixed order, to four decimals so that they compare equal."""
-    return df.withColumns({c: F.round(c, 4) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
+    """Sums of doubles and means of means, which are summed in no fixed order, rounded so that they compare equal."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 # A sum of money doubles, exact as the library's.
@@ -92,6 +92,18 @@ TX_LARGE = """tx AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+def tx_unit_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the price of one unit, which has as many decimals as a double."""
+    return tx_large(spark, sf_dir).withColumn("unit_price", F.col("unit_price") / F.col("quantity"))
+
+
+TX_UNIT_PRICE = """tx AS (
+  SELECT l_orderkey * 10 + l_linenumber AS transaction_id, o_custkey AS customer_id, l_partkey AS product_id,
+         o_orderdate AS transaction_date, CAST(l_quantity AS INT) AS quantity,
+         l_extendedprice / CAST(l_quantity AS INT) AS unit_price
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as cleaned products."""
     return table(spark, sf_dir, "part").select(
