@@ -365,16 +365,18 @@ def test_a_type_change_of_owned_data_is_refused(spark, database):
 
 def test_scratch_is_under_the_checkpoint_folder(spark):
     first, second = scratch_dir(spark, "a"), scratch_dir(spark, "a")
-    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir") + "/a_")
+    own = f"{spark.conf.get('spark.checkpoint.dir')}/tillroll-{spark.sparkContext.applicationId}"
+    assert first != second and first.startswith(f"{own}/a_")
 
 
 @pytest.mark.parametrize(("master", "refused"), [("local[8]", False), ("yarn", True), ("spark://host:7077", True)])
 def test_scratch_without_a_shared_folder(master, refused):
-    session = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master)
+    context = SimpleNamespace(
+        master=master, applicationId="app", _jvm=None, _jsc=SimpleNamespace(hadoopConfiguration=lambda: None)
     )
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
     if refused:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_dir(session, "a")
     else:
-        assert Path(scratch_dir(session, "a")).parent.is_dir()
+        assert Path(scratch_dir(session, "a")).parents[1].is_dir()

@@ -1,9 +1,12 @@
 """Queries for sources, sinks, DDL and jobs: each writes views of the given tables and reads them back.
 
-Files go to a fresh folder in the shared scratch folder, tables to a database of their own there.
+Files go to a fresh folder in the session's scratch folder, tables to a database of their own there; both are removed
+when Python ends.
 """
 
+import atexit
 import uuid
+from contextlib import suppress
 from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
@@ -37,9 +40,16 @@ def _database(spark: SparkSession, name: str) -> tuple[str, str]:
     database = f"{name}_{uuid.uuid4().hex[:8]}"
     location = scratch_dir(spark, database)
     ensure_database(spark, database, location)
+    atexit.register(_drop, spark, database)
     return database, location
 
 
+def _drop(spark: SparkSession, database: str) -> None:
+    """At the end, the query's own database; the files go with the session's scratch folder."""
+    with suppress(Exception):  # the session may be stopped by then, and its catalog gone
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 def _write_raw(spark: SparkSession, sf_dir: str, base: str) -> None:
     for name, df in v.raw_files(spark, sf_dir).items():
         write_overwrite(df, f"{base}/{name}.csv", "csv")
