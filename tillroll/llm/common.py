@@ -1,6 +1,10 @@
 """Helpers that several operators share: tables, staging, and trees of groups that no hot key can overload."""
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,8 +73,24 @@ def only_ids(docs: DataFrame, ids: DataFrame, id_col: str, broadcast_rows: int =
     return docs.join(F.broadcast(ids) if small else ids, id_col, "left_semi")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: Python tasks import it, however it was installed here."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp(prefix="tillroll-py-")  # on the driver, which serves the file to the executors
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+
+
 def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], list[tuple]], schema: str) -> DataFrame:
     """``rows`` makes a list of tuples from a few rows of ``df`` at a time; they become a DataFrame of ``schema``."""
+    ship(df.sparkSession)
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

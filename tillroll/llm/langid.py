@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, staged
+from .common import map_rows, ship, staged
 
 BITS = 13
 DIM = 1 << BITS
@@ -178,4 +178,5 @@ def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(i, ROWS)
                 yield part.filter(pa.array(~model.predict(part["text"].to_pylist())[2]))
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(one, docs.schema)

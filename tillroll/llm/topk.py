@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, staged
+from .common import map_rows, ship, staged
 
 PACK = "ids binary, matrix binary, dims int"
 
@@ -57,6 +57,7 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
         if part:
             yield pack(part)
 
+    ship(rows.sparkSession)
     return rows.mapInArrow(one, PACK)
 
 
