@@ -1,0 +1,164 @@
+"""Exact and near duplicates against brute force."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from tillroll.llm import exact_dedup, minhash
+from tillroll.llm.components import components
+
+
+def plain(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def exact_by_hand(rows):
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[plain(text)].append((doc_id, text or ""))
+    out = []
+    for key, group in groups.items():
+        keep = max(group, key=lambda r: (len(r[1]), r[0] is not None, -(r[0] or 0)))[0]
+        sha = hashlib.sha256(key.encode()).hexdigest()
+        out += [(i, keep, len(group), i == keep, sha) for i, _ in group]
+    return sorted(out, key=str)
+
+
+def test_exact_on_edges(edge_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.select("doc_id", "text").collect()]
+    out = exact_dedup.exact_duplicates(edge_docs)
+    assert sorted(map(tuple, out.collect()), key=str) == exact_by_hand(rows)
+
+
+@pytest.mark.parametrize("bits", [1, 5])
+def test_exact_with_a_hot_group(spark, bits):
+    rng = random.Random(3)
+    rows = [(i, "same text " * 3 + " " * rng.randrange(3) if i % 3 == 0 else f"text {i % 700}") for i in range(2000)]
+    out = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7), bits)
+    assert sorted(map(tuple, out.collect()), key=str) == exact_by_hand(rows)
+
+
+def test_exact_stage_keeps_one_of_each(edge_docs):
+    kept = exact_dedup.drop_exact_duplicates(edge_docs)
+    assert kept.columns == edge_docs.columns
+    assert sorted(str(r[0]) for r in kept.select("doc_id").collect()) == ["1", "10", "11", "12", "13", "3", "6", "7", "8", "9", "None"]
+
+
+def test_nothing_in_nothing_out(no_docs):
+    assert exact_dedup.exact_duplicates(no_docs).count() == 0
+    assert exact_dedup.drop_exact_duplicates(no_docs).count() == 0
+    assert minhash.near_duplicates(no_docs, width=2).count() == 0
+    assert minhash.drop_near_duplicates(no_docs).columns == no_docs.columns
+
+
+def test_exact_runs_no_python(edge_docs):
+    text = exact_dedup.exact_duplicates(edge_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def shingles(text, width):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if x]
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def near_by_hand(rows, width, percent):
+    sets = [shingles(t, width) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and rows[i][0] is not None and rows[j][0] is not None and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                root[find(i)] = find(j)
+    smallest = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            smallest[find(i)] = min(doc_id, smallest.get(find(i), doc_id))
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        component = None if doc_id is None else smallest[find(i)]
+        out.append((doc_id, len(sets[i]), component, doc_id == component))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_on_edges(edge_docs, width):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.select("doc_id", "text").collect()]
+    out = minhash.near_duplicates(edge_docs, width=width)
+    assert sorted(map(tuple, out.collect()), key=str) == near_by_hand(rows, width, 80)
+
+
+def test_near_with_chains_and_a_hot_group(spark):
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(3000)]
+    rows, base = [], rng.choices(words, k=80)
+    for i in range(120):  # near copies of one text: not all of them similar to each other
+        text = list(base)
+        for _ in range(rng.randrange(6)):
+            text[rng.randrange(80)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    chain = rng.choices(words, k=60)
+    for i in range(200, 230):  # a chain: each similar to the next only
+        for _ in range(2):
+            chain[rng.randrange(60)] = rng.choice(words)
+        rows.append((i, " ".join(chain)))
+    rows += [(i, " ".join(rng.choices(words[:40], k=rng.randrange(1, 30)))) for i in range(300, 420)]
+    rng.shuffle(rows)
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2)
+    assert sorted(map(tuple, out.collect()), key=str) == near_by_hand(rows, 2, 80)
+
+
+def test_word_hashes_do_not_depend_on_the_pieces(monkeypatch):
+    text = "Some  wörds\tand a" + "b" * 500 + " verylong " + "c" * 100 + "\n tail é " * 50
+    whole = minhash.word_hashes(text)
+    assert len(whole) == len(re.findall(r"[^\x20\x09-\x0D]+", text))
+    monkeypatch.setattr(minhash, "GIANT", 64)
+    giant = minhash.word_hashes(text)
+    monkeypatch.setattr(minhash, "PIECE", 37)
+    assert (minhash.word_hashes(text) == giant).all()
+    assert (minhash.word_hashes("ABC def") == minhash.word_hashes("abc  DEF")).all()
+    assert len(minhash.word_hashes("É é")) == 2 and len(set(minhash.word_hashes("É é"))) == 2
+
+
+@pytest.mark.parametrize("bits", [1, 2, 4])
+def test_the_estimate_is_near_the_similarity(spark, bits):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(2)
+    a = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
+    for shared in (0, 600, 900):
+        b = np.unique(np.concatenate((a[:shared], rng.integers(0, 1 << 63, 1000 - shared, dtype=np.uint64))))
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        x, y = (minhash.packed(minhash.minima(s, 512)[None, :], bits)[0].tolist() for s in (a, b))
+        df = spark.createDataFrame([(x, y)], "x array<bigint>, y array<bigint>")
+        words = range(len(x))
+        got = df.select(minhash.estimate([F.col("x")[i] for i in words], [F.col("y")[i] for i in words], 512, bits)).first()[0]
+        assert abs(got - true) < 6 * (0.25 / 512) ** 0.5 / (1 - 2.0**-bits)
+
+
+def test_components(spark):
+    rng = random.Random(4)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 600)]
+    links += [(5, 5), (None, 3), (4, None)]
+    out = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    assert out == {x: find(x) for x in root}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0

@@ -158,7 +158,7 @@ def reliabilities(counts: dict[tuple[int, int, int, int], int], rounds: int = 50
     """Expectation-maximisation over the counts of (kind, votes); gives the labelers and each pattern's probability."""
     prior = np.full(len(KINDS), 0.5)
     # labelers are presumed better than chance, and the pattern with its check better than the others
-    agree = np.array([[[0.75, 0.2, 0.05], [0.01, 0.29, 0.7]], *2 * [[[0.5, 0.25, 0.25], [0.25, 0.25, 0.5]]]])
+    agree = np.array([[[0.75, 0.2, 0.05], [0.002, 0.298, 0.7]], *2 * [[[0.5, 0.25, 0.25], [0.25, 0.25, 0.5]]]])
     likes = np.broadcast_to(agree, (len(KINDS), 3, 2, 3)).copy()
     p: dict[tuple[int, int, int, int], float] = {}
     for _ in range(rounds):
@@ -169,8 +169,8 @@ def reliabilities(counts: dict[tuple[int, int, int, int], int], rounds: int = 50
             p[key] = float(true / (true + false))
         total, right = np.full(len(KINDS), 2.0), np.full(len(KINDS), 1.0)
         size = {kind: sum(n for key, n in counts.items() if key[0] == kind) for kind in range(len(KINDS))}
-        # as many pseudo-counts as candidates keep the labelers' meaning
-        likes = np.array([(4 + size[kind]) * agree for kind in range(len(KINDS))])
+        # pseudo-counts keep the labelers' meaning: as many as candidates, and ten times that for the pattern's check
+        likes = np.array([(4 + size[kind]) * agree * [[[10]], [[1]], [[1]]] for kind in range(len(KINDS))])
         for key, n in counts.items():
             kind = key[0]
             total[kind] += n
