@@ -167,13 +167,13 @@ def reliabilities(counts: dict[tuple[int, int, int, int], int], rounds: int = 50
             true = prior[kind] * np.prod([likes[kind, j, 1, v + 1] for j, v in enumerate(votes)])
             false = (1 - prior[kind]) * np.prod([likes[kind, j, 0, v + 1] for j, v in enumerate(votes)])
             p[key] = float(true / (true + false))
-        total, right = np.full(len(KINDS), 2.0), np.full(len(KINDS), 1.0)
-        size = {kind: sum(n for key, n in counts.items() if key[0] == kind) for kind in range(len(KINDS))}
-        # pseudo-counts keep the labelers' meaning: as many as candidates, and ten times that for the pattern's check
+        size = np.array([sum(n for key, n in counts.items() if key[0] == kind) for kind in range(len(KINDS))], float)
+        total, right = 2 * size + 2, size / 2 + 1
+        # pseudo-counts keep the labelers' meaning: as many as candidates, and ten times that for the pattern's check; the
+        # share of true candidates has as many, too, half of them true
         likes = np.array([(4 + size[kind]) * agree * [[[10]], [[1]], [[1]]] for kind in range(len(KINDS))])
         for key, n in counts.items():
             kind = key[0]
-            total[kind] += n
             right[kind] += n * p[key]
             for j, v in enumerate(key[1:]):
                 likes[kind, j, 1, v + 1] += n * p[key]
