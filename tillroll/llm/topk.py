@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_rows, ship, staged
 
 PACK = "ids binary, matrix binary, dims int"
+GROUP = 32
 
 
 def usable(vectors: DataFrame, scale: float) -> DataFrame:
@@ -114,18 +115,32 @@ class Shard:
         return found[:k]
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, shard_rows: int = 4096, block_rows: int = 512) -> DataFrame:
-    """For each query row (vec_id, embedding): query_id, rank, vec_id, score of its ``k`` best rows in ``vectors``."""
-    shards = packed(usable(vectors, scale), shard_rows)
+def top_k(
+    vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, shard_rows: int = 1024, block_rows: int = 512
+) -> DataFrame:
+    """For each query row (vec_id, embedding): query_id, rank, vec_id, score of its ``k`` best rows in ``vectors``.
+
+    A block meets the shards in groups of ``GROUP``, so no task has to see them all.
+    """
+    shards = staged(packed(usable(vectors, scale), shard_rows), "shards")
     blocks = staged(packed(usable(queries, scale).dropDuplicates(["id"]), block_rows), "blocks")
-    n = max(1, blocks.count())
-    block = F.pmod(F.xxhash64("ids"), F.lit(n)).alias("block")
-    blocks = blocks.select(block, F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("dims").alias("q_dims"))
-    pairs = shards.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))).join(blocks, "block")
+    n_blocks, n_groups = max(1, blocks.count()), -(-shards.count() // GROUP) or 1
+
+    def number(n: int) -> Column:
+        return F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    blocks = blocks.select(
+        F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("dims").alias("q_dims"), number(n_blocks).alias("block"), every(n_groups).alias("group")
+    )
+    pairs = shards.select("*", number(n_groups).alias("group"), every(n_blocks).alias("block")).join(blocks, ["block", "group"])
 
     def one(batch: pa.RecordBatch) -> list[tuple]:
         out = []
-        for r in batch.to_pylist():
+        for i in range(len(batch)):
+            (r,) = batch.slice(i, 1).to_pylist()
             q_ids, q_matrix = unpacked(r["q_ids"], r["q_matrix"], r["q_dims"])
             dims = max(r["dims"], r["q_dims"])
             shard = Shard(*unpacked(r["ids"], r["matrix"], r["dims"]), dims)
