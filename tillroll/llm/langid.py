@@ -94,10 +94,16 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+MOST_LANGUAGES = 1000
+
+
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """At most ``per_language`` rows (lang, text) of each language, drawn by a hash of the id."""
+    """At most ``per_language`` rows (lang, text) of each language, drawn by a hash of the id.
+
+    At most ``MOST_LANGUAGES`` languages, those with the most rows, are learned, so that the model's size is bounded.
+    """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     few = rows.join(F.broadcast(sizes), "lang").where(draw * F.col("n") < 1.2 * per_language + 50)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
