@@ -5,10 +5,12 @@
 2. Documents with the same set are one class; the smallest id stands for it from here on.
 3. Classes that share a band key are candidates. In every bucket a leader is compared with each member, never all with
    all. The packed signatures estimate the similarity by bit counts, corrected for the 2 ** -bits chance that unequal
-   minima agree; pairs six standard errors under the threshold go.
-4. Each member is confirmed against its most similar leader on the full sets; confirmed links give first components.
-5. Buckets that still hold several components: their pairs across components are estimated and confirmed as well.
-   Members of one component need no further links, so a bucket of copies costs as many pairs as it has members.
+   minima agree; pairs five standard errors under the threshold go.
+4. Each member is confirmed against its most similar leader on the full sets, then against those of its other leaders
+   that are in another component by then; confirmed links give first components.
+5. Buckets that still hold several components: their pairs across components are estimated inside the join, by finer
+   signatures of one bit per minimum, and those that may be links are confirmed as well, each pair once. Members of one
+   component need no further links, so a bucket of copies costs as many pairs as it has members.
 6. Components of all confirmed links; every document gets its smallest id.
 
 A pair right at a similarity of 0.8 shares no band with probability (1 - 0.8 ** rows) ** bands, 5e-6 by default.
@@ -121,61 +123,66 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 @cache
-def _family(n: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(7)
-    return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
+def _family(n: int) -> np.ndarray:
+    """Odd multipliers: each makes a permutation of the 32-bit numbers."""
+    return np.random.default_rng(7).integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def minima(shingles: np.ndarray, n: int) -> np.ndarray:
     """The smallest value of the set under each of ``n`` hash functions."""
-    a, b = _family(n)
+    a, low = _family(n), np.full(n, 0xFFFFFFFF, np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    low = np.full(n, 0xFFFFFFFF, np.uint32)
-    for i in range(0, len(x), 2048):
-        np.minimum(low, (x[None, i : i + 2048] * a[:, None] + b[:, None]).min(axis=1), out=low)
+    for i in range(0, len(x), 256):
+        np.minimum(low, (x[i : i + 256, None] * a).min(axis=0), out=low)
     return low
 
 
 def packed(low: np.ndarray, bits: int) -> np.ndarray:
-    """The ``bits`` low bits of each minimum, side by side in longs."""
+    """The ``bits`` low bits of each minimum, side by side in longs; a row for each set."""
     small = ((low * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.uint8)
-    flat = np.unpackbits(small[:, None], axis=1, bitorder="little")[:, :bits].ravel()
-    raw = np.packbits(flat, bitorder="little")
-    return np.pad(raw, (0, -len(raw) % 8)).view("<i8")
+    flat = np.unpackbits(small[:, :, None], axis=2, bitorder="little")[:, :, :bits].reshape(len(low), -1)
+    raw = np.packbits(flat, axis=1, bitorder="little")
+    return np.pad(raw, ((0, 0), (0, -raw.shape[1] % 8))).view("<i8")
 
 
 def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    h = np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for column in low.reshape(bands, rows).astype(np.uint64).T:
-        h = mix(h * np.uint64(0xD6E8FEB86659FD93) + column)
+    """A key of each band's minima; a row for each set."""
+    h = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), (len(low), bands))
+    for j in range(rows):
+        h = mix(h * np.uint64(0xD6E8FEB86659FD93) + low[:, j::rows].astype(np.uint64))
     return h.view(np.int64)
 
 
 def features(docs: DataFrame, width: int, bands: int, rows: int, bits: int) -> DataFrame:
-    def one(batch: pa.RecordBatch) -> list[list]:
+    def one(batch: pa.RecordBatch) -> list[tuple]:
+        sets = [shingle_set(text.as_py(), width) for text in batch["text"]]
+        low = np.array([minima(s, bands * rows) for s in sets]).reshape(len(sets), -1)
         out = []
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            s = shingle_set(text.as_py(), width)
-            if len(s):
-                low = minima(s, bands * rows)
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                out.append((doc_id, len(s), digest, packed(low, bits), band_keys(low, bands, rows)))
-            else:
-                out.append((doc_id, 0, None, None, None))
+        for doc_id, s, signature, keys in zip(
+            batch["doc_id"].to_pylist(), sets, packed(low, bits), band_keys(low, bands, rows), strict=True
+        ):
+            digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+            out.append((doc_id, len(s), digest, signature, keys) if len(s) else (doc_id, 0, None, None, None))
         return out
 
     return map_rows(docs.select("doc_id", "text"), one, FEATURES)
 
 
-def sets_of(docs: DataFrame, width: int) -> DataFrame:
+def sets_of(docs: DataFrame, width: int, minima_of: int = 0) -> DataFrame:
+    """doc_id, n_shingles, the set, and ``fine``: one bit of each of ``minima_of`` minima."""
+
     def one(batch: pa.RecordBatch) -> list[tuple]:
-        ids = batch["doc_id"].to_pylist()
-        return [(i, shingle_set(t.as_py(), width).tobytes()) for i, t in zip(ids, batch["text"], strict=True)]
+        out = []
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            s = shingle_set(text.as_py(), width)
+            fine = packed(minima(s, minima_of)[None, :], 1)[0] if minima_of else []
+            out.append((doc_id, len(s), s.tobytes(), fine))
+        return out
 
-    return map_rows(docs.select("doc_id", "text"), one, "doc_id bigint, items binary")
+    return map_rows(docs.select("doc_id", "text"), one, "doc_id bigint, n_shingles bigint, items binary, fine array<bigint>")
 
 
-def estimate(a: Column, b: Column, n: int, bits: int) -> Column:
+def estimate(a: list[Column], b: list[Column], n: int, bits: int) -> Column:
     """Similarity from packed signatures: the share of agreeing minima, less what agrees by chance."""
     ones = sum(1 << i for i in range(0, 64, bits))
     mask = F.lit(ones - (1 << 64) if ones >> 63 else ones)
@@ -187,7 +194,7 @@ def estimate(a: Column, b: Column, n: int, bits: int) -> Column:
             any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(d, i))
         return F.bit_count(any_bit.bitwiseAND(mask))
 
-    wrong = F.aggregate(F.zip_with(a, b, unequal), F.lit(0), lambda s, x: s + x)
+    wrong = sum((unequal(x, y) for x, y in zip(a, b, strict=True)), F.lit(0))
     chance = 2.0**-bits
     return ((F.lit(n) - wrong) / F.lit(n) - F.lit(chance)) / F.lit(1 - chance)
 
@@ -209,12 +216,18 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_rows(pairs.select("a", "b").join(x, "a").join(y, "b"), one, "a bigint, b bigint")
 
 
+def least_estimate(percent: int, n: int, bits: int) -> float:
+    """Five standard errors under the threshold, for ``n`` minima of ``bits`` bits."""
+    chance, true = 2.0**-bits, percent / 100
+    agree = true + (1 - true) * chance
+    return true - 5 * (agree * (1 - agree) / n) ** 0.5 / (1 - chance)
+
+
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 40, rows: int = 6, bits: int = 2
+    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 52, rows: int = 7, bits: int = 2, fine: int = 4096
 ) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    spark, n = docs.sparkSession, bands * rows
-    sites = site_count(spark)
+    n, sites = bands * rows, site_count(docs.sparkSession)
     feats = staged(features(docs, width, bands, rows, bits), "minhash")
     own = feats.select("doc_id", "n_shingles", "digest", site_of(F.col("doc_id"), sites).alias("site"))
     sets_in = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").withColumn("best", F.bitwise_not("doc_id"))
@@ -225,45 +238,58 @@ def near_duplicates(
     # one row per class with its signature and bands: those of the document that stands for it
     stands = classes.select("digest", F.col("rep").alias("doc_id"))
     reps = feats.where("digest IS NOT NULL").join(stands, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    keys = reps.select("doc_id", F.explode("bands").alias("band"))
+    keys = reps.select("doc_id", F.posexplode("bands").alias("index", "band"))
     # the leader of a bucket is drawn by hash, so that the buckets of one cluster have different leaders
     draw = F.struct(F.xxhash64("doc_id", "band").alias("draw"), F.col("doc_id").alias("leader"))
     buckets = keys.groupBy("band").agg(F.min(draw).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(keys.join(buckets.select("band", F.col("first.leader").alias("leader")), "band"), "buckets")
 
-    signatures = reps.select("doc_id", "n_shingles", "signature")
-    cut = percent / 100 - 6 * (0.25 / n) ** 0.5 / (1 - 2.0**-bits)
-
-    def close(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sizes and signatures allow a link, with the estimate."""
-        few = staged(only_ids(signatures, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id"), "signatures")
-        x = few.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-        y = few.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
-        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        both = pairs.join(x, "a").join(y, "b").where(fits)
-        return both.select("a", "b", estimate(F.col("sa"), F.col("sb"), n, bits).alias("estimate")).where(F.col("estimate") >= cut)
+    def fits(x: Column, y: Column) -> Column:
+        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
+    # each member against its leaders, the most similar one first
     star = members.where("doc_id != leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
-    star = close(staged(star, "star"))
+    star = staged(star, "star")
+    signatures = reps.select("doc_id", "n_shingles", "signature")
+    few = staged(only_ids(signatures, star.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id"), "signatures")
+    x = few.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
+    y = few.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
+    sa, sb = ([F.col(c)[i] for i in range((n * bits + 63) // 64)] for c in ("sa", "sb"))
+    star = star.join(x, "a").join(y, "b").where(fits(F.col("na"), F.col("nb")))
+    star = star.select("a", "b", estimate(sa, sb, n, bits).alias("estimate"))
+    star = staged(star.where(F.col("estimate") >= least_estimate(percent, n, bits)), "close")
+    sets = staged(sets_of(only_ids(docs, star.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), width), "sets")
     nearest = star.groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("top")).select("a", F.col("top.b").alias("b"))
-    nearest = staged(nearest, "nearest")
-    sets = staged(sets_of(only_ids(docs, nearest.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), width), "sets")
     links = staged(confirmed(nearest, sets, percent), "links")
+
+    def component_of(df: DataFrame, column: str, labels: DataFrame, name: str) -> DataFrame:
+        labels = labels.select(F.col("node").alias(column), F.col("component").alias("labelled"))
+        return df.join(labels, column, "left").withColumn(name, F.coalesce("labelled", column)).drop("labelled")
+
+    # the other leaders of members that they would join to another component
+    first = components(links)
+    others = component_of(component_of(star.select("a", "b"), "a", first, "ca"), "b", first, "cb").where("ca != cb")
+    links = staged(links.unionByName(confirmed(others, sets, percent)), "star_links")
     first = components(links)
 
-    # buckets that hold several components still: all their pairs across components
-    labelled = members.join(first, members["doc_id"] == first["node"], "left").select(
-        "band", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
+    # buckets that hold several components still: the pairs across components, once each, with finer signatures
+    labelled = component_of(members.drop("leader"), "doc_id", first, "component")
     mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     mixed = staged(labelled.join(mixed.select("band"), "band", "left_semi"), "mixed")
-    x = mixed.select("band", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    y = mixed.select("band", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-    across = x.join(y, "band").where("ca < cb").select("a", "b").distinct()
-    across = staged(close(staged(across, "across")), "candidates")
-    more = only_ids(docs, across.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id").dropDuplicates(["doc_id"])
-    more_links = confirmed(across, staged(sets_of(more, width), "more_sets"), percent)
-    final = components(staged(links.unionByName(more_links), "all_links"))
+    sets = staged(sets_of(only_ids(docs, mixed, "doc_id").dropDuplicates(["doc_id"]), width, fine), "mixed_sets")
+    words = (fine + 63) // 64
+    short = reps.select("doc_id", F.transform("bands", lambda k: F.hash(k)).alias("keys"))
+    rows_in = mixed.join(sets.select("doc_id", "n_shingles", *(F.col("fine")[i].alias(f"s{i}") for i in range(words))), "doc_id")
+    rows_in = staged(rows_in.join(short, "doc_id"), "across")
+    sx, sy = ([F.col(f"{t}.s{i}") for i in range(words)] for t in "xy")
+    before = F.zip_with(F.slice("x.keys", 1, F.col("x.index")), F.slice("y.keys", 1, F.col("x.index")), lambda p, q: p == q)
+    pair = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))
+    pair = pair & fits(F.col("x.n_shingles"), F.col("y.n_shingles"))
+    pair = pair & (estimate(sx, sy, fine, 1) >= least_estimate(percent, fine, 1))
+    pair = pair & ~F.exists(before, lambda same: same)  # else the pair has met in an earlier band
+    across = rows_in.alias("x").join(rows_in.alias("y"), pair).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    more = confirmed(staged(across, "candidates"), sets, percent)
+    final = components(staged(links.unionByName(more), "all_links"))
 
     labels = classes.join(final, classes["rep"] == final["node"], "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
