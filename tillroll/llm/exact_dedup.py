@@ -56,7 +56,16 @@ def exact_duplicates(docs: DataFrame, fan_in_bits: int = 3) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns. Rows that repeat an id and a text stay once."""
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    """The documents that stay, with all their columns. Rows that repeat an id and a text stay once.
+
+    The join by id leaves the rows where the repeats are looked for, so the texts travel once. Rows without an id stay,
+    one of each text, where no row with an id has that text.
+    """
+    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256")
+    named = kept.where("kept_id IS NOT NULL").select("kept_id").distinct()
+    stay = docs.join(named, docs["doc_id"] == named["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    nameless = kept.where("kept_id IS NULL").select(F.col("text_sha256").alias("kept_sha256")).distinct()
+    free = docs.where(docs["doc_id"].isNull())
+    digest = F.sha2(normalised(F.coalesce(free["text"], F.lit(""))), 256)
+    free = free.withColumn("free_sha256", digest).join(nameless, F.col("free_sha256") == F.col("kept_sha256"), "left_semi")
+    return stay.unionByName(free.dropDuplicates(["free_sha256"]).drop("free_sha256"))

@@ -239,8 +239,8 @@ def near_duplicates(
     stands = classes.select("digest", F.col("rep").alias("doc_id"))
     reps = feats.where("digest IS NOT NULL").join(stands, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
     keys = reps.select("doc_id", F.posexplode("bands").alias("index", "band"))
-    # the leader of a bucket is drawn by hash, so that the buckets of one cluster have different leaders
-    draw = F.struct(F.xxhash64("doc_id", "band").alias("draw"), F.col("doc_id").alias("leader"))
+    # leaders are drawn by a hash of their id, so that the buckets of a cluster share a few of them
+    draw = F.struct(F.xxhash64("doc_id", F.lit("leader")).alias("draw"), F.col("doc_id").alias("leader"))
     buckets = keys.groupBy("band").agg(F.min(draw).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(keys.join(buckets.select("band", F.col("first.leader").alias("leader")), "band"), "buckets")
 
