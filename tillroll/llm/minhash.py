@@ -269,7 +269,7 @@ def near_duplicates(
     # the other leaders of members that they would join to another component
     first = components(links)
     others = component_of(component_of(star.select("a", "b"), "a", first, "ca"), "b", first, "cb").where("ca != cb")
-    links = staged(links.unionByName(confirmed(others, sets, percent)), "star_links")
+    links = links.unionByName(staged(confirmed(others, sets, percent), "other_links"))
     first = components(links)
 
     # buckets that hold several components still: the pairs across components, once each, with finer signatures
@@ -288,8 +288,7 @@ def near_duplicates(
     pair = pair & (estimate(sx, sy, fine, 1) >= least_estimate(percent, fine, 1))
     pair = pair & ~F.exists(before, lambda same: same)  # else the pair has met in an earlier band
     across = rows_in.alias("x").join(rows_in.alias("y"), pair).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    more = confirmed(staged(across, "candidates"), sets, percent)
-    final = components(staged(links.unionByName(more), "all_links"))
+    final = components(links.unionByName(confirmed(across, sets, percent)))
 
     labels = classes.join(final, classes["rep"] == final["node"], "left").select(
         "digest", F.coalesce("component", "rep").alias("component_id")
