@@ -75,9 +75,15 @@ def only_ids(docs: DataFrame, ids: DataFrame, id_col: str, broadcast_rows: int =
 
 _shipped: set[str] = set()
 
+#: Bytes in a batch that goes to a Python task: 8 MB, where the session has Spark's own 64 MB. Rows hold whole texts and
+#: sets, and both sides of the pipe hold a batch several times over.
+BATCH_BYTES, SPARKS_OWN, OURS = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application: Python tasks import it, however it was installed here."""
+    if spark.conf.get(BATCH_BYTES) == SPARKS_OWN:
+        spark.conf.set(BATCH_BYTES, OURS)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
