@@ -91,6 +91,24 @@ def test_ids_equal_those_of_the_tokenizers_file(spark, tokenizer):
         assert packing.token_ids(text, path).tolist() == ids_by_hand(tokenizer, text)
 
 
+@pytest.mark.parametrize("run", [" " * 1_100_000, "\n" * 1_000_100, " \n\u3000\x85" * 280_000])
+def test_ids_of_a_million_blanks(tokenizer, run):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    for text in (run, f"a{run}", f"{run}b", f"it {run}'s {run}<|endoftext|>{run}.", f"x{run}\x1cy {run[:600_000]}"):
+        assert packing.token_ids(text, path).tolist() == ids_by_hand(tokenizer, text)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 9])
+def test_ids_at_the_edges_of_blank_runs(tokenizer, monkeypatch, n):
+    """The same with short runs, over all texts of TEXTS and every neighbour."""
+    monkeypatch.setattr(packing, "BLANK_RUN", n)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    near = ["", "a", "1", "!", "'s", "\x1c", "é", "<|endoftext|>"]
+    runs = [" ", "  ", "\n", " \n", "\t  ", "   \u2003", "\r\n\r\n\xa0"]
+    for text in TEXTS + [x + r + y for x in near for r in runs for y in near]:
+        assert packing.token_ids(text, path).tolist() == ids_by_hand(tokenizer, text)
+
+
 def check_packed(rows, texts, tokenizer, capacity=2048):
     """Every piece is right, and sequences are filled without gaps or overlaps."""
     by_doc, by_sequence = {}, {}
