@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import textwrap
 
 import pytest
 
@@ -126,6 +127,52 @@ def test_licenses_are_found_and_others_not(spark):
     assert out[1]["spans"] == "mit:13:44" and out[4]["n_licenses"] == 2
 
 
+#: Notices as published, and how many of their lines the template runs through.
+WRAPPED = {
+    "gpl": (3, "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."),
+    "agpl": (3, "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."),
+    "lgpl": (3, "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+    "bsd": (2, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"),
+    "mit": (2, 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights'),
+    "mpl": (2, "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "apache": (2, 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at'),
+    "cc-by": (2, "This work is licensed under a Creative Commons Attribution 4.0\nInternational License."),
+    "cc-by-sa": (2, "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License."),
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "dnl "])
+def test_wrapped_notices_are_seen_whole(spark, mark):
+    head = "Some words about the file\nCopyright (C) 2020 The Authors\n\n"
+    rows, want = [], {}
+    for i, (family, (n, text)) in enumerate(WRAPPED.items()):
+        lines = [mark + x for x in text.split("\n")]
+        rows.append((i, head + "\n".join(lines) + "\n\nand so on"))
+        want[i] = f"{family}:{len(head)}:{len(head) + len(chr(10).join(lines[:n]))}"
+    rows = [(i + 100 * k, text) for k in range(30) for i, text in rows]  # so that they are among the model's lines
+    out = {r["doc_id"]: r["spans"] for r in licenses.scan_corpus(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {i: want[i % 100] for i, _ in rows}
+
+
+def test_notices_wrapped_at_any_width():
+    model = licenses.fit([])
+    for family, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            for width in (1, 12, 20, 30, 40, 60):
+                lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+                whole = "\n".join(lines)
+                assert model.spans(f"Before it\n{whole}\nand after it", 0.5, 0.6) == [(family, 10, 10 + len(whole))], lines
+
+
+def test_notices_that_share_lines_or_touch():
+    model = licenses.fit([])
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not\nuse this file except in compliance with the License.'
+    both = apache + " Released under the MIT License."
+    assert model.spans(both, 0.5, 0.6) == [("apache", 0, len(both)), ("mit", both.index("\n") + 1, len(both))]
+    assert model.spans("Licensed under CC BY 4.0.\nLicensed under CC BY 4.0.", 0.5, 0.6) == [("cc-by", 0, 25), ("cc-by", 26, 51)]
+    assert not model.spans("This program is free software; you can redistribute it and/or modify\n\nas published by the Free Software Foundation", 0.5, 0.6)
+
+
 def test_licenses_on_edges(edge_docs, no_docs):
     out = licenses.scan_corpus(edge_docs).collect()
     assert len(out) == edge_docs.count() and not any(r["n_licenses"] for r in out)

@@ -1,19 +1,23 @@
 """License scan by a trained paragraph classifier.
 
-A paragraph is a line. Its features are the word bigrams and trigrams that occur in the license notices (all others
-have weight 0, so a line without any is ``unknown`` at once). A multinomial logistic regression over the families and
-``unknown`` is trained on disturbed copies of the notices (words dropped, swapped or added) and on a bounded, hash-drawn
-sample of the corpus' own lines as unknown. A temperature, fitted on held-out copies, calibrates its probabilities. A
-prediction counts if its calibrated probability reaches ``least`` and a template of the family confirms it: enough of the
-template's bigrams are in the line.
+A notice is a line or, hard-wrapped, a window of adjacent lines that one template runs through; a line without words ends
+it. Its features are the word bigrams and trigrams that occur in the license notices (all others have weight 0, so a
+paragraph without any is ``unknown`` at once). A multinomial logistic regression over the families and ``unknown`` is
+trained on disturbed copies of the notices (words dropped, swapped or added) and on a bounded, hash-drawn sample of the
+corpus' own lines as unknown. A temperature, fitted on held-out copies, calibrates its probabilities. A prediction counts
+if its calibrated probability reaches ``least`` and a template of the family confirms it: enough of the template's bigrams
+are in the window's joined words. Of windows that overlap, the one with the most of its template counts, and the others
+if they are notices besides it: of another family, with enough bigrams of their own.
 
 Prediction covers every line of every text, in one pass without a shuffle. Defined results: a null or blank text has no
 licenses; repeated rows are scanned alike; a line without words is unknown; of families with equal probability the first
-in order wins; an empty table gives an empty result; other columns are ignored. Offsets are code points, end exclusive.
+in order wins; an empty table gives an empty result; other columns are ignored. Spans are whole lines; offsets are code
+points, end exclusive.
 """
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +54,11 @@ TEMPLATES = {
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
-    "lgpl": ["Licensed under the GNU Lesser General Public License, version 2.1.", "SPDX-License-Identifier: LGPL-2.1-only"],
+    "lgpl": [
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: LGPL-2.1-only",
+    ],
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
@@ -96,12 +104,31 @@ def corpus_lines(docs: DataFrame, at_most: int) -> list[str]:
     return [r["line"] for r in lines.orderBy(F.xxhash64("line", F.lit("draw"))).limit(at_most).collect()]
 
 
+class Notice:
+    """A template: its bigrams, how often it has each, and the pairs of words that are up to three places apart, in order."""
+
+    def __init__(self, family: str, w: list[str]):
+        self.family, self.counts = family, Counter(zip(w, w[1:]))
+        self.pairs = set(self.counts)
+        self.near = {*self.pairs, *zip(w, w[2:]), *zip(w, w[3:])}
+
+    def runs_on(self, line: list[str], following: list[str]) -> bool:
+        """Whether the template goes on over the end of a line; a word on either side may be missing or a comment mark."""
+        return any((a, b) in self.near for a in line[-2:] for b in following[:2])
+
+
 class Model:
     """Weights of the n-grams for each class (``unknown`` first), the temperature, and the templates' bigrams."""
 
     def __init__(self, index, weights, bias, temperature, templates):
-        self.index, self.weights, self.bias, self.temperature, self.templates = index, weights, bias, temperature, templates
+        self.index, self.weights, self.bias, self.temperature = index, weights, bias, temperature
         self.families = [UNKNOWN, *templates]
+        self.notices = [Notice(f, w) for f, ts in templates.items() for w in ts]
+        self.templates = {f: [n.pairs for n in self.notices if n.family == f] for f in templates}
+        self.holders = {}  # bigram: numbers of the notices that have it
+        for k, n in enumerate(self.notices):
+            for g in n.pairs:
+                self.holders.setdefault(g, []).append(k)
 
     def probabilities(self, found: list[int]) -> np.ndarray:
         z = (self.bias + self.weights[found].sum(axis=0) / max(len(found), 1) ** 0.5) / self.temperature
@@ -113,7 +140,10 @@ class Model:
         return max(len(t & have) / len(t) for t in self.templates[family])
 
     def classify(self, line: str, least: float = 0.5, share: float = 0.6) -> tuple[str, float]:
-        have = grams(words(line))
+        return self.classify_words(words(line), least, share)
+
+    def classify_words(self, w: list[str], least: float, share: float) -> tuple[str, float]:
+        have = grams(w)
         found = [self.index[g] for g in have if g in self.index]
         if not found:
             return UNKNOWN, 1.0
@@ -123,16 +153,80 @@ class Model:
             return self.families[best], float(p[best])
         return UNKNOWN, float(p[0])
 
+    def windows(self, lines: list[list[str]], least: float, share: float) -> list[tuple[str, int, int]]:
+        """(family, first line, last line) of the notices in a paragraph, given as the words of its lines."""
+        joined = [x for w in lines for x in w]
+        counts: dict[int, int] = {}
+        for g in {*zip(joined, joined[1:])} & self.holders.keys():
+            for k in self.holders[g]:
+                counts[k] = counts.get(k, 0) + 1
+        found, kinds = [], {}
+        for k, count in counts.items():
+            notice = self.notices[k]
+            n = len(notice.pairs)
+            if count / n < share:
+                continue
+            own = [Counter(g for g in zip(w, w[1:]) if g in notice.pairs) for w in lines]
+            over = [notice.pairs & {(a[-1], b[0])} for a, b in zip(lines, lines[1:])] + [set()]
+            for i in range(len(lines)):
+                have, j = own[i] & notice.counts, i
+                while have or over[j]:
+                    if len(have) / n >= share:
+                        if (i, j) not in kinds:
+                            kinds[i, j] = self.classify_words([x for w in lines[i : j + 1] for x in w], least, share)[0]
+                        if kinds[i, j] == notice.family:
+                            found.append((have.total(), j - i, i, k, set(have)))
+                    if j + 1 == len(lines) or not notice.runs_on(lines[j], lines[j + 1]):
+                        break
+                    more = (have + Counter(over[j]) + own[j + 1]) & notice.counts
+                    if more == have:
+                        break
+                    have, j = more, j + 1
+        chosen, at = [], {}  # notices as lists, and those of each line
+        for _, extra, i, k, have in sorted(found, key=lambda f: (-f[0], *f[1:4])):
+            notice, j = self.notices[k], i + extra
+            others = [c for x in range(i, j + 1) for c in at.get(x, ())]
+            if len(have.difference(*(c[3] for c in others))) / len(notice.pairs) < share:
+                continue  # a part of the others
+            one = next((c for c in others if c[0] == notice.family), None)
+            if one:
+                one[1], one[2] = min(one[1], i), max(one[2], j)
+                one[3] |= have
+            else:
+                one = [notice.family, i, j, set(have)]
+                chosen.append(one)
+            for x in range(i, j + 1):
+                if not any(c is one for c in at.setdefault(x, [])):
+                    at[x].append(one)
+        return [(family, i, j) for family, i, j, _ in chosen]
+
+    def spans(self, text: str, least: float, share: float) -> list[tuple[str, int, int]]:
+        """(family, start, end) of the notices of a text, in order."""
+        out, at, paragraph, places = [], 0, [], []
+        for line in [*text.split("\n"), ""]:
+            w = words(line)
+            if w:
+                paragraph.append(w)
+                places.append((at, at + len(line)))
+            elif paragraph:
+                out += [(f, places[i][0], places[j][1]) for f, i, j in self.windows(paragraph, least, share)]
+                paragraph, places = [], []
+            at += len(line) + 1
+        return sorted(out, key=lambda hit: (*hit[1:], hit[0]))
+
 
 def fit(lines: list[str], copies: int = 60, rounds: int = 400, seed: int = 5) -> Model:
-    """A model from disturbed templates and from ``lines`` as unknown; lines that hold a template are left out."""
+    """A model from disturbed templates and from ``lines`` as unknown.
+
+    Lines that hold a template are left out, and those that are mostly a part of one, as lines of wrapped notices are.
+    """
     rng = random.Random(seed)
     templates = {f: [words(t) for t in ts] for f, ts in TEMPLATES.items()}
     pairs = {f: [set(zip(w, w[1:])) for w in ts] for f, ts in templates.items()}
     index = {g: i for i, g in enumerate(sorted({g for ts in templates.values() for w in ts for g in grams(w)}))}
     unknown = [words(x) for x in [*lines, *OTHER * copies]]
     everything = [t for ts in pairs.values() for t in ts]
-    unknown = [w for w in unknown if max(len(t & set(zip(w, w[1:]))) / len(t) for t in everything) < 0.6]
+    unknown = [w for w in unknown if max(len(t & b) / min(len(t), max(len(b), 1)) for b in [set(zip(w, w[1:]))] for t in everything) < 0.6]
     filler = [x for w in unknown for x in w][:5000]
     rows = [(0, w) for w in unknown if any(g in index for g in grams(w))]
     for c, ts in enumerate(templates.values(), 1):
@@ -163,7 +257,7 @@ def fit(lines: list[str], copies: int = 60, rounds: int = 400, seed: int = 5) ->
         return float(-((s - np.log(np.exp(s).sum(axis=1, keepdims=True))) * y[cut:]).sum())
 
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=loss)
-    return Model(index, weights, bias, temperature, pairs)
+    return Model(index, weights, bias, temperature, templates)
 
 
 def scan(docs: DataFrame, model: Model, least: float = 0.5, share: float = 0.6) -> DataFrame:
@@ -172,12 +266,7 @@ def scan(docs: DataFrame, model: Model, least: float = 0.5, share: float = 0.6)
     def one(batch: pa.RecordBatch) -> list[tuple]:
         out = []
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            hits, at = [], 0
-            for line in (text.as_py() or "").split("\n"):
-                family, _ = model.classify(line, least, share)
-                if family != UNKNOWN:
-                    hits.append((family, at, at + len(line)))
-                at += len(line) + 1
+            hits = model.spans(text.as_py() or "", least, share)
             out.append((doc_id, len(hits), ",".join(sorted({h[0] for h in hits})), ",".join(f"{f}:{a}:{b}" for f, a, b in hits)))
         return out
 
