@@ -185,6 +185,26 @@ def test_products_of_several_loads_count_once(spark, cfg):
     assert read_gold(spark, cfg())[1] == once
 
 
+def test_products_that_the_newest_load_lacks_keep_their_transactions(spark, cfg):
+    run_silver(spark, cfg())
+    raw = Path(cfg().base_uri) / "raw"
+    header = PRODUCTS.splitlines()[0]
+    (raw / "transactions.csv").write_text(TRANSACTIONS.splitlines()[0] + "\n6,2,5,2024-04-17 10:30:00,1,5.00,paypal\n")
+    (raw / "products.csv").write_text(header + "\n2,Novel,books,classics,10.00,6\n5,Pen,office,pens,5.00,6\n")
+    run_silver(spark, cfg(as_of=NEXT))
+    once = [("Books", "Classics", 4, 40.96, 10.49, 2), PM[1], ("Office", "Pens", 1, 5.0, 5.0, 1)]
+    for limit in (10**6, 10):
+        run_gold(spark, gold(cfg, broadcast_limit_bytes=limit, product_salts=4))
+        assert read_gold(spark, cfg())[1] == once
+    # rows of a rerun that appends don't multiply the transactions either
+    (raw / "transactions.csv").write_text(TRANSACTIONS.splitlines()[0] + "\n")
+    run_silver(spark, cfg(as_of=NEXT, mode="append"))
+    run_gold(spark, gold(cfg))
+    assert read_gold(spark, cfg())[1] == once
+    run_gold(spark, gold(cfg, product_load_date=NEXT))
+    assert read_gold(spark, cfg())[1] == [once[0], once[2]]
+
+
 def test_reports_read_the_gold_they_are_pointed_to(spark, cfg):
     run_silver(spark, cfg())
     run_gold(spark, gold(cfg))

@@ -39,8 +39,9 @@ class Config:
     ``reporting_database`` the reports, ``raw_database`` the raw datasets that discovery finds. ``as_of`` is the load
     and snapshot date, by default the session's current date. ``mode`` 'overwrite' replaces what an earlier run of the
     same day wrote; 'append' adds to it. ``load_date`` makes gold read one day's silver transactions instead of all.
-    The products are those of their latest load, of ``product_load_date``, or with ``all_product_loads`` of all loads
-    (a product that was loaded twice then counts its transactions twice).
+    Each product counts once, as its newest load has it, so one that later loads lack keeps its transactions.
+    ``product_load_date`` takes the products of one load only, ``all_product_loads`` the rows of all loads (a product
+    that was loaded twice then counts its transactions twice).
     """
 
     base_uri: str
@@ -122,7 +123,7 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
     Transactions are scanned once per table, each scan with its own few columns: at scale that is cheaper than keeping
     the union of the columns. Products are measured first and broadcast only if they fit ``broadcast_limit_bytes``;
     beyond it the join is shuffled, with the hot products salted. All load dates of the transactions count, unless
-    ``load_date`` picks one, and the latest load of the products.
+    ``load_date`` picks one, and of each product the newest row.
     """
     if cfg.in_path.strip("/") == cfg.out_path.strip("/"):
         raise ValueError("in_path and out_path must differ: gold replaces what lies under its path")
@@ -131,8 +132,9 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
     if cfg.load_date is not None:
         tx = tx.filter(F.col("load_date") == F.lit(cfg.load_date))
     if not cfg.all_product_loads:
-        day = cfg.product_load_date or products.agg(F.max("load_date")).first()[0]
-        products = products.filter(F.col("load_date") == F.lit(day))
+        if cfg.product_load_date is not None:
+            products = products.filter(F.col("load_date") == F.lit(cfg.product_load_date))
+        products = newest_products(products)
     fits = measured_bytes(product_keys(products)) <= cfg.broadcast_limit_bytes
     gold = {
         "customer_metrics": customer_metrics(tx),
@@ -142,6 +144,12 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
         write_overwrite(df, cfg.target(name), cfg.gold_format, database=cfg.database, table=name)
 
 
+def newest_products(products: DataFrame) -> DataFrame:
+    """What gold needs of each product, once: the row of its newest load; of several in that, the largest names."""
+    newest = products.groupBy("product_id").agg(F.max(F.struct("load_date", "category", "subcategory")).alias("newest"))
+    return newest.select("product_id", "newest.category", "newest.subcategory")
+
+
 def _silver(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
     """A silver table by its catalog name; where the catalog has lost it, its files, with the columns found by name."""
     if spark.catalog.tableExists(table_name(cfg.database, name)):

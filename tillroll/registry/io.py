@@ -199,11 +199,13 @@ def _gold_csv_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _gold_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold over two days of transactions, each with the full products and customers."""
+    """Gold over two days of transactions and customers. The second day's products lack every third, which was sold, too."""
     database, base = _database(spark, "retail_loads")
     for part, day in enumerate((v.AS_OF, NEXT_DAY)):
         raw = v.raw_files(spark, sf_dir)
         raw["transactions"] = raw["transactions"].where(F.col("transaction_id") % 2 == part)
+        if part:
+            raw["products"] = raw["products"].where(F.col("product_id") % 3 != 0)
         for name, df in raw.items():
             write_overwrite(df, f"{base}/raw_{part}/{name}.csv", "csv")
         cfg = Config(base, f"raw_{part}", "silver", database, as_of=day)
