@@ -173,6 +173,14 @@ def test_notices_that_share_lines_or_touch():
     assert not model.spans("This program is free software; you can redistribute it and/or modify\n\nas published by the Free Software Foundation", 0.5, 0.6)
 
 
+def test_copies_of_a_line_take_one_place_in_the_sample(spark):
+    texts = [f"line {i}" for i in range(6400)]
+    once = licenses.corpus_lines(spark.createDataFrame([("\n".join(texts),)], "text string"), 50)
+    assert len(once) == len(set(once)) == 50
+    often = "\n".join([*texts, *[once[0]] * 3000])
+    assert licenses.corpus_lines(spark.createDataFrame([(often,)] * 3, "text string"), 50) == once
+
+
 def test_licenses_on_edges(edge_docs, no_docs):
     out = licenses.scan_corpus(edge_docs).collect()
     assert len(out) == edge_docs.count() and not any(r["n_licenses"] for r in out)

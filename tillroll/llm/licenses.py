@@ -98,10 +98,10 @@ def disturbed(w: list[str], filler: list[str], rng: random.Random) -> list[str]:
 
 
 def corpus_lines(docs: DataFrame, at_most: int) -> list[str]:
-    """At most ``at_most`` lines of the corpus, of 2000 characters at most, for training: those with the smallest hashes."""
+    """At most ``at_most`` distinct lines of the corpus, of 2000 characters at most, for training: those with the smallest hashes."""
     lines = docs.where(F.col("text").isNotNull()).select(F.explode(F.split("text", "\n")).alias("line"))
     lines = lines.where((F.xxhash64("line") % 64 == 0) & (F.length("line") <= 2000))
-    return [r["line"] for r in lines.orderBy(F.xxhash64("line", F.lit("draw"))).limit(at_most).collect()]
+    return [r["line"] for r in lines.distinct().orderBy(F.xxhash64("line", F.lit("draw"))).limit(at_most).collect()]
 
 
 class Notice:
