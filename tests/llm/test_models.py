@@ -173,6 +173,13 @@ def test_plans_use_up_the_histogram(seed):
     assert (np.diff(runs["length"] * 10**9 + runs["first"]) > 0).all()
 
 
+@pytest.mark.parametrize("low, high", [(400, 950), (300, 2048)])
+def test_plans_take_the_best_number_of_middles(low, high):
+    histogram = np.bincount(np.random.default_rng(0).integers(low, high, 20000), minlength=2049)
+    each = [sum(n for _, n in packing.plan(histogram, 2048, (m,))) for m in (8, 32)]
+    assert sum(n for _, n in packing.plan(histogram)) == min(each) < max(each)
+
+
 def test_tokens_meet_the_targets(spark):
     table = docs(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").selectExpr("doc_id", "cast(quality AS string) AS domain")

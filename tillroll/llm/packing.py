@@ -3,7 +3,7 @@
 1. Each document is tokenised and ended by one id; only longer ones are cut, and the rest of a division is the first
    piece. So all pieces but the first are full.
 2. The histogram of piece lengths (at most ``capacity`` numbers) goes to the driver. Patterns of one to three lengths
-   that fill a sequence exactly are enumerated. Non-negative least squares fits how often each is used; the counts are
+   that fill a sequence exactly are enumerated, of those of three a share, in several sizes. Non-negative least squares fits how often each is used; the counts are
    rounded to what the histogram holds, and what is left is packed by best fit, whole groups of equal pieces at a time.
 3. Pieces of a length are numbered through, first within (length, site), then by the sites' counts, so that a hot
    length is dealt out over all sites. Piece r of a length takes slot r of that length in the plan.
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import map_rows, site_count, staged
 
 CAPACITY = 2048
+#: Numbers of middle lengths to try for the patterns of three.
+MIDDLES = (8, 32)
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 #: Fixed value: the one special token of the vocabulary.
 END_OF_TEXT = "<|endoftext|>"
@@ -120,8 +122,17 @@ def least_squares(rows: np.ndarray, histogram: np.ndarray, rounds: int = 400) ->
     return x
 
 
-def plan(histogram: np.ndarray, capacity: int = CAPACITY, middles: int = 8) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths in one sequence, number of such sequences); uses up ``histogram``, the count of each length from 0."""
+def plan(histogram: np.ndarray, capacity: int = CAPACITY, middles: tuple[int, ...] = MIDDLES) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths in one sequence, number of such sequences); uses up ``histogram``, the count of each length from 0.
+
+    Of the plans with each number of ``middles`` the one with the fewest sequences: more patterns fit closer, but each is
+    used less often then, and rounding takes more of it away.
+    """
+    return min((fitted(histogram, capacity, m) for m in middles), key=lambda chosen: sum(n for _, n in chosen))
+
+
+def fitted(histogram: np.ndarray, capacity: int, middles: int) -> list[tuple[tuple[int, ...], int]]:
+    """A plan from the patterns that ``middles`` gives, and best fit for what they leave."""
     left = histogram.astype(np.int64).copy()
     left[0] = 0
     rows = patterns(np.flatnonzero(left), capacity, middles)
@@ -184,7 +195,7 @@ def numbered(rows: DataFrame, sites: int) -> DataFrame:
     return local.join(sizes, ["length", "site"]).withColumn("rank", F.col("before") + F.col("local") - 1)
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, middles: int = 8) -> DataFrame:
+def pack(rows: DataFrame, capacity: int = CAPACITY, middles: tuple[int, ...] = MIDDLES) -> DataFrame:
     """``rows`` of pieces with the sequence and the place in it that each gets."""
     rows = staged(rows, "pieces")
     histogram = np.zeros(capacity + 1, np.int64)
