@@ -1,11 +1,20 @@
 """The operators as queries over the given tables, and equivalent SQL where SQL can express them."""
 
-from . import exact_dedup, langid, licenses, lines, minhash, mixing, packing, pii, tokens, topk
+from . import exact_dedup, langid, licenses, lines, minhash, mixing, packing, pii, tokens, topk, trie, urls, whitening
 from .common import table
 
 #: Wanted shares of the tokens by quality label, 1 being good text.
 TARGETS = {"1": 0.95, "0": 0.05}
 
+#: Rules for the urls: the verdict, then a host and the start of a path.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
 
 def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
@@ -54,6 +63,19 @@ def op10_lines(spark, sf_dir):
     return lines.remove_boilerplate(table(spark, sf_dir, "documents"), site_col="source", min_sites=8)
 
 
+def op11_trie(spark, sf_dir):
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+
+
+def op13_urls(spark, sf_dir):
+    labelled = spark.createDataFrame(urls.labelled_urls(), "url string, label string")
+    return urls.judge(table(spark, sf_dir, "pages"), urls.fit(labelled), URL_RULES)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_pii": op2_pii,
@@ -65,6 +87,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
     "op10_lines": op10_lines,
+    "op11_trie": op11_trie,
+    "op12_whitening": op12_whitening,
+    "op13_urls": op13_urls,
 }
 
 #: The sequence of words and the sets of shingles as the contract has them; copies of a set are linked as one.
@@ -127,4 +152,49 @@ SELECT d.doc_id, c.text, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed
 FROM documents d LEFT JOIN clean c ON d.doc_id = c.doc_id
 """
 
-ORACLES = {"op1_minhash": OP1_SQL, "op5_topk": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op10_lines": OP10_SQL}
+#: CRC-32 bit by bit; a prefix is known by the digest of its turns as JSON.
+OP11_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, c: list_reduce(range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, c)),
+    4294967295)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+parts AS (
+  SELECT c.conv_id, 0 AS own, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h),
+rebuilt AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM parts),
+paths AS (
+  SELECT conv_id, depth, length(text) AS chars, sha256(CAST(to_json(list(struct_pack(r := role, t := text)) OVER (
+    PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS VARCHAR)) AS key FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+sizes AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT key, depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE n = depth), '') AS ends
+  FROM paths p JOIN sizes s ON p.conv_id = s.conv_id GROUP BY key, depth),
+linked AS (
+  SELECT n.*, p.key AS parent, q.conv_id AS parent_conv_id FROM nodes n
+  LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 LEFT JOIN nodes q ON q.key = p.key),
+children AS (SELECT parent AS key, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent),
+full_nodes AS (SELECT l.*, coalesce(c.n_children, 0) AS n_children FROM linked l LEFT JOIN children c ON l.key = c.key),
+below AS (
+  SELECT p.key, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.chars) AS saved
+  FROM full_nodes f JOIN paths p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.key)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM full_nodes f JOIN below b ON f.key = b.key
+"""
+
+ORACLES = {
+    "op1_minhash": OP1_SQL,
+    "op5_topk": OP5_SQL,
+    "op8_exact_dedup": OP8_SQL,
+    "op10_lines": OP10_SQL,
+    "op11_trie": OP11_SQL,
+}
