@@ -133,6 +133,37 @@ def test_large_totals_neither_wrap_nor_fail(spark, ansi):
     assert one(spark, fn.line_amount(F.lit(2), F.lit(1e300))) == 2e300
 
 
+def test_fractional_quantities(spark, ansi):
+    assert tuple(total(spark, [(1.5, 10.0), (0.5, 4.0)], "double")) == (17.0, 8.5)
+    assert total(spark, [(-1.5, 10.0), (0.25, 0.01), (None, 1.0), (2.0, None)], "double")[0] == -14.9975
+    assert total(spark, [(0.0001, 0.0001)] * 3, "double")[0] == 3e-8
+    assert total(spark, [(1 / 3, 3.0)] * 6, "double")[0] == pytest.approx(6.0, rel=1e-15)
+    assert total(spark, [(2.5, 1e-7)] * 4, "double")[0] == pytest.approx(1e-6, rel=1e-12)
+    assert total(spark, [(1e300, 1e-300), (3e15, 1e-6), (0.5, 1e300)], "double")[0] == pytest.approx(5e299)
+    assert total(spark, [(40_000_000_000.0, 0.5), (2.0**52, 0.0)], "double")[0] == 2e10
+    assert total(spark, [(20_000.5, 1_000_000.0)] * 1000, "double")[0] == 20_000_500_000_000.0
+    for bad in (math.inf, -math.inf):
+        assert total(spark, [(1.5, 2.0), (bad, 1.0)], "double")[0] == bad
+    assert math.isnan(total(spark, [(1.5, 2.0), (math.nan, 1.0)], "double")[0])
+    assert one(spark, fn.line_amount(F.lit(1.5), F.lit(19.99))) == 29.985
+    assert one(spark, fn.line_amount(F.lit(0.1), F.lit(0.7))) == 0.07
+    assert one(spark, fn.line_amount(F.lit("2.75").cast("decimal(10,2)"), F.lit(4.0))) == 11.0
+
+
+def test_whole_and_general_parts_agree(spark):
+    df = spark.range(5000).selectExpr("cast(id % 97 - 40 AS int) AS q", "(id * 7919 % 100003 - 500) / 10000 AS p", "id % 7 AS k")
+    q, p = F.col("q"), F.col("p")
+    out = df.groupBy("k").agg(*(f(q, p, whole=w).alias(f"{f.__name__}{w}") for f in (fn.total_amount, fn.mean_amount) for w in (True, False)))
+    assert all(r["total_amountTrue"] == r["total_amountFalse"] and r["mean_amountTrue"] == r["mean_amountFalse"] for r in out.collect())
+
+
+def test_fractional_sums_do_not_depend_on_the_order(spark):
+    df = spark.range(60_000).selectExpr("(id * 7919 % 99991) / 10000 AS q", "(id * 104729 % 999983) / 10000 AS p")
+    sums = {tuple(df.repartition(n, "q").agg(fn.total_amount(F.col("q"), F.col("p")), fn.total_units(df, "q")).first()) for n in (1, 3, 8)}
+    exact = sum((i * 7919 % 99991) * (i * 104729 % 999983) for i in range(60_000))
+    assert [s[0] for s in sums] == [exact / 10**8] and len(sums) == 1
+
+
 def test_line_amount(spark):
     assert one(spark, fn.line_amount(F.lit(3), F.lit(19.99))) == 59.97
     assert one(spark, fn.line_amount(F.lit(-2), F.lit(0.1))) == -0.2

@@ -183,6 +183,19 @@ def test_product_metrics_edges(spark):
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in GOLD["product_metrics"]]
 
 
+def test_fractional_quantities_count_in_full(spark):
+    tx = spark.createDataFrame(
+        [(1, 7, 1, datetime(2024, 1, 1), 1.5, 10.0), (2, 7, 1, datetime(2024, 1, 2), 0.5, 4.0), (3, 8, 2, datetime(2024, 1, 2), 2.0, 0.25)],
+        "transaction_id int, customer_id int, product_id int, transaction_date timestamp, quantity double, unit_price double",
+    )
+    products = spark.createDataFrame([(1, "a", "b"), (2, "a", "c")], "product_id int, category string, subcategory string")
+    cm, pm = plans.customer_metrics(tx), plans.product_metrics(tx, products)
+    assert rows(cm.select("customer_id", "total_spent", "avg_transaction_amount"), "customer_id") == [(7, 17.0, 8.5), (8, 0.5, 0.5)]
+    assert rows(pm.select("subcategory", "total_units_sold", "total_revenue"), "subcategory") == [("b", 2.0, 17.0), ("c", 2.0, 0.5)]
+    category = plans.category_performance_analysis(pm)
+    assert rows(category.select("category_revenue", "category_units")) == [(17.5, 4.0)]
+
+
 def test_missing_names_form_their_own_groups(spark):
     names = [("x", None), (None, "x"), (None, None), ("", ""), ("ab", "c"), ("a", "bc")]
     products = spark.createDataFrame([(i, "p", c, s, 1.0, 1) for i, (c, s) in enumerate(names)], PRODUCTS)

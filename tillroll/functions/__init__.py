@@ -10,9 +10,10 @@ from tillroll.functions.aggregates import (
     row_count,
     total_amount,
     total_money,
+    total_units,
     value_count,
 )
-from tillroll.functions.money import line_amount, line_parts, money_parts, money_units, total_of, units_to_double
+from tillroll.functions.money import holds_whole, line_amount, line_parts, money_parts, money_units, total_of, units_to_double
 from tillroll.functions.scalars import date_or_today, days_between, epoch_micros_to_ts, share_pct, whole_div
 from tillroll.functions.segments import frequency_segment, value_segment
 
@@ -23,6 +24,7 @@ __all__ = [
     "distinct_count",
     "epoch_micros_to_ts",
     "frequency_segment",
+    "holds_whole",
     "int_avg",
     "line_amount",
     "line_parts",
@@ -36,6 +38,7 @@ __all__ = [
     "total_amount",
     "total_money",
     "total_of",
+    "total_units",
     "units_to_double",
     "value_count",
     "value_segment",

@@ -1,7 +1,8 @@
 """Aggregate expressions. All but the exact distinct count combine on the map side into fixed-width buffers."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.money import line_parts, money_parts, total_of
 from tillroll.functions.scalars import whole_div
@@ -40,14 +41,24 @@ def mean_money(amount: Column) -> Column:
     return F.try_divide(total_money(amount), F.count(amount))
 
 
-def total_amount(quantity: Column, unit_price: Column) -> Column:
-    """Sum of quantity times price; exact for up to four decimals, and without a cut for others."""
-    return total_of(line_parts(quantity, unit_price))
+def total_amount(quantity: Column, unit_price: Column, *, whole: bool = False) -> Column:
+    """Sum of quantity times price; exact where both have up to four decimals, and without a cut for others.
+
+    ``whole`` tells that quantities have no fraction, which needs fewer sums.
+    """
+    return total_of(line_parts(quantity, unit_price, whole=whole))
 
 
-def mean_amount(quantity: Column, unit_price: Column) -> Column:
+def mean_amount(quantity: Column, unit_price: Column, *, whole: bool = False) -> Column:
     """Mean of quantity times price over the rows where both are present, from :func:`total_amount`."""
-    return F.try_divide(total_amount(quantity, unit_price), F.count(line_parts(quantity, unit_price)[0]))
+    parts = line_parts(quantity, unit_price, whole=whole)
+    return F.try_divide(total_of(parts), F.count(parts[0]))
+
+
+def total_units(df: DataFrame, column: str) -> Column:
+    """Sum of a column of counts: whole numbers as ``bigint``, doubles as money is summed."""
+    is_double = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return total_money(F.col(column)) if is_double else F.sum(column)
 
 
 def int_avg(value: Column) -> Column:

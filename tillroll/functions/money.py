@@ -1,21 +1,32 @@
-"""Money arithmetic that is exact for prices of up to four decimals and cuts no digits of others.
+"""Money arithmetic that is exact for prices and quantities of up to four decimals and cuts no digits of others.
 
 Sums of doubles change in the last digit with the order of the rows. So an amount is split into a whole number of 1/10000
 currency units (``bigint``) and what the rounding leaves (``double``). The whole parts are summed exactly, in a high and
 a low half that can't overflow; the rests are summed as doubles, and are 0.0 for prices of up to four decimals. The
 finished total is the sum of both. An amount that is NaN, infinite or beyond 2.8e10 has no whole part: all of it is rest.
-Nothing here depends on ANSI mode.
+
+A quantity with a fraction is split alike, into whole units, a whole number of 1/10000 and a rest. Its product with a
+price is then the whole units times the price's, the fraction times the price's (in 1/10 ** 8, a ``bigint`` of its own),
+and the products with the rests. Nothing here depends on ANSI mode.
 """
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY_DIGITS = 4
-_UNIT = float(10**MONEY_DIGITS)
+_SCALE = 10**MONEY_DIGITS
+_UNIT = float(_SCALE)
 _LARGEST = float(1 << 48)  # units; larger amounts are rest
+_WHOLE_IN_DOUBLE = float(1 << 53)
 _HALF_BITS = 24
 
 
+def holds_whole(df: DataFrame, column: str) -> bool:
+    """Whether a column's type has no fractions, which makes :func:`line_parts` cheaper."""
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
 def money_units(price: Column) -> Column:
     """The whole part of a price, in 1/10000 units; 0 where it is not finite or too large, NULL where it is NULL."""
     price = price.cast("double")
@@ -35,25 +46,52 @@ def money_parts(price: Column) -> tuple[Column, Column]:
     return units, price - units_to_double(units)
 
 
-def line_parts(quantity: Column, unit_price: Column) -> tuple[Column, Column]:
-    """A line amount, quantity times price, as its whole units and the rest."""
+def line_parts(quantity: Column, unit_price: Column, *, whole: bool = False) -> tuple[Column, Column] | tuple[Column, Column, Column]:
+    """A line amount, quantity times price, as its whole units, its 1/10 ** 8 units and the rest.
+
+    With ``whole`` the caller knows that quantities have no fraction (:func:`holds_whole`); there are no 1/10 ** 8 then.
+    """
     price, number = unit_price.cast("double"), quantity.cast("double")
-    amount, units = number * price, money_units(price)
+    amount, units, zero = number * price, money_units(price), F.lit(0).cast("bigint")
     fits = (F.abs(price) < F.lit(_LARGEST / _UNIT)) & (F.abs(amount) < F.lit(_LARGEST / _UNIT))
-    whole = F.when(fits, quantity.cast("bigint") * units).when(amount.isNotNull(), F.lit(0).cast("bigint"))
-    return whole, F.when(fits, number * (price - units_to_double(units))).otherwise(amount)
+    price_rest = price - units_to_double(units)
+    if whole:
+        coarse = F.when(fits, quantity.cast("bigint") * units).when(amount.isNotNull(), zero)
+        return coarse, F.when(fits, number * price_rest).otherwise(amount)
+    split = F.abs(number) < F.lit(_LARGEST / _UNIT)
+    entire = (F.abs(number) < F.lit(_WHOLE_IN_DOUBLE)) & (number == F.rint(number))
+    counted = F.when(split, F.rint(number * F.lit(_UNIT)).cast("bigint"))  # the quantity in 1/10000
+    ones = F.when(split, F.call_function("div", counted, F.lit(_SCALE))).when(entire, number.cast("bigint"))
+    parts = F.when(split, counted % _SCALE).when(entire, zero)
+    known = F.when(split, units_to_double(counted)).when(entire, number)
+    fits = fits & (split | entire)
+    coarse = F.when(fits, ones * units).when(amount.isNotNull(), zero)
+    fine = F.when(fits, parts * units).when(amount.isNotNull(), zero)
+    return coarse, fine, F.when(fits, (number - known) * price + known * price_rest).otherwise(amount)
 
 
-def total_of(parts: tuple[Column, Column]) -> Column:
+def total_of(parts: tuple[Column, ...]) -> Column:
     """Aggregate: the sum of amounts given in parts; NULL over no amounts."""
-    whole, rest = parts
+    coarse, *fine, rest = parts
+    if not fine:
+        return units_to_double(_whole_sum(coarse)) + F.sum(rest)
+    scale = F.lit(_SCALE).cast("decimal(5,0)")
+    every = _whole_sum(coarse).cast("decimal(33,0)") * scale + _whole_sum(fine[0]).cast("decimal(37,0)")
+    small = every % scale
+    return units_to_double((every - small) / scale) + small.cast("double") / F.lit(_UNIT * _UNIT) + F.sum(rest)
+
+
+def _whole_sum(whole: Column) -> Column:
     half = F.lit(1 << _HALF_BITS)
     high = F.sum(F.shiftright(whole, _HALF_BITS)).cast("decimal(38,0)")
     low = F.sum(whole.bitwiseAND(half - 1)).cast("decimal(38,0)")
-    return units_to_double(high * half.cast("decimal(10,0)") + low) + F.sum(rest)
+    return high * half.cast("decimal(10,0)") + low
 
 
-def line_amount(quantity: Column, unit_price: Column) -> Column:
+def line_amount(quantity: Column, unit_price: Column, *, whole: bool = False) -> Column:
     """Line amount, quantity times price, as ``double``."""
-    whole, rest = line_parts(quantity, unit_price)
-    return units_to_double(whole) + rest
+    coarse, *fine, rest = line_parts(quantity, unit_price, whole=whole)
+    if not fine:
+        return units_to_double(coarse) + rest
+    carried = coarse + F.call_function("div", fine[0], F.lit(_SCALE))
+    return units_to_double(carried) + (fine[0] % _SCALE).cast("double") / F.lit(_UNIT * _UNIT) + rest

@@ -8,8 +8,10 @@ from tillroll.functions.aggregates import (
     mean_amount,
     mean_money,
     total_amount,
+    total_units,
     value_count,
 )
+from tillroll.functions.money import holds_whole
 from tillroll.operators.joins import join_tx_products
 
 _KEYS = ["_names_key", "_names_key_2"]
@@ -21,11 +23,11 @@ def customer_metrics(tx: DataFrame) -> DataFrame:
     One shuffle, of one row per customer and map task: every buffer is fixed-width and combined before the exchange,
     so a customer holding a third of all rows costs no more than any other.
     """
-    quantity, price = F.col("quantity"), F.col("unit_price")
+    quantity, price, whole = F.col("quantity"), F.col("unit_price"), holds_whole(tx, "quantity")
     return tx.groupBy("customer_id").agg(
         value_count(F.col("transaction_id")).alias("total_transactions"),
-        total_amount(quantity, price).alias("total_spent"),
-        mean_amount(quantity, price).alias("avg_transaction_amount"),
+        total_amount(quantity, price, whole=whole).alias("total_spent"),
+        mean_amount(quantity, price, whole=whole).alias("avg_transaction_amount"),
         F.min("transaction_date").alias("first_purchase"),
         F.max("transaction_date").alias("last_purchase"),
     )
@@ -41,7 +43,8 @@ def product_metrics(
 ) -> DataFrame:
     """One row per (``category``, ``subcategory``), over the transactions whose product is known.
 
-    ``avg_price`` is the plain mean of ``unit_price`` per transaction row, not weighted by quantity.
+    ``avg_price`` is the plain mean of ``unit_price`` per transaction row, not weighted by quantity. ``total_units_sold``
+    is a whole number, or a double where quantities may have fractions.
 
     The exact distinct count has to shuffle about one row per (subcategory, customer), the largest shuffle of the gold
     stage. So the two names are replaced by a key of two 64-bit hashes before it and joined back to the finished
@@ -57,8 +60,8 @@ def product_metrics(
     )
     quantity, price = F.col("quantity"), F.col("unit_price")
     metrics = joined.groupBy(*_KEYS).agg(
-        F.sum("quantity").alias("total_units_sold"),
-        total_amount(quantity, price).alias("total_revenue"),
+        total_units(tx, "quantity").alias("total_units_sold"),
+        total_amount(quantity, price, whole=holds_whole(tx, "quantity")).alias("total_revenue"),
         mean_money(price).alias("avg_price"),
         distinct_count(F.col("customer_id"), distinct_rsd).alias("unique_customers"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.aggregates import count_where, int_avg, mean_money, row_count, total_money
+from tillroll.functions.aggregates import count_where, int_avg, mean_money, row_count, total_money, total_units
 from tillroll.functions.scalars import date_or_today, days_between, epoch_micros_to_ts
 from tillroll.functions.segments import (
     FREQUENT_FROM,
@@ -66,7 +66,7 @@ def category_performance_analysis(pm: DataFrame) -> DataFrame:
     """
     rolled = pm.groupBy("category").agg(
         total_money(F.col("total_revenue")).alias("category_revenue"),
-        F.sum("total_units_sold").alias("category_units"),
+        total_units(pm, "total_units_sold").alias("category_units"),
         F.sum("unique_customers").alias("total_customers"),
         F.avg("avg_price").alias("category_avg_price"),
         F.try_divide(total_money(F.col("total_revenue")), F.sum("unique_customers")).alias("revenue_per_customer"),

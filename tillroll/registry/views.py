@@ -104,6 +104,18 @@ TX_UNIT_PRICE = """tx AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 
+def tx_fractional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines in quarters: quantities and prices both have decimals."""
+    return tx_large(spark, sf_dir).withColumn("quantity", F.col("quantity") / 4)
+
+
+TX_FRACTIONAL = """tx AS (
+  SELECT l_orderkey * 10 + l_linenumber AS transaction_id, o_custkey AS customer_id, l_partkey AS product_id,
+         o_orderdate AS transaction_date, CAST(CAST(l_quantity AS INT) * 0.25 AS DECIMAL(12,2)) AS quantity,
+         CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as cleaned products."""
     return table(spark, sf_dir, "part").select(
@@ -194,6 +206,8 @@ PM = """pm AS (
          count(DISTINCT customer_id) AS unique_customers
   FROM tx JOIN products USING (product_id) GROUP BY category, subcategory)"""
 
+PM_FRACTIONAL = PM.replace("AS BIGINT) AS total_units_sold", "AS DOUBLE) AS total_units_sold")
+
 
 def initcap_sql(column: str) -> str:
     return (
