@@ -16,7 +16,7 @@ def test_query_equals_its_sql(spark, duck, key):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
 
 
