@@ -18,7 +18,7 @@ from tillroll.plans.reports import (
 )
 from tillroll.plans.silver import process_customers, process_products, process_transactions
 from tillroll.sinks.ddl import create_report_tables, ensure_database, register_table
-from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
+from tillroll.sinks.tables import bind_table, write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
 from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format
 from tillroll.sources.schemas import GOLD, RAW, SILVER
@@ -151,7 +151,11 @@ def newest_products(products: DataFrame) -> DataFrame:
 
 
 def _silver(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
-    """A silver table by its catalog name; where the catalog has lost it, its files, with the columns found by name."""
+    """A silver table by its catalog name, which is first made to follow the table's current version.
+
+    Where the catalog has lost a table that has no version, its files, with the columns found by name.
+    """
+    bind_table(spark, cfg.database, name, cfg.source(name), cfg.silver_format)
     if spark.catalog.tableExists(table_name(cfg.database, name)):
         return scan_catalog(spark, cfg.database, name)
     path, schema = cfg.source(name), None

@@ -29,7 +29,7 @@ from tillroll.sources.drift import (
     infer_schemas,
     schema_drift,
 )
-from tillroll.sources.scan import scan_catalog, scan_csv, scan_format, scan_parquet
+from tillroll.sources.scan import scan_catalog, scan_csv, scan_format, scan_parquet, scan_versioned
 from tillroll.sources.schemas import RAW
 from tillroll.sqltext import table_name
 
@@ -127,6 +127,18 @@ def _sink_catalog_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_catalog(spark, database, "products")
 
 
+def _sink_type_change_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As before, but the catalog is lost after each change, and at the end the rows are found by the path alone."""
+    database, base = _database(spark, "type_change_lost")
+    products = v.products_raw(spark, sf_dir).select("product_id", "price", "supplier_id").where("NOT isnan(price)")
+    whole = products.withColumn("price", F.floor("price").cast("int"))
+    texts = products.withColumn("supplier_id", F.concat(F.lit("s"), F.col("supplier_id").cast("string")))
+    for rows in (whole, products, texts):
+        write_catalog(rows, database, "products", f"{base}/products")
+        spark.sql(f"DROP TABLE {table_name(database, 'products')}")
+    return scan_versioned(spark, f"{base}/products")
+
+
 def _sink_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'overwrite')}/products"
     write_overwrite(v.products_raw(spark, sf_dir), path)
@@ -214,6 +226,28 @@ def _gold_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_rows(spark, database)
 
 
+def _gold_types_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold over two days of silver with inferred types, whose catalog was lost after each day.
+
+    The second day has quarters of units, and suppliers as text, so that older files have to be rewritten.
+    """
+    database, base = _database(spark, "retail_types")
+    for part, day in enumerate((v.AS_OF, NEXT_DAY)):
+        raw = v.raw_files(spark, sf_dir)
+        raw["transactions"] = raw["transactions"].where(F.col("transaction_id") % 2 == part)
+        if part:
+            raw["transactions"] = raw["transactions"].withColumn("quantity", F.col("quantity") / 4)
+            raw["products"] = raw["products"].withColumn("supplier_id", F.concat(F.lit("s"), F.col("supplier_id").cast("string")))
+        for name, df in raw.items():
+            write_overwrite(df, f"{base}/raw_{part}/{name}.csv", "csv")
+        cfg = Config(base, f"raw_{part}", "silver", database, as_of=day, infer_schema=True)
+        run_silver(spark, cfg)
+        for table in spark.catalog.listTables(database):
+            spark.sql(f"DROP TABLE {table_name(database, table.name)}")
+    run_gold(spark, replace(cfg, in_path="silver", out_path="gold"))
+    return _gold_rows(spark, database).withColumn("n", F.col("n").cast("double"))
+
+
 def _run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the three silver tables in one common shape."""
     database = _silver_config(spark, sf_dir).database
@@ -332,6 +366,7 @@ QUERIES = {
     "schema_drift": _schema_drift,
     "sink_catalog_append": _sink_catalog_append,
     "sink_catalog_type_change": _sink_catalog_type_change,
+    "sink_catalog_type_change_lost": _sink_type_change_lost,
     "sink_overwrite": _sink_overwrite,
     "sink_report_snapshot": _sink_report_snapshot,
     "ddl_reports": _ddl_reports,
@@ -339,6 +374,7 @@ QUERIES = {
     "run_gold": _run_gold,
     "run_gold_csv_silver": _gold_csv_silver,
     "run_gold_two_loads": _gold_two_loads,
+    "run_gold_types_lost": _gold_types_lost,
     "run_reports": _run_reports,
 }
 
@@ -363,13 +399,28 @@ _REPORTS = {
     "customer_purchase_frequency": r.FREQUENCY_SQL,
 }
 
-_GOLD_ROWS = f"""{_SILVER_GOLD}
+_GOLD_SELECT = """
 SELECT CAST(customer_id AS VARCHAR) AS key_1, CAST(NULL AS VARCHAR) AS key_2, total_transactions AS n,
        total_spent AS total, avg_transaction_amount AS mean, first_purchase, last_purchase,
        CAST(NULL AS BIGINT) AS customers FROM cm
 UNION ALL SELECT category, subcategory, total_units_sold, total_revenue, avg_price, CAST(NULL AS TIMESTAMP),
        CAST(NULL AS TIMESTAMP), unique_customers FROM pm"""
 
+_GOLD_ROWS = _SILVER_GOLD + _GOLD_SELECT
+
+#: Whole units on the first day, quarters on the second.
+_GOLD_QUARTERS = _SILVER_GOLD.replace(
+    "AS DECIMAL(12,2)) AS unit_price)",
+    "AS DECIMAL(12,2)) AS unit_price, "
+    "CAST(quantity * CASE WHEN transaction_id % 2 = 1 THEN 0.25 ELSE 1 END AS DECIMAL(12,2)) AS quantity)",
+).replace(v.PM, v.PM_FRACTIONAL)
+
+_TYPE_CHANGE = f"""WITH {v.PRODUCTS_RAW}, p AS (
+  SELECT product_id, price, CAST(supplier_id AS VARCHAR) AS supplier_id FROM products_raw
+  WHERE price IS NULL OR NOT isnan(price))
+SELECT product_id, floor(price) AS price, supplier_id FROM p
+UNION ALL SELECT * FROM p UNION ALL SELECT product_id, price, 's' || supplier_id FROM p"""
+
 ORACLES = {
     "scan_csv": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
     "scan_csv_inferred": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
@@ -391,11 +442,8 @@ ORACLES = {
     "sink_catalog_append": f"""WITH {v.CUSTOMERS_RAW}
 SELECT customer_id, email, country, CAST(NULL AS VARCHAR) AS city FROM customers_raw
 UNION ALL SELECT customer_id, email, country, city FROM customers_raw""",
-    "sink_catalog_type_change": f"""WITH {v.PRODUCTS_RAW}, p AS (
-  SELECT product_id, price, CAST(supplier_id AS VARCHAR) AS supplier_id FROM products_raw
-  WHERE price IS NULL OR NOT isnan(price))
-SELECT product_id, floor(price) AS price, supplier_id FROM p
-UNION ALL SELECT * FROM p UNION ALL SELECT product_id, price, 's' || supplier_id FROM p""",
+    "sink_catalog_type_change": _TYPE_CHANGE,
+    "sink_catalog_type_change_lost": _TYPE_CHANGE,
     "sink_overwrite": r.ORACLES["process_products"],
     "sink_report_snapshot": f"""{r.GOLD_CM}, report AS ({r.SEGMENT_VALUE_SQL})
 SELECT report.*, day AS spst_date FROM report, (VALUES ({_day(v.AS_OF)}), ({_day(NEXT_DAY)})) AS days(day)""",
@@ -410,6 +458,7 @@ UNION ALL SELECT 'transactions', transaction_id, CAST(customer_id AS VARCHAR), C
     "run_gold": _GOLD_ROWS,
     "run_gold_csv_silver": _GOLD_ROWS,
     "run_gold_two_loads": _GOLD_ROWS,
+    "run_gold_types_lost": f"SELECT * REPLACE (CAST(n AS DOUBLE) AS n) FROM ({_GOLD_QUARTERS}{_GOLD_SELECT})",
     "run_reports": _SILVER_GOLD
     + "\n"
     + "\nUNION ALL ".join(

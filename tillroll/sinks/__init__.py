@@ -7,11 +7,12 @@ from tillroll.sinks.ddl import (
     ensure_database,
     register_table,
 )
-from tillroll.sinks.tables import write_catalog, write_overwrite, write_snapshot
+from tillroll.sinks.tables import bind_table, write_catalog, write_overwrite, write_snapshot
 
 __all__ = [
     "REPORT_TABLES",
     "SNAPSHOT_COLUMN",
+    "bind_table",
     "create_report_tables",
     "ensure_database",
     "register_table",

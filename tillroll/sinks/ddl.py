@@ -1,11 +1,9 @@
 """Databases and report tables."""
 
-import re
-
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from tillroll.sqltext import columns_ddl, identifier, options_ddl, quoted, schema_columns, table_name
+from tillroll.sqltext import columns_ddl, identifier, options_ddl, plain_location, quoted, schema_columns, table_name
 
 SNAPSHOT_COLUMN = "spst_date"
 
@@ -65,7 +63,7 @@ def register_table(
     name = table_name(database, table)
     if spark.catalog.tableExists(name):
         described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
-        if _plain(described.get("Location", "")) == _plain(path):
+        if plain_location(described.get("Location", "")) == plain_location(path):
             return
         if described.get("Type") != "EXTERNAL":
             raise ValueError(f"{name} owns its data under {described.get('Location')}, not under {path}")
@@ -74,11 +72,6 @@ def register_table(
     spark.sql(f"CREATE TABLE {name} {columns} USING {fmt} {options_ddl(fmt)} LOCATION '{quoted(path)}'")
 
 
-def _plain(location: str) -> str:
-    """A location without the ways to spell a local file's scheme."""
-    return re.sub("^file:/*", "/", location).rstrip("/")
-
-
 def create_report_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the five report tables: zstd Parquet, checked text lengths, one partition per snapshot date.
 

@@ -1,6 +1,14 @@
 """Where rows come from: files, catalog tables, and the discovery of their schemas."""
 
-from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format, scan_parquet
+from tillroll.sources.scan import (
+    CORRUPT_COLUMN,
+    header_schema,
+    scan_catalog,
+    scan_csv,
+    scan_format,
+    scan_parquet,
+    scan_versioned,
+)
 from tillroll.sources.schemas import GOLD, RAW, SILVER
 
 __all__ = [
@@ -13,4 +21,5 @@ __all__ = [
     "scan_csv",
     "scan_format",
     "scan_parquet",
+    "scan_versioned",
 ]

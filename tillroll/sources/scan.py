@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillroll.sqltext import table_name
+from tillroll import versions
+from tillroll.sqltext import FORMAT_OPTIONS, columns_ddl, table_name
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -55,6 +56,19 @@ def scan_parquet(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 
 
+def scan_versioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table that :func:`tillroll.sinks.write_catalog` keeps, by its configured path, without a catalog.
+
+    The folder and the types are those of the current version; a path without one is read as it is.
+    """
+    version = versions.current(spark, path)
+    if version is None:
+        return scan_format(spark, path, fmt)
+    columns = {**version.columns, **{c: "date" for c in version.partition}}
+    reader = spark.read.format(fmt).schema(columns_ddl(columns)).options(**FORMAT_OPTIONS.get(fmt, {}))
+    return reader.load(version.location)
+
+
 def scan_catalog(spark: SparkSession, database: str, table: str) -> DataFrame:
     """A catalog table by name."""
     return spark.table(table_name(database, table))

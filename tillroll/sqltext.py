@@ -1,5 +1,6 @@
 """Names, column lists and options as SQL text."""
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import types as T
@@ -47,3 +48,8 @@ def options_ddl(fmt: str) -> str:
 
 def schema_columns(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def plain_location(location: str) -> str:
+    """A location without the ways to spell a local file's scheme."""
+    return re.sub("^file:/*", "/", location).rstrip("/")
