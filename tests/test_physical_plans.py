@@ -12,7 +12,7 @@ from tillroll.registry import views as v
 SF_DIR = "/root/testdata/sf0.001"
 ON_FILES = {"scan_csv", "scan_format", "scan_catalog", "schema_drift", "sink_catalog_append", "sink_overwrite"}
 ON_FILES |= {"sink_report_snapshot", "ddl_reports", "run_silver", "run_gold", "run_reports", "scan_csv_inferred"}
-ON_FILES |= {"sink_catalog_type_change_lost", "run_gold_types_lost"}
+ON_FILES |= {"sink_catalog_type_change_lost", "run_gold_types_lost", "run_gold_as_of", "run_gold_incremental"}
 ON_FILES |= {"sink_catalog_type_change", "run_gold_csv_silver", "run_gold_two_loads"}
 
 pytestmark = pytest.mark.skipif(not __import__("os").path.isdir(SF_DIR), reason="no test tables")
@@ -76,6 +76,20 @@ def test_a_report_that_needs_no_customers_does_not_count_them(silver):
     assert read_columns(out)[0] == ["product_id", "quantity", "unit_price"]
 
 
+def test_shares_over_lazy_metrics_read_the_facts_once(silver):
+    """Rows and totals begin with the same steps up to the first shuffle of the facts, which runs once."""
+    out = plans.top_performing_subcategories(plans.product_metrics(*silver))
+    out.collect()
+    final = physical(out).partition("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet .*?quantity", final)) == 1 and "ReusedExchange" in final
+
+
+def test_bitmaps_shuffle_no_customers(silver):
+    text = physical(plans.product_metrics(*silver, bitmaps=True))
+    assert "bitmap_construct_agg" in text and "Expand" not in text
+    assert not re.search(r"hashpartitioning\([^)]*customer_id", text)
+
+
 def test_top_n_needs_no_full_sort(silver):
     text = physical(plans.top_performing_subcategories(plans.product_metrics(*silver), 3))
     assert "TakeOrderedAndProject(limit=3" in text

@@ -5,7 +5,7 @@ import json
 import sys
 from datetime import date
 
-from tillroll.plans.jobs import Config, run_discovery, run_gold, run_reports, run_silver
+from tillroll.plans.jobs import PRODUCT_ROWS, Config, run_discovery, run_gold, run_reports, run_silver
 from tillroll.session import build_session
 
 JOBS = {"discovery": run_discovery, "silver": run_silver, "gold": run_gold, "reports": run_reports}
@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
     parser.add_argument("--silver-format", default="parquet")
     parser.add_argument("--gold-format", default="parquet")
+    parser.add_argument("--product-rows", choices=PRODUCT_ROWS, default="newest", help="gold: which rows of a product count")
+    parser.add_argument("--incremental", action="store_true", help="gold: from the states of the days")
     parser.add_argument("--infer-schema", action="store_true", help="silver: infer the raw types")
     args = vars(parser.parse_args(argv))
     job = JOBS[args.pop("job")]

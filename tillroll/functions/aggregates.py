@@ -31,6 +31,16 @@ def distinct_count(value: Column, rsd: float | None = None) -> Column:
     return F.count_distinct(value) if rsd is None else F.approx_count_distinct(value, rsd)
 
 
+def bitmap_bucket(value: Column) -> Column:
+    """Which bitmap of 32768 whole numbers a value belongs to."""
+    return F.bitmap_bucket_number(value)
+
+
+def bitmap_of(value: Column) -> Column:
+    """Bitmap of the values of one bucket; bitmaps of a bucket are united by ``bitmap_or_agg`` and counted exactly."""
+    return F.bitmap_construct_agg(F.bitmap_bit_position(value))
+
+
 def total_money(amount: Column) -> Column:
     """Sum of a money column; exact for up to four decimals, and without a cut for others."""
     return total_of(money_parts(amount))

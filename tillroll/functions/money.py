@@ -1,8 +1,8 @@
 """Money arithmetic that is exact for prices and quantities of up to four decimals and cuts no digits of others.
 
 Sums of doubles change in the last digit with the order of the rows. So an amount is split into a whole number of 1/10000
-currency units (``bigint``) and what the rounding leaves (``double``). The whole parts are summed exactly, in a high and
-a low half that can't overflow; the rests are summed as doubles, and are 0.0 for prices of up to four decimals. The
+currency units (``bigint``) and what the rounding leaves (``double``). The whole parts are summed exactly, in pieces
+that can't overflow; the rests are summed as doubles, and are 0.0 for prices of up to four decimals. The
 finished total is the sum of both. An amount that is NaN, infinite or beyond 2.8e10 has no whole part: all of it is rest.
 
 A quantity with a fraction is split alike, into whole units, a whole number of 1/10000 and a rest. Its product with a
@@ -19,7 +19,7 @@ _SCALE = 10**MONEY_DIGITS
 _UNIT = float(_SCALE)
 _LARGEST = float(1 << 48)  # units; larger amounts are rest
 _WHOLE_IN_DOUBLE = float(1 << 53)
-_HALF_BITS = 24
+_HALF_BITS, _THIRD_BITS = 24, 21
 
 
 def holds_whole(df: DataFrame, column: str) -> bool:
@@ -70,22 +70,49 @@ def line_parts(quantity: Column, unit_price: Column, *, whole: bool = False) ->
     return coarse, fine, F.when(fits, (number - known) * price + known * price_rest).otherwise(amount)
 
 
-def total_of(parts: tuple[Column, ...]) -> Column:
-    """Aggregate: the sum of amounts given in parts; NULL over no amounts."""
+def sums_of(parts: tuple[Column, ...]) -> list[Column]:
+    """Aggregates: fixed-width sums of amounts given in parts, which can be added up again; see :func:`total_from`.
+
+    Two halves of the whole units, three thirds of the 1/10 ** 8 if there are any, and the rest: none of the whole ones
+    can overflow before 2 ** 39 rows.
+    """
     coarse, *fine, rest = parts
+    sums = [F.sum(F.shiftright(coarse, _HALF_BITS)), F.sum(coarse.bitwiseAND(F.lit((1 << _HALF_BITS) - 1)))]
+    for part in fine:
+        third = F.lit((1 << _THIRD_BITS) - 1)
+        sums += [F.sum(F.shiftright(part, 2 * _THIRD_BITS))]
+        sums += [F.sum(F.shiftright(part, k * _THIRD_BITS).bitwiseAND(third)) for k in (1, 0)]
+    return [*sums, F.sum(rest)]
+
+
+def total_from(sums: list[Column]) -> Column:
+    """The total that :func:`sums_of`, or sums of such sums, add up to; NULL over no amounts."""
+    high, low, *fine, rest = sums
+    coarse = _joined([high, low], _HALF_BITS)
     if not fine:
-        return units_to_double(_whole_sum(coarse)) + F.sum(rest)
+        return units_to_double(coarse) + rest
     scale = F.lit(_SCALE).cast("decimal(5,0)")
-    every = _whole_sum(coarse).cast("decimal(33,0)") * scale + _whole_sum(fine[0]).cast("decimal(37,0)")
+    every = coarse.cast("decimal(33,0)") * scale + _joined(fine, _THIRD_BITS).cast("decimal(37,0)")
     small = every % scale
-    return units_to_double((every - small) / scale) + small.cast("double") / F.lit(_UNIT * _UNIT) + F.sum(rest)
+    return units_to_double((every - small) / scale) + small.cast("double") / F.lit(_UNIT * _UNIT) + rest
+
 
+def count_from(sums: list[Column]) -> Column:
+    """As :func:`total_from`, as ``bigint``, for amounts that are whole numbers."""
+    high, low, rest = sums
+    return (_joined([high, low], _HALF_BITS) / F.lit(_SCALE).cast("decimal(5,0)")).cast("bigint") + rest.cast("bigint")
 
-def _whole_sum(whole: Column) -> Column:
-    half = F.lit(1 << _HALF_BITS)
-    high = F.sum(F.shiftright(whole, _HALF_BITS)).cast("decimal(38,0)")
-    low = F.sum(whole.bitwiseAND(half - 1)).cast("decimal(38,0)")
-    return high * half.cast("decimal(10,0)") + low
+
+def _joined(pieces: list[Column], bits: int) -> Column:
+    total, *others = (p.cast("decimal(38,0)") for p in pieces)
+    for piece in others:
+        total = total * F.lit(1 << bits).cast("decimal(10,0)") + piece
+    return total
+
+
+def total_of(parts: tuple[Column, ...]) -> Column:
+    """Aggregate: the sum of amounts given in parts; NULL over no amounts."""
+    return total_from(sums_of(parts))
 
 
 def line_amount(quantity: Column, unit_price: Column, *, whole: bool = False) -> Column:

@@ -1,5 +1,7 @@
 """The fact-to-dimension join and the size check behind its broadcast."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +34,9 @@ def join_tx_products(
     products_are_small: bool = False,
     salts: int = 1,
     hot_share: float = HOT_SHARE,
+    on: Sequence[str] = ("product_id",),
 ) -> DataFrame:
-    """Inner join of transactions with products on ``product_id``, which is kept once.
+    """Inner join of transactions with products on ``product_id``, which is kept once, and further columns of ``on``.
 
     NULL keys and transactions without a product drop out. A column both sides hold must be projected away first.
 
@@ -47,20 +50,21 @@ def join_tx_products(
       task salts alike; ``tx`` should hold ``transaction_id``, to tell like purchases apart.
     """
     if products_are_small:
-        return tx.join(F.broadcast(products), "product_id", "inner")
+        return tx.join(F.broadcast(products), [*on], "inner")
     hot = hot_products(tx, hot_share) if salts > 1 else []
     if not hot:
-        return tx.join(products, "product_id", "inner")
+        return tx.join(products, [*on], "inner")
     is_hot, spread = F.col("product_id").isin(hot), F.pmod(F.xxhash64(*tx.columns), F.lit(salts)).cast("int")
     salted_tx = tx.withColumn(_SALT, F.when(is_hot, spread).otherwise(0))
     repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_products = products.withColumn(_SALT, F.explode(repeats))
-    return salted_tx.join(salted_products, ["product_id", _SALT], "inner").drop(_SALT)
+    return salted_tx.join(salted_products, [*on, _SALT], "inner").drop(_SALT)
 
 
 def hot_products(tx: DataFrame, hot_share: float = HOT_SHARE) -> list:
-    """The ids with over ``hot_share`` of the transactions, ``1 / hot_share`` at most. Counted, never sampled."""
-    counts = tx.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n")).limit(int(1 / hot_share)).collect()
-    least = hot_share * (tx.count() if top else 0)
-    return sorted(r["product_id"] for r in top if r["n"] > least)
+    """The ids with over ``hot_share`` of the transactions, ``1 / hot_share`` at most. Counted in one pass, never sampled."""
+    counts = tx.groupingSets([["product_id"], []], "product_id").agg(F.count(F.lit(1)).alias("n"), F.grouping("product_id").alias("all"))
+    named = counts.where((F.col("all") == 1) | F.col("product_id").isNotNull())
+    top = named.orderBy(F.desc("all"), F.desc("n")).limit(int(1 / hot_share) + 1).collect()
+    least = hot_share * sum(r["n"] for r in top if r["all"])
+    return sorted(r["product_id"] for r in top if not r["all"] and r["n"] > least)

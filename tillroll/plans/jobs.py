@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.aggregates import count_where, row_count
+from tillroll.functions.money import holds_whole
+from tillroll.operators.asof import names_as_of, newest_names, newest_rows
 from tillroll.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
 from tillroll.plans.gold import customer_metrics, product_keys, product_metrics
 from tillroll.plans.reports import (
@@ -17,10 +19,11 @@ from tillroll.plans.reports import (
     top_performing_subcategories,
 )
 from tillroll.plans.silver import process_customers, process_products, process_transactions
+from tillroll.plans.states import customer_state, merged_customers, merged_products, product_customers, product_state
 from tillroll.sinks.ddl import create_report_tables, ensure_database, register_table
 from tillroll.sinks.tables import bind_table, write_catalog, write_overwrite, write_snapshot
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
-from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format
+from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format, scan_parquet
 from tillroll.sources.schemas import GOLD, RAW, SILVER
 from tillroll.sqltext import TEXT_FORMATS, table_name
 
@@ -30,6 +33,8 @@ PROCESS = {
     "transactions": process_transactions,
 }
 
+PRODUCT_ROWS = ("newest", "as_of", "newest_rows", "all")
+
 
 @dataclass(frozen=True)
 class Config:
@@ -39,9 +44,22 @@ class Config:
     ``reporting_database`` the reports, ``raw_database`` the raw datasets that discovery finds. ``as_of`` is the load
     and snapshot date, by default the session's current date. ``mode`` 'overwrite' replaces what an earlier run of the
     same day wrote; 'append' adds to it. ``load_date`` makes gold read one day's silver transactions instead of all.
-    Each product counts once, as its newest load has it, so one that later loads lack keeps its transactions.
-    ``product_load_date`` takes the products of one load only, ``all_product_loads`` the rows of all loads (a product
-    that was loaded twice then counts its transactions twice).
+
+    ``product_rows`` tells which rows of a product count:
+
+    - 'newest', once, as its newest load has it (with ``load_date``, the newest up to that day), so a product that later
+      loads lack keeps its transactions;
+    - 'as_of': for each transaction as the transaction's own load has it, the newest load not later than it;
+    - 'newest_rows': every row of its newest load; a product with several rows there counts its transactions with each;
+    - 'all': every row of every load; a product that was loaded twice counts its transactions twice.
+
+    Under the first two a product that only later loads know is taken as the first of them has it, and of several rows
+    of a product in one load those with the largest names. ``product_load_date`` takes the products of one load only.
+    ``all_product_loads`` is another way to say 'all'.
+
+    ``incremental`` keeps what each day's transactions add to gold in state tables beside it, and gold is the sum of all
+    days' states. Only the days that have none yet are read, or, with ``load_date``, that day, whose state is replaced.
+    ``bitmaps`` counts distinct customers by bitmaps (see :func:`tillroll.plans.product_metrics`).
     """
 
     base_uri: str
@@ -57,7 +75,10 @@ class Config:
     infer_schema: bool = False
     load_date: date | None = None
     product_load_date: date | None = None
+    product_rows: str = "newest"
     all_product_loads: bool = False
+    incremental: bool = False
+    bitmaps: bool = False
     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES
     product_salts: int = 16
 
@@ -121,33 +142,89 @@ def run_gold(spark: SparkSession, cfg: Config) -> None:
     """Compute both metrics tables from silver and register them in the catalog.
 
     Transactions are scanned once per table, each scan with its own few columns: at scale that is cheaper than keeping
-    the union of the columns. Products are measured first and broadcast only if they fit ``broadcast_limit_bytes``;
-    beyond it the join is shuffled, with the hot products salted. All load dates of the transactions count, unless
-    ``load_date`` picks one, and of each product the newest row.
+    the union of the columns. The names of the products are written first, then measured, and broadcast only if they fit
+    ``broadcast_limit_bytes``; beyond it the join is shuffled, with the hot products salted. All load dates of the
+    transactions count, unless ``load_date`` picks one. See :class:`Config` for the products and for daily states.
     """
     if cfg.in_path.strip("/") == cfg.out_path.strip("/"):
         raise ValueError("in_path and out_path must differ: gold replaces what lies under its path")
+    if cfg.product_rows not in PRODUCT_ROWS:
+        raise ValueError(f"product_rows must be one of {PRODUCT_ROWS}, not {cfg.product_rows!r}")
     ensure_database(spark, cfg.database)
     tx, products = _silver(spark, cfg, "transactions"), _silver(spark, cfg, "products")
+    gold = _gold_from_states(spark, cfg, tx, products) if cfg.incremental else _gold_from_rows(spark, cfg, tx, products)
+    for name, df in gold.items():
+        write_overwrite(df, cfg.target(name), cfg.gold_format, database=cfg.database, table=name)
+
+
+def _gold_from_rows(spark: SparkSession, cfg: Config, tx: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
     if cfg.load_date is not None:
         tx = tx.filter(F.col("load_date") == F.lit(cfg.load_date))
-    if not cfg.all_product_loads:
-        if cfg.product_load_date is not None:
-            products = products.filter(F.col("load_date") == F.lit(cfg.product_load_date))
-        products = newest_products(products)
-    fits = measured_bytes(product_keys(products)) <= cfg.broadcast_limit_bytes
-    gold = {
+    names, by_load = _names(spark, cfg, tx, products, cfg.load_date)
+    on = ["product_id", "load_date"] if by_load else ["product_id"]
+    fits = measured_bytes(product_keys(names, on)) <= cfg.broadcast_limit_bytes
+    return {
         "customer_metrics": customer_metrics(tx),
-        "product_metrics": product_metrics(tx, products, products_are_small=fits, salts=cfg.product_salts),
+        "product_metrics": product_metrics(
+            tx, names, products_are_small=fits, salts=cfg.product_salts, bitmaps=cfg.bitmaps, by_load=by_load
+        ),
+    }
+
+
+def _names(
+    spark: SparkSession, cfg: Config, tx: DataFrame, products: DataFrame, until: date | None
+) -> tuple[DataFrame, bool]:
+    """The names by product, or by product and load date of the transactions, written once and read back; and which."""
+    by_load = False
+    if cfg.product_load_date is not None:
+        names = newest_names(products.filter(F.col("load_date") == F.lit(cfg.product_load_date)))
+    elif cfg.all_product_loads or cfg.product_rows == "all":
+        names = products
+    elif cfg.product_rows == "newest_rows":
+        names = newest_rows(products if until is None else products.filter(F.col("load_date") <= F.lit(until)))
+    elif cfg.product_rows == "as_of":
+        names, by_load = names_as_of(tx, products), True
+    elif until is not None:
+        names = names_as_of(products.select("product_id", F.lit(until).alias("load_date")), products)
+    else:
+        names = newest_names(products)
+    on = ["product_id", "load_date"] if by_load else ["product_id"]
+    path = cfg.target("product_names")
+    write_overwrite(names.select(*on, "category", "subcategory"), path)
+    return scan_parquet(spark, path), by_load
+
+
+#: The state tables of incremental gold and what makes them of a day's transactions.
+STATES = {"customer_state": customer_state, "product_state": product_state, "product_customers": product_customers}
+
+
+def _gold_from_states(spark: SparkSession, cfg: Config, tx: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
+    for name in STATES:
+        bind_table(spark, cfg.database, name, cfg.target(name))
+    days = [cfg.load_date] if cfg.load_date is not None else _days_without_state(spark, cfg, tx)
+    for day in days:
+        rows = tx.filter(F.col("load_date") == F.lit(day)).drop("load_date")
+        for name, state in STATES.items():
+            write_catalog(state(rows), cfg.database, name, cfg.target(name), partition={"load_date": day}, mode="overwrite")
+    customers, by_product, buyers = (scan_catalog(spark, cfg.database, name) for name in STATES)
+    if {"customer_id", "customers"} <= set(buyers.columns):
+        raise ValueError(f"customer ids were whole numbers on some days only: remove {', '.join(STATES)} and run all days")
+    names, _ = _names(spark, cfg, by_product, products, None)
+    return {
+        "customer_metrics": merged_customers(customers),
+        "product_metrics": merged_products(by_product, buyers, names, whole_units=holds_whole(tx, "quantity")),
     }
-    for name, df in gold.items():
-        write_overwrite(df, cfg.target(name), cfg.gold_format, database=cfg.database, table=name)
 
 
-def newest_products(products: DataFrame) -> DataFrame:
-    """What gold needs of each product, once: the row of its newest load; of several in that, the largest names."""
-    newest = products.groupBy("product_id").agg(F.max(F.struct("load_date", "category", "subcategory")).alias("newest"))
-    return newest.select("product_id", "newest.category", "newest.subcategory")
+def _days_without_state(spark: SparkSession, cfg: Config, tx: DataFrame) -> list[date]:
+    """Load dates of the transactions that the last of the state tables lacks; a day is complete once it has that."""
+    days = tx.select("load_date").distinct()
+    last = list(STATES)[-1]
+    if spark.catalog.tableExists(table_name(cfg.database, last)):
+        held = spark.sql(f"SHOW PARTITIONS {table_name(cfg.database, last)}").collect()
+        known = [date.fromisoformat(r["partition"].partition("=")[2]) for r in held]
+        days = days.where(~F.col("load_date").isin(known)) if known else days
+    return sorted(r["load_date"] for r in days.collect())
 
 
 def _silver(spark: SparkSession, cfg: Config, name: str) -> DataFrame:

@@ -248,6 +248,39 @@ def _gold_types_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_rows(spark, database).withColumn("n", F.col("n").cast("double"))
 
 
+def _gold_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold over two days of transactions; between them every fourth product got another subcategory."""
+    database, base = _database(spark, "retail_as_of")
+    for part, day in enumerate((v.AS_OF, NEXT_DAY)):
+        raw = v.raw_files(spark, sf_dir)
+        raw["transactions"] = raw["transactions"].where(F.col("transaction_id") % 2 == part)
+        if part:
+            renamed = F.when(F.col("product_id") % 4 == 0, "renamed").otherwise(F.col("subcategory"))
+            raw["products"] = raw["products"].withColumn("subcategory", renamed)
+        for name, df in raw.items():
+            write_overwrite(df, f"{base}/raw_{part}/{name}.csv", "csv")
+        cfg = Config(base, f"raw_{part}", "silver", database, as_of=day, product_rows="as_of")
+        run_silver(spark, cfg)
+    run_gold(spark, replace(cfg, in_path="silver", out_path="gold"))
+    return _gold_rows(spark, database)
+
+
+def _gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from daily states. The first day's transactions come twice, the first time without a third of them."""
+    database, base = _database(spark, "retail_states")
+    first = F.col("transaction_id") % 2 == 0
+    loads = [(v.AS_OF, first & (F.col("transaction_id") % 3 != 0)), (NEXT_DAY, ~first), (v.AS_OF, first)]
+    for n, (day, which) in enumerate(loads):
+        raw = v.raw_files(spark, sf_dir)
+        raw["transactions"] = raw["transactions"].where(which)
+        for name, df in raw.items():
+            write_overwrite(df, f"{base}/raw_{n}/{name}.csv", "csv")
+        cfg = Config(base, f"raw_{n}", "silver", database, as_of=day)
+        run_silver(spark, cfg)
+        run_gold(spark, replace(cfg, in_path="silver", out_path="gold", incremental=True, load_date=day))
+    return _gold_rows(spark, database)
+
+
 def _run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the three silver tables in one common shape."""
     database = _silver_config(spark, sf_dir).database
@@ -375,6 +408,8 @@ QUERIES = {
     "run_gold_csv_silver": _gold_csv_silver,
     "run_gold_two_loads": _gold_two_loads,
     "run_gold_types_lost": _gold_types_lost,
+    "run_gold_as_of": _gold_as_of,
+    "run_gold_incremental": _gold_incremental,
     "run_reports": _run_reports,
 }
 
@@ -415,6 +450,11 @@ _GOLD_QUARTERS = _SILVER_GOLD.replace(
     "CAST(quantity * CASE WHEN transaction_id % 2 = 1 THEN 0.25 ELSE 1 END AS DECIMAL(12,2)) AS quantity)",
 ).replace(v.PM, v.PM_FRACTIONAL)
 
+#: The transactions of the second day with every fourth product's other name.
+_RENAMED = """FROM (SELECT tx.*, category,
+    CASE WHEN transaction_id % 2 = 1 AND product_id % 4 = 0 THEN 'Renamed' ELSE subcategory END AS subcategory
+  FROM tx JOIN products USING (product_id))"""
+
 _TYPE_CHANGE = f"""WITH {v.PRODUCTS_RAW}, p AS (
   SELECT product_id, price, CAST(supplier_id AS VARCHAR) AS supplier_id FROM products_raw
   WHERE price IS NULL OR NOT isnan(price))
@@ -458,6 +498,8 @@ UNION ALL SELECT 'transactions', transaction_id, CAST(customer_id AS VARCHAR), C
     "run_gold": _GOLD_ROWS,
     "run_gold_csv_silver": _GOLD_ROWS,
     "run_gold_two_loads": _GOLD_ROWS,
+    "run_gold_as_of": _SILVER_GOLD.replace("FROM tx JOIN products USING (product_id)", _RENAMED) + _GOLD_SELECT,
+    "run_gold_incremental": _GOLD_ROWS,
     "run_gold_types_lost": f"SELECT * REPLACE (CAST(n AS DOUBLE) AS n) FROM ({_GOLD_QUARTERS}{_GOLD_SELECT})",
     "run_reports": _SILVER_GOLD
     + "\n"

@@ -124,6 +124,8 @@ QUERIES = {
     "product_metrics_unit_price": pm_unit_price,
     "customer_metrics_fractional": lambda s, d: customer_metrics(v.tx_fractional(s, d)),
     "product_metrics_fractional": lambda s, d: product_metrics(v.tx_fractional(s, d), v.products(s, d)),
+    "product_metrics_bitmap": lambda s, d: product_metrics(v.tx(s, d), v.products(s, d), bitmaps=True),
+    "product_metrics_bitmap_large": lambda s, d: product_metrics(v.tx_large(s, d), v.products(s, d), bitmaps=True),
     "customer_activity_epoch_micros": activity_epoch_micros,
     "customer_metrics_large": cm_large,
     "product_metrics_large": pm_large,
@@ -158,6 +160,8 @@ SELECT * REPLACE (round(total_spent, 2) AS total_spent,
 SELECT * REPLACE (round(total_revenue, 2) AS total_revenue, round(avg_price, 2) AS avg_price) FROM pm""",
     "customer_metrics_fractional": f"WITH {v.TX_FRACTIONAL}, {v.CM} SELECT * FROM cm",
     "product_metrics_fractional": f"WITH {v.TX_FRACTIONAL}, {v.PRODUCTS}, {v.PM_FRACTIONAL} SELECT * FROM pm",
+    "product_metrics_bitmap": f"{GOLD_PM} SELECT * FROM pm",
+    "product_metrics_bitmap_large": f"{GOLD_PM_LARGE} SELECT * FROM pm",
     "customer_activity_epoch_micros": f"{GOLD_CM} {ACTIVITY_SQL}",
     "customer_metrics_large": f"{GOLD_CM_LARGE} SELECT * FROM cm",
     "product_metrics_large": f"{GOLD_PM_LARGE} SELECT * FROM pm",
