@@ -1,14 +1,24 @@
+import re
+from pathlib import Path
+
 import pytest
 
 from tests.oracle import connect
+from tillroll import llm
 
 SF_DIR = "/root/testdata/sf0.001"
+#: Columns of the tables, which the tests fill.
+FIELDS = "doc_id text lang source n_chars vec_id embedding label page_id url html conv_id turn role domain quality toxic".split()
 
 #: Names that the operators use inside; a table may have them as well.
-CLASHING = (
-    "site members digest signature bands band component node spans all kind p rate copy times drop key line length rank "
-    "lang_pred rejected held_out n kept_id rated_id rated_times best batch leader tokens piece draw title"
-).split()
+CLASHING = sorted(
+    {
+        name.lower()
+        for module in Path(llm.__file__).parent.glob("*.py")
+        for name in re.findall(r"""["'](?:[a-z]\.)?([A-Za-z_][A-Za-z_0-9]{0,24})["']""", module.read_text())
+        if name.lower() not in FIELDS
+    }
+)
 
 
 def with_clashes(df):

@@ -11,6 +11,8 @@ import pytest
 from tillroll.llm import exact_dedup, minhash
 from tillroll.llm.components import components
 
+from .conftest import with_clashes
+
 
 def plain(text):
     return re.sub(r"[\x20\x09-\x0D]", "", text or "")
@@ -116,6 +118,82 @@ def test_near_with_chains_and_a_hot_group(spark):
     assert sorted(map(tuple, out.collect()), key=str) == near_by_hand(rows, 2, 80)
 
 
+def repeated_ids(rng):
+    """Rows of (id, text) in which ids repeat with other texts, equal ones, and near ones."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [rng.choices(words, k=40) for _ in range(12)]
+    rows = []
+    for i in range(150):
+        text = list(rng.choice(texts))
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(40)] = rng.choice(words)
+        rows.append((rng.choice((None, *range(60))), " ".join(text)))
+    return rows
+
+
+def test_near_with_repeated_ids(spark):
+    a, b = "one two three four five six seven eight nine ten", "red blue green black white brown pink grey gold teal"
+    rows = [(5, a), (5, b), (6, a + " eleven"), (7, b + " cyan"), (3, "nothing like it"), (5, a.upper()), (7, b + " cyan")]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2)
+    assert sorted(map(tuple, out.collect()), key=str) == near_by_hand(rows, 2, 80)
+    for seed in (1, 2):
+        rows = repeated_ids(random.Random(seed))
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+        assert sorted(map(tuple, minhash.near_duplicates(df, width=2).collect()), key=str) == near_by_hand(rows, 2, 80)
+
+
+def test_one_of_each_near_group_stays_with_repeated_ids(spark):
+    rows = repeated_ids(random.Random(3))
+    df = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string")).repartition(5)
+    kept = [(r[0], r[1]) for r in minhash.drop_near_duplicates(df, width=2).select("doc_id", "text").collect()]
+    sets = {text: shingles(text, 2) for _, text in rows}
+    groups = []  # of texts that rows with an id have
+    for text in {t for i, t in rows if i is not None}:
+        near = [g for g in groups if any(5 * len(sets[text] & sets[x]) >= 4 * len(sets[text] | sets[x]) for x in g)]
+        groups = [g for g in groups if g not in near] + [{text}.union(*near)]
+    assert sorted(x for x in kept if x[0] is None) == sorted(x for x in rows if x[0] is None)
+    for group in groups:
+        smallest = min(i for i, t in rows if t in group and i is not None)
+        stay = [(i, t) for i, t in kept if t in group and i is not None]
+        assert {i for i, _ in stay} == {smallest} and len({t for _, t in stay}) == 1
+
+
+def test_exact_stage_with_repeated_ids(spark):
+    rows = [(5, "a b c"), (5, "abc"), (6, "x"), (6, "y"), (7, "y "), (8, "x"), (8, "x"), (None, "z"), (None, "z"), (9, " z"), (None, "q"), (None, "q")]
+    rows += [(4, "a bc"), (4, "ab c"), (4, None), (3, "")]
+    df = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    out = exact_dedup.drop_exact_duplicates(df)
+    assert out.columns == df.columns
+    kept = sorted(((r[0], r[1]) for r in out.select("doc_id", "text").collect()), key=str)
+    assert kept == sorted([(5, "a b c"), (6, "x"), (7, "y "), (9, " z"), (None, "q"), (3, "")], key=str)
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows = [(rng.choice((None, 1, 2, 3)), rng.choice(("a", "b", "c")) + " " * rng.randrange(3) + rng.choice("de")) for _ in range(60)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+        kept = [(r[0], r[1]) for r in exact_dedup.drop_exact_duplicates(df).collect()]
+        best = {}
+        for i, text in rows:
+            rank = (len(text), i is not None, -(i or 0))
+            best[plain(text)] = max(best.get(plain(text), rank), rank)
+        assert len(kept) == len(best)
+        assert {plain(t): (len(t), i is not None, -(i or 0)) for i, t in kept} == best
+
+
+def thue_morse(n, a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_do_not_collide_by_their_structure(spark):
+    pairs = [(thue_morse(n, a, b), thue_morse(n, b, a)) for n in (2, 8, 16, 32, 64, 128, 1024, 4096) for a, b in ("ab", "xy")]
+    words = [w for pair in pairs for w in pair] + ["a" * n for n in range(1, 200)] + ["a" * 8, "a" * 8 + "\x01", "\x01" + "a" * 8]
+    words = list(dict.fromkeys(words))
+    assert len(set(minhash.word_hashes(" ".join(words)))) == len(words)
+    one, two = pairs[-2]
+    rows = [(1, one), (2, two), (3, f"{one} {two}"), (4, f"{two} {one}")]
+    out = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2)
+    assert sorted(map(tuple, out.collect()), key=str) == near_by_hand(rows, 2, 80)
+
+
 def test_word_hashes_do_not_depend_on_the_pieces(monkeypatch):
     text = "Some  wörds\tand a" + "b" * 500 + " verylong " + "c" * 100 + "\n tail é " * 50
     whole = minhash.word_hashes(text)

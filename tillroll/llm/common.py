@@ -73,6 +73,38 @@ def only_ids(docs: DataFrame, ids: DataFrame, id_col: str, broadcast_rows: int =
     return docs.join(F.broadcast(ids) if small else ids, id_col, "left_semi")
 
 
+def row_keys(docs: DataFrame) -> list[Column]:
+    """128 bits that tell rows with another id or another text apart, null or not. Rows that repeat both are the same."""
+    parts = [x for c in ("doc_id", "text") for x in (docs[c].isNull(), docs[c])]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until ``df`` has no such column."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def match_rows(docs: DataFrame, keys: DataFrame, how: str, broadcast_rows: int = 1 << 20) -> DataFrame:
+    """``docs`` joined on :func:`row_keys` with ``keys``, whose first two columns hold them; ``how`` as in ``join``.
+
+    The keys are counted: few are broadcast, so the texts stay where they are; many are shuffled. Of ``keys``' other
+    columns an inner join adds all, under their names, which ``docs`` must not have.
+    """
+    a, b, *more = keys.columns
+    x, y, u, v = unused(docs, "row_key_1", "row_key_2", "key_1", "key_2")
+    keys = keys.select(F.col(a).alias(u), F.col(b).alias(v), *more)
+    small = keys.limit(broadcast_rows + 1).count() <= broadcast_rows
+    one, two = row_keys(docs)
+    keyed = docs.withColumns({x: one, y: two})
+    keys = F.broadcast(keys) if small else keys
+    return keyed.join(keys, (F.col(x) == F.col(u)) & (F.col(y) == F.col(v)), how).drop(x, y, u, v)
+
+
 _shipped: set[str] = set()
 
 #: Bytes in a batch that goes to a Python task: 8 MB, where the session has Spark's own 64 MB. Rows hold whole texts and
@@ -81,7 +113,11 @@ BATCH_BYTES, SPARKS_OWN, OURS = "spark.sql.execution.arrow.maxBytesPerBatch", "6
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application: Python tasks import it, however it was installed here."""
+    """Send this package to the executors, once per application: Python tasks import it, however it was installed here.
+
+    Where the session has Spark's own bound on the bytes of a batch, it is lowered to ``OURS``, for the session: the
+    operators are lazy, so their Python tasks run after the call that makes them.
+    """
     if spark.conf.get(BATCH_BYTES) == SPARKS_OWN:
         spark.conf.set(BATCH_BYTES, OURS)
     context = spark.sparkContext

@@ -16,7 +16,7 @@ members, and all carry the same verdict; an empty table gives an empty result; o
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascend, descend, site_count, site_of, staged
+from .common import ascend, descend, match_rows, row_keys, site_count, site_of, staged
 
 KEYS = ["text_sha256", "check", "bytes"]
 #: The white space that is deleted, space and tab to carriage return.
@@ -30,42 +30,54 @@ def normalised(text: Column) -> Column:
 
 
 def digests(docs: DataFrame, sites: int) -> DataFrame:
-    """A narrow row per document: id, site, the verified digest, and ``best``, which is largest for the row that stays."""
+    """A narrow row per document: id, site, keys of the row, the verified digest, and ``best``, largest for the row that stays.
+
+    Of rows that agree in length and id, the one with the largest keys of id and text stays.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.length(text).alias("n"), normalised(text).alias("plain"))
+    one, two = row_keys(docs)
+    rows = docs.select("doc_id", one.alias("row_1"), two.alias("row_2"), F.length(text).alias("n"), normalised(text).alias("plain"))
     return rows.select(
         "doc_id",
+        "row_1",
+        "row_2",
         site_of(F.col("doc_id"), sites).alias("site"),
         F.sha2("plain", 256).alias("text_sha256"),
         F.xxhash64("plain", F.lit("check")).alias("check"),
         F.octet_length("plain").alias("bytes"),
-        F.struct(F.col("n"), F.bitwise_not("doc_id").alias("rev")).alias("best"),  # ~id falls as the id grows
+        F.struct(F.col("n"), F.bitwise_not("doc_id").alias("rev"), "row_1", "row_2").alias("best"),  # ~id falls as the id grows
     )
 
 
-def exact_duplicates(docs: DataFrame, fan_in_bits: int = 3) -> DataFrame:
-    """For each row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
+def grouped(docs: DataFrame, fan_in_bits: int) -> tuple[DataFrame, DataFrame]:
+    """The digests of all rows, and for each distinct text the row that stays and the number of rows."""
     sites = site_count(docs.sparkSession)
     rows = staged(digests(docs, sites), "digests")
     classes = ascend(rows, KEYS, "best", sites, fan_in_bits).select(
-        *KEYS, F.bitwise_not("best.rev").alias("keep_id"), F.col("members").alias("group_size")
+        *KEYS, F.bitwise_not("best.rev").alias("keep_id"), F.col("members").alias("group_size"), "best.row_1", "best.row_2"
     )
-    return descend(rows.drop("best"), classes, KEYS).select(
+    return rows, classes
+
+
+def exact_duplicates(docs: DataFrame, fan_in_bits: int = 3) -> DataFrame:
+    """For each row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
+    rows, classes = grouped(docs, fan_in_bits)
+    return descend(rows.drop("best", "row_1", "row_2"), classes.drop("row_1", "row_2"), KEYS).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
-def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns. Rows that repeat an id and a text stay once.
+def drop_exact_duplicates(docs: DataFrame, fan_in_bits: int = 3) -> DataFrame:
+    """The documents that stay, one of each distinct text, with all their columns.
 
-    The join by id leaves the rows where the repeats are looked for, so the texts travel once. Rows without an id stay,
-    one of each text, where no row with an id has that text.
+    Rows are told apart by id and text, so one id may stay with one text and go with another. Rows that repeat both stay
+    once. Only the keys of the rows that go, and of those that repeat, meet the texts.
     """
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256")
-    named = kept.where("kept_id IS NOT NULL").select("kept_id").distinct()
-    stay = docs.join(named, docs["doc_id"] == named["kept_id"], "left_semi").dropDuplicates(["doc_id", "text"])
-    nameless = kept.where("kept_id IS NULL").select(F.col("text_sha256").alias("kept_sha256")).distinct()
-    free = docs.where(docs["doc_id"].isNull())
-    digest = F.sha2(normalised(F.coalesce(free["text"], F.lit(""))), 256)
-    free = free.withColumn("free_sha256", digest).join(nameless, F.col("free_sha256") == F.col("kept_sha256"), "left_semi")
-    return stay.unionByName(free.dropDuplicates(["free_sha256"]).drop("free_sha256"))
+    rows, classes = grouped(docs, fan_in_bits)
+    key = ["row_1", "row_2"]
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("times"))
+    told = staged(counted.join(classes.select(*key, F.lit(True).alias("stays")), key, "left"), "told")
+    left = match_rows(docs, told.where("stays IS NULL").select(*key), "left_anti")
+    again = told.where("stays AND times > 1").select(*key)
+    once = match_rows(left, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return match_rows(left, again, "left_anti").unionByName(once)

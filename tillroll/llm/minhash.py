@@ -2,7 +2,7 @@
 
 1. Every document becomes its set of distinct word shingles (64-bit hashes), ``bands * rows`` minima over it, a key for
    each band of ``rows`` minima, and a signature of the low ``bits`` bits of all minima, packed into longs.
-2. Documents with the same set are one class; the smallest id stands for it from here on.
+2. Documents with the same set are one class, with a number of its own; a row with its smallest id stands for it.
 3. Classes that share a band key are candidates. In every bucket a leader is compared with each member, never all with
    all. The packed signatures estimate the similarity by bit counts, corrected for the 2 ** -bits chance that unequal
    minima agree; pairs five standard errors under the threshold go.
@@ -16,8 +16,9 @@
 A pair right at a similarity of 0.8 shares no band with probability (1 - 0.8 ** rows) ** bands, 5e-6 by default.
 
 Defined results: a null or blank text has an empty set and stands alone; a text with fewer words than a shingle is one
-shingle; rows that repeat an id are members of the same class; rows without id take no part in links and are kept; an
-empty table gives an empty result; other columns are ignored. Texts are read whole, in pieces of bounded size.
+shingle; rows that repeat an id are documents each, so those with different texts may have different groups; rows without
+id take no part in links and are kept; an empty table gives an empty result; other columns are ignored. Texts are read
+whole, in pieces of bounded size.
 """
 
 import hashlib
@@ -29,35 +30,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascend, descend, map_rows, only_ids, site_count, site_of, staged
+from .common import ascend, descend, map_rows, match_rows, only_ids, row_keys, site_count, site_of, staged
 from .components import components
 
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
 PIECE = 1 << 20
-GIANT = 1 << 16
-FEATURES = "doc_id bigint, n_shingles bigint, digest binary, signature array<bigint>, bands array<bigint>"
+GIANT = 64
+FEATURES = "doc_id bigint, row_1 bigint, row_2 bigint, n_shingles bigint, digest binary, signature array<bigint>, bands array<bigint>"
 
 
-@cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Random value of each byte; whether it is white space."""
-    space = np.zeros(256, bool)
-    space[[32, *range(9, 14)]] = True
-    return np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64), space
-
-
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
-    if not _powers or len(_powers["up"]) < n:
-        base, size = 0x9E3779B97F4A7C15, max(n, 1 << 16)
-        for name, b in (("up", base), ("down", pow(base, -1, 1 << 64))):
-            steps = np.full(size, b, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"], _powers["down"]
+SPACE = np.zeros(256, bool)
+SPACE[[32, *range(9, 14)]] = True
+#: The low 0 to 8 bytes of a long.
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,16 +55,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _piece_words(raw: bytes) -> np.ndarray:
-    values, space = _tables()
-    a = np.frombuffer(raw, np.uint8)
-    blank = space[a]
+    """Eight bytes at a time, each step a bijection of those bytes, mixed before the next: no two words of up to eight
+    bytes and one length collide, and longer ones only by chance."""
+    blank = SPACE[np.frombuffer(raw, np.uint8)]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _power(len(a))
-    sums = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum(values[a] * up[: len(a)], out=sums[1:])
-    out = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    for i in np.flatnonzero(ends - starts > GIANT):
+    size = ends - starts
+    eights = np.ndarray(len(raw) + 1, "<u8", raw + bytes(8), strides=(1,))  # the eight bytes from each place on
+    out = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    at, left, which = starts, size, np.arange(len(starts))
+    while len(which):
+        part = eights[at] & LOW_BYTES[np.minimum(left, 8)]
+        out[which] = mix(out[which] * np.uint64(0xD6E8FEB86659FD93) + part)
+        more = (left > 8) & (size[which] <= GIANT)
+        at, left, which = at[more] + 8, left[more] - 8, which[more]
+    for i in np.flatnonzero(size > GIANT):
         out[i] = _giant(raw[starts[i] : ends[i]])
     return out
 
@@ -153,33 +143,37 @@ def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def digest_of(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def features(docs: DataFrame, width: int, bands: int, rows: int, bits: int) -> DataFrame:
     def one(batch: pa.RecordBatch) -> list[tuple]:
         sets = [shingle_set(text.as_py(), width) for text in batch["text"]]
         low = np.array([minima(s, bands * rows) for s in sets]).reshape(len(sets), -1)
         out = []
-        for doc_id, s, signature, keys in zip(
-            batch["doc_id"].to_pylist(), sets, packed(low, bits), band_keys(low, bands, rows), strict=True
-        ):
-            digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-            out.append((doc_id, len(s), digest, signature, keys) if len(s) else (doc_id, 0, None, None, None))
+        known = zip(*(batch[c].to_pylist() for c in ("doc_id", "row_1", "row_2")), strict=True)
+        for row, s, signature, keys in zip(known, sets, packed(low, bits), band_keys(low, bands, rows), strict=True):
+            digest = digest_of(s)
+            out.append((*row, len(s), digest, signature, keys) if len(s) else (*row, 0, None, None, None))
         return out
 
-    return map_rows(docs.select("doc_id", "text"), one, FEATURES)
+    one_key, two_key = row_keys(docs)
+    return map_rows(docs.select("doc_id", "text", one_key.alias("row_1"), two_key.alias("row_2")), one, FEATURES)
 
 
 def sets_of(docs: DataFrame, width: int, minima_of: int = 0) -> DataFrame:
-    """doc_id, n_shingles, the set, and ``fine``: one bit of each of ``minima_of`` minima."""
+    """digest, n_shingles, the set, and ``fine``: one bit of each of ``minima_of`` minima."""
 
     def one(batch: pa.RecordBatch) -> list[tuple]:
         out = []
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+        for text in batch["text"]:
             s = shingle_set(text.as_py(), width)
             fine = packed(minima(s, minima_of)[None, :], 1)[0] if minima_of else []
-            out.append((doc_id, len(s), s.tobytes(), fine))
+            out.append((digest_of(s), len(s), s.tobytes(), fine))
         return out
 
-    return map_rows(docs.select("doc_id", "text"), one, "doc_id bigint, n_shingles bigint, items binary, fine array<bigint>")
+    return map_rows(docs.select("text"), one, "digest binary, n_shingles bigint, items binary, fine array<bigint>")
 
 
 def estimate(a: list[Column], b: list[Column], n: int, bits: int) -> Column:
@@ -211,8 +205,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 out.append((a, b))
         return out
 
-    x = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("x"))
-    y = sets.select(F.col("doc_id").alias("b"), F.col("items").alias("y"))
+    x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     return map_rows(pairs.select("a", "b").join(x, "a").join(y, "b"), one, "a bigint, b bigint")
 
 
@@ -227,38 +221,56 @@ def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 52, rows: int = 7, bits: int = 2, fine: int = 4096
 ) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    out = labelled(docs, width, percent, bands, rows, bits, fine).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def labelled(
+    docs: DataFrame, width: int, percent: int, bands: int = 52, rows: int = 7, bits: int = 2, fine: int = 4096
+) -> DataFrame:
+    """For each row of ``docs``: doc_id, row_1, row_2, n_shingles, component_id, and ``component``, a number that its group
+    shares (null for rows without a set or an id, which have no group)."""
     n, sites = bands * rows, site_count(docs.sparkSession)
     feats = staged(features(docs, width, bands, rows, bits), "minhash")
-    own = feats.select("doc_id", "n_shingles", "digest", site_of(F.col("doc_id"), sites).alias("site"))
+    own = feats.select("doc_id", "row_1", "row_2", "n_shingles", "digest", site_of(F.col("doc_id"), sites).alias("site"))
     sets_in = own.where("digest IS NOT NULL AND doc_id IS NOT NULL").withColumn("best", F.bitwise_not("doc_id"))
-    classes = staged(
-        ascend(sets_in, ["digest"], "best", sites).select("digest", F.bitwise_not("best").alias("rep")), "classes"
+    # a class for each set: the smallest of its ids, and a number
+    classes = ascend(sets_in, ["digest"], "best", sites).select(
+        "digest", F.bitwise_not("best").alias("rep"), F.monotonically_increasing_id().alias("node")
     )
-
-    # one row per class with its signature and bands: those of the document that stands for it
-    stands = classes.select("digest", F.col("rep").alias("doc_id"))
-    reps = feats.where("digest IS NOT NULL").join(stands, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    keys = reps.select("doc_id", F.posexplode("bands").alias("index", "band"))
-    # leaders are drawn by a hash of their id, so that the buckets of a cluster share a few of them
-    draw = F.struct(F.xxhash64("doc_id", F.lit("leader")).alias("draw"), F.col("doc_id").alias("leader"))
+    classes = staged(classes, "classes")
+
+    # the signature and the bands of each class: those of a row with its set and that id
+    stands = classes.select("digest", F.col("rep").alias("doc_id"), "node")
+    reps = feats.where("digest IS NOT NULL").join(stands, ["digest", "doc_id"]).drop("digest", "doc_id").dropDuplicates(["node"])
+    keys = reps.select("node", F.posexplode("bands").alias("index", "band"))
+    # leaders are drawn by a hash, so that the buckets of a cluster share a few of them
+    draw = F.struct(F.xxhash64("node", F.lit("leader")).alias("draw"), F.col("node").alias("leader"))
     buckets = keys.groupBy("band").agg(F.min(draw).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(keys.join(buckets.select("band", F.col("first.leader").alias("leader")), "band"), "buckets")
 
     def fits(x: Column, y: Column) -> Column:
         return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
+    def sets_for(nodes: DataFrame, minima_of: int, name: str) -> DataFrame:
+        """The sets of some classes, from the texts of the ids that stand for them."""
+        wanted = staged(only_ids(classes, nodes, "node"), "wanted")
+        texts = only_ids(docs, wanted.select(F.col("rep").alias("doc_id")), "doc_id")
+        found = sets_of(texts, width, minima_of).join(wanted.select("digest", "node"), "digest").drop("digest")
+        return staged(found.dropDuplicates(["node"]), name)
+
     # each member against its leaders, the most similar one first
-    star = members.where("doc_id != leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
+    star = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     star = staged(star, "star")
-    signatures = reps.select("doc_id", "n_shingles", "signature")
-    few = staged(only_ids(signatures, star.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id"), "signatures")
-    x = few.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-    y = few.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
+    signatures = reps.select("node", "n_shingles", "signature")
+    few = staged(only_ids(signatures, star.select(F.explode(F.array("a", "b")).alias("node")), "node"), "signatures")
+    x = few.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
+    y = few.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
     sa, sb = ([F.col(c)[i] for i in range((n * bits + 63) // 64)] for c in ("sa", "sb"))
     star = star.join(x, "a").join(y, "b").where(fits(F.col("na"), F.col("nb")))
     star = star.select("a", "b", estimate(sa, sb, n, bits).alias("estimate"))
     star = staged(star.where(F.col("estimate") >= least_estimate(percent, n, bits)), "close")
-    sets = staged(sets_of(only_ids(docs, star.select(F.explode(F.array("a", "b")).alias("doc_id")), "doc_id").dropDuplicates(["doc_id"]), width), "sets")
+    sets = sets_for(star.select(F.explode(F.array("a", "b")).alias("node")), 0, "sets")
     nearest = star.groupBy("a").agg(F.max(F.struct("estimate", "b")).alias("top")).select("a", F.col("top.b").alias("b"))
     links = staged(confirmed(nearest, sets, percent), "links")
 
@@ -273,32 +285,44 @@ def near_duplicates(
     first = components(links)
 
     # buckets that hold several components still: the pairs across components, once each, with finer signatures
-    labelled = component_of(members.drop("leader"), "doc_id", first, "component")
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    mixed = staged(labelled.join(mixed.select("band"), "band", "left_semi"), "mixed")
-    sets = staged(sets_of(only_ids(docs, mixed, "doc_id").dropDuplicates(["doc_id"]), width, fine), "mixed_sets")
+    in_component = component_of(members.drop("leader"), "node", first, "component")
+    mixed = in_component.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    mixed = staged(in_component.join(mixed.select("band"), "band", "left_semi"), "mixed")
+    sets = sets_for(mixed, fine, "mixed_sets")
     words = (fine + 63) // 64
-    short = reps.select("doc_id", F.transform("bands", lambda k: F.hash(k)).alias("keys"))
-    rows_in = mixed.join(sets.select("doc_id", "n_shingles", *(F.col("fine")[i].alias(f"s{i}") for i in range(words))), "doc_id")
-    rows_in = staged(rows_in.join(short, "doc_id"), "across")
+    short = reps.select("node", F.transform("bands", lambda k: F.hash(k)).alias("keys"))
+    rows_in = mixed.join(sets.select("node", "n_shingles", *(F.col("fine")[i].alias(f"s{i}") for i in range(words))), "node")
+    rows_in = staged(rows_in.join(short, "node"), "across")
     sx, sy = ([F.col(f"{t}.s{i}") for i in range(words)] for t in "xy")
     before = F.zip_with(F.slice("x.keys", 1, F.col("x.index")), F.slice("y.keys", 1, F.col("x.index")), lambda p, q: p == q)
     pair = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))
     pair = pair & fits(F.col("x.n_shingles"), F.col("y.n_shingles"))
     pair = pair & (estimate(sx, sy, fine, 1) >= least_estimate(percent, fine, 1))
     pair = pair & ~F.exists(before, lambda same: same)  # else the pair has met in an earlier band
-    across = rows_in.alias("x").join(rows_in.alias("y"), pair).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    across = rows_in.alias("x").join(rows_in.alias("y"), pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     final = components(links.unionByName(confirmed(across, sets, percent)))
 
-    labels = classes.join(final, classes["rep"] == final["node"], "left").select(
-        "digest", F.coalesce("component", "rep").alias("component_id")
+    # the smallest id of each component, and so of its classes
+    linked = staged(final.join(classes.select("node", "rep"), "node"), "linked")
+    smallest = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = linked.join(smallest, "component").select("node", "component", "component_id")
+    labels = classes.join(named, "node", "left").select(
+        "digest", F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "rep").alias("component_id")
     )
-    grouped = descend(sets_in.drop("best"), labels, ["digest"]).select("doc_id", "n_shingles", "component_id")
-    alone = own.where("digest IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return grouped.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows_out = ["doc_id", "row_1", "row_2", "n_shingles", "component_id", "component"]
+    grouped = descend(sets_in.drop("best"), labels, ["digest"]).select(rows_out)
+    alone = own.where("digest IS NULL OR doc_id IS NULL").withColumn("component_id", F.col("doc_id"))
+    return grouped.unionByName(alone.withColumn("component", F.lit(None).cast("bigint")).select(rows_out))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay, one of each group, with all their columns."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """The documents that stay, one of each group, with all their columns.
+
+    Of a group the row with the smallest id stays; where that id has several texts in the group, one of them. Rows that
+    repeat id and text stay or go together. Only the keys of the rows that go meet the texts.
+    """
+    rows = staged(labelled(docs, width, percent), "labelled").where("component IS NOT NULL")
+    stays = F.min(F.struct("doc_id", "row_1", "row_2")).alias("first")
+    first = rows.groupBy("component").agg(stays).select("first.row_1", "first.row_2")
+    gone = rows.select("row_1", "row_2").join(first, ["row_1", "row_2"], "left_anti").distinct()
+    return match_rows(docs, staged(gone, "gone"), "left_anti")

@@ -12,26 +12,30 @@
 
 Defined results: a null or blank text has no tokens; its posteriors come from zero shares, and it changes no total; a
 domain without labelled rows gets posterior 0, and without any labels all get the same; labels that are null or no
-domain are ignored; a document with several labels teaches each; rows that repeat an id are rated alike; an empty table
-gives an empty result; other columns pass through ``mix`` unchanged.
+domain are ignored; a document with several labels teaches each; rows that repeat an id are rated each by its own text;
+an empty table gives an empty result; other columns pass through ``mix`` unchanged.
 """
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import match_rows, row_keys, staged, unused
 
 #: Character classes whose shares are features.
 CLASSES = {"upper": "[A-Z]", "digit": "[0-9]", "mark": "[!-/:-@\\[-`{-~]"}
 SHARES = [*CLASSES, "word", "line"]
+ROW = ["doc_id", "row_1", "row_2", "tokens"]
 
 
 def shares(docs: DataFrame) -> DataFrame:
-    """doc_id, tokens, and the shares: of character classes, mean word length, and lines."""
+    """doc_id, keys of the row, tokens, and the shares: of character classes, mean word length, and lines."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    one, two = row_keys(docs)
     rows = docs.select(
         "doc_id",
+        one.alias("row_1"),
+        two.alias("row_2"),
         F.length(text).alias("chars"),
         F.regexp_count(text, F.lit("[^ \\t-\\r]+")).cast("bigint").alias("tokens"),
         F.regexp_count(text, F.lit("\n")).alias("lines"),
@@ -39,8 +43,7 @@ def shares(docs: DataFrame) -> DataFrame:
     )
     size = F.greatest(F.col("chars"), F.lit(1))
     return rows.select(
-        "doc_id",
-        "tokens",
+        *ROW,
         *(F.sqrt(F.col(f"n_{k}") / size).alias(k) for k in CLASSES),
         F.log1p(size / F.greatest(F.col("tokens"), F.lit(1))).alias("word"),
         F.sqrt(F.col("lines") / size).alias("line"),
@@ -58,7 +61,7 @@ def fit(rows: DataFrame, labels: DataFrame, domains: list[str]) -> dict[str, dic
 
 
 def posteriors(rows: DataFrame, model: dict[str, dict], domains: list[str], decimals: int) -> DataFrame:
-    """doc_id, tokens, and ``p``, the posteriors in the order of ``domains``."""
+    """doc_id, keys of the row, tokens, and ``p``, the posteriors in the order of ``domains``."""
 
     def log_score(d: str) -> Column:
         if d not in model:
@@ -69,10 +72,10 @@ def posteriors(rows: DataFrame, model: dict[str, dict], domains: list[str], deci
             score = score - F.pow(F.col(c) - mean, F.lit(2.0)) / (2 * var) - 0.5 * float(np.log(var))
         return score
 
-    scored = rows.select("doc_id", "tokens", F.array(*map(log_score, domains)).alias("s"))
+    scored = rows.select(*ROW, F.array(*map(log_score, domains)).alias("s"))
     scored = scored.withColumn("top", F.array_max("s")).withColumn("e", F.transform("s", lambda s: F.exp(s - F.col("top"))))
     norm = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    return scored.withColumn("norm", norm).select("doc_id", "tokens", F.transform("e", lambda e: F.round(e / F.col("norm"), decimals)).alias("p"))
+    return scored.withColumn("norm", norm).select(*ROW, F.transform("e", lambda e: F.round(e / F.col("norm"), decimals)).alias("p"))
 
 
 def rate_of(p: Column, steps: list[np.ndarray], max_rate: float | None) -> Column:
@@ -98,6 +101,20 @@ def rates(
 
     ``total_tokens`` is the wanted sum; by default the largest that needs no domain more often than it is there.
     """
+    return rated(docs, labels, targets, total_tokens, max_rate, decimals, rounds, tolerance).drop("row_1", "row_2")
+
+
+def rated(
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float],
+    total_tokens: float | None = None,
+    max_rate: float | None = None,
+    decimals: int = 2,
+    rounds: int = 25,
+    tolerance: float = 1e-4,
+) -> DataFrame:
+    """As :func:`rates`, with the keys of the rows, row_1 and row_2."""
     domains = list(targets)
     share = np.array([targets[d] for d in domains], float)
     share = share / share.sum()
@@ -134,9 +151,16 @@ def copies(rate: Column, doc_id: Column) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], max_rate: float | None = 1.0) -> DataFrame:
-    """The documents as often as their rates say, with all their columns."""
-    rated = rates(docs, labels, targets, max_rate=max_rate)
-    taken = rated.select(F.col("doc_id").alias("rated_id"), copies(F.col("rate"), F.col("doc_id")).alias("rated_times")).where("rated_times > 0").distinct()
-    both = docs.join(taken, docs["doc_id"].eqNullSafe(taken["rated_id"]))
-    again = F.explode(F.array_repeat(F.lit(0), taken["rated_times"])).alias("rated_copy")
-    return both.select(*(docs[c] for c in docs.columns), again).drop("rated_copy")
+    """The documents as often as their rates say, with all their columns.
+
+    Rows are told apart by id and text. Only the keys of those that go, and of those that are taken several times, meet
+    the texts.
+    """
+    rows = rated(docs, labels, targets, max_rate=max_rate)
+    (times,) = unused(docs, "times")
+    told = rows.select("row_1", "row_2", copies(F.col("rate"), F.col("doc_id")).alias(times)).where(F.col(times) != 1)
+    told = staged(told.distinct(), "taken")
+    once = match_rows(docs, told.select("row_1", "row_2"), "left_anti")
+    often = match_rows(docs, told.where(F.col(times) > 1), "inner")
+    again = often.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return once.unionByName(again.drop(times))
