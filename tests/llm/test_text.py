@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import random
 import re
 import textwrap
 
+import numpy as np
 import pytest
 
 from tillroll.llm import licenses, lines, pii, tokens
@@ -102,6 +104,83 @@ def test_reliabilities_follow_the_votes():
     assert abs(labelers.likes.sum(axis=3) - 1).max() < 1e-9
 
 
+def planted(rng, n, prior, likes):
+    """Counts of votes that labelers of known reliabilities give, for each kind."""
+    counts = {}
+    for kind in range(4):
+        for true in rng.random(n) < prior[kind]:
+            key = (kind, *(int(rng.choice(3, p=likes[kind][j][int(true)])) - 1 for j in range(3)))
+            counts[key] = counts.get(key, 0) + 1
+    return counts
+
+
+@pytest.mark.parametrize("n", [4000, 20000])
+def test_em_finds_planted_reliabilities(n):
+    """Shares of true candidates from 0.3 to 0.8, and labelers that are not what the first guess says."""
+    rng = np.random.default_rng(n)
+    prior = [0.8, 0.3, 0.6, 0.5]
+    likes = np.array(
+        [
+            [[[0.7, 0.1, 0.2], [0.02, 0.08, 0.9]], [[0.6, 0.3, 0.1], [0.1, 0.2, 0.7]], [[0.1, 0.8, 0.1], [0.05, 0.35, 0.6]]],
+            [[[0.9, 0.05, 0.05], [0.01, 0.04, 0.95]], [[0.8, 0.1, 0.1], [0.3, 0.1, 0.6]], [[0.2, 0.7, 0.1], [0.05, 0.55, 0.4]]],
+            [[[0.55, 0.0, 0.45], [0.03, 0.0, 0.97]], [[0.7, 0.1, 0.2], [0.05, 0.05, 0.9]], [[0.3, 0.6, 0.1], [0.05, 0.25, 0.7]]],
+            [[[0.8, 0.2, 0.0], [0.0, 0.4, 0.6]], [[0.9, 0.05, 0.05], [0.2, 0.1, 0.7]], [[0.4, 0.5, 0.1], [0.1, 0.2, 0.7]]],
+        ]
+    )
+    found, _ = pii.reliabilities(planted(rng, n, prior, likes))
+    assert np.abs(found.prior - prior).max() < 0.05
+    assert np.abs(found.likes - likes).max() < 0.05
+
+
+def test_pseudo_counts_do_not_grow_with_the_candidates():
+    few = {(3, 1, 1, 1): 40, (3, -1, -1, 0): 30, (3, 0, 1, 1): 25, (3, 0, -1, 0): 20}
+    shares = [pii.reliabilities({k: v * n for k, v in few.items()})[0].likes[3] for n in (1, 100)]
+    assert (np.abs(shares[1] - shares[0]) < 0.1).all() and shares[1][1, 1, 2] > 0.99  # the votes alone decide
+
+
+def test_loose_spans_beside_base_spans(spark):
+    """Loose candidates are sought in what valid base spans leave, and in all of what they don't."""
+    texts = ["+1 (212) 555-0100 (212) 555-0101", "+1 (212) 555-0100(212) 555-0101", "+12 (212) 555-0100 99999 (212) 555-0101"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = {r["doc_id"]: [(x["s"], x["e"], x["base"]) for x in r["spans"] if x["kind"] == 3] for r in pii.candidates(df).collect()}
+    assert out[2][-1] == (25, 39, False)
+    for i, spans in out.items():
+        base = [(s, e) for s, e, is_base in spans if is_base]
+        assert base == base_spans(texts[i])[3]
+        assert not any(s < f and b < e for s, e, is_base in spans if not is_base for b, f in base)
+
+
+def test_blocks_of_matches(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice(["a@b.co ", "é x ", "1.2.3.4 ", "\U0001f600", "+1 555 123 4567, "]) for _ in range(n))) for i, n in enumerate((0, 1, 5, 200, 900))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for block in (1, 3, 64):
+        monkeypatch.setattr(pii, "BLOCK", block)
+        check_base(df)
+
+
+def test_many_matches_in_one_text(spark):
+    """100,000 e-mails in one text, in about the time of two passes over it."""
+    text = " ".join(f"mail a{i}@b{i}.com" for i in range(100_000))
+    (row,) = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).collect()
+    assert row["n_email"] == 100_000
+    assert row["base_sha256"] == hashlib.sha256(as_text(base_spans(text)).encode()).hexdigest()
+
+
+def test_many_boilerplate_lines_in_one_text(spark):
+    text = "\n".join(f"line {i}" for i in range(100_000))
+    df = spark.createDataFrame([(i, f"{text}\nown {i}", f"s{i}") for i in range(3)], "doc_id bigint, text string, source string")
+    out = lines.remove_boilerplate(df, min_sites=3).collect()
+    assert sorted(map(tuple, out)) == [(i, f"own {i}", 100_001, 100_000) for i in range(3)]
+
+
+def test_lines_of_repeated_and_missing_ids(spark):
+    rows = [(1, "x\na", "s1"), (1, "b\nx", "s2"), (None, "x\nc", "s3"), (None, "y\nx\ny", "s4"), (1, "x\na", "s1"), (2, None, "s5"), (None, "", None)]
+    df = with_clashes(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    out = lines.remove_boilerplate(df, min_sites=4)
+    assert sorted(map(tuple, out.collect()), key=str) == lines_by_hand(rows, 4)
+
+
 def test_looser_spans_are_added_where_the_labelers_agree(spark):
     sure = [(i, f"phone +1 (212) 555-01{i:02d} now") for i in range(40)]
     free = [(100 + i, f"please call (212) 555-02{i:02d} today") for i in range(20)]
@@ -173,6 +252,33 @@ def test_notices_that_share_lines_or_touch():
     assert not model.spans("This program is free software; you can redistribute it and/or modify\n\nas published by the Free Software Foundation", 0.5, 0.6)
 
 
+def test_headings_and_identifiers():
+    """A heading counts as a line of its own only; identifiers of every family, and none of unknown ones."""
+    model = licenses.fit([])
+    for family, texts in licenses.HEADINGS.items():
+        for text in texts:
+            for line in (text, f"   {text}  ", f"# {text}", text.upper()):
+                assert [s[0] for s in model.spans(f"before\n{line}\nafter it", 0.5, 0.6)] == [family], line
+            if len(text.split()) < 4:  # longer ones are most of a notice
+                assert not model.spans(f"People say that the {text} is a long text to read.", 0.5, 0.6)
+    for family, names in licenses.IDENTIFIERS.items():
+        for name in names:
+            assert [s[0] for s in model.spans(f"// SPDX-License-Identifier: {name}", 0.5, 0.6)] == [family]
+    for name in ("Foo-1.0", "Proprietary", "LicenseRef-Custom"):
+        assert not model.spans(f"// SPDX-License-Identifier: {name}", 0.5, 0.6)
+
+
+def test_the_sample_of_lines_is_bounded_by_all_tasks_together(spark):
+    """As many lines, and the same, from any number of partitions; no partition sends more than its share."""
+    texts = [f"line {i} " + "x" * (i % 7) for i in range(40_000)]
+    df = spark.createDataFrame([("\n".join(texts[i::400]),) for i in range(400)], "text string")
+    drawn = [licenses.corpus_lines(df.repartition(n), 100) for n in (2, 40)]
+    assert drawn[0] == drawn[1] and len(drawn[0]) == 100
+    everything = licenses.corpus_lines(df, 50_000)
+    assert sorted(everything) == sorted(texts) and everything[:100] == drawn[0]
+    assert len(licenses.corpus_lines(df, 50_000, longest=8)) == sum(len(t) <= 8 for t in texts)
+
+
 def test_copies_of_a_line_take_one_place_in_the_sample(spark):
     texts = [f"line {i}" for i in range(6400)]
     once = licenses.corpus_lines(spark.createDataFrame([("\n".join(texts),)], "text string"), 50)

@@ -6,7 +6,7 @@ paragraph without any is ``unknown`` at once). A multinomial logistic regression
 trained on disturbed copies of the notices (words dropped, swapped or added) and on a bounded, hash-drawn sample of the
 corpus' own lines as unknown. A temperature, fitted on held-out copies, calibrates its probabilities. A prediction counts
 if its calibrated probability reaches ``least`` and a template of the family confirms it: enough of the template's bigrams
-are in the window's joined words. Of windows that overlap, the one with the most of its template counts, and the others
+are in the window's joined words. A heading, as "MIT License", confirms only where it is a line of its own. Of windows that overlap, the one with the most of its template counts, and the others
 if they are notices besides it: of another family, with enough bigrams of their own.
 
 Prediction covers every line of every text, in one pass without a shuffle. Defined results: a null or blank text has no
@@ -30,7 +30,7 @@ WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 UNKNOWN = "unknown"
 
 #: Usual notices of each family.
-TEMPLATES = {
+NOTICES = {
     "agpl": [
         "Licensed under the GNU Affero General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
@@ -38,12 +38,10 @@ TEMPLATES = {
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-        "SPDX-License-Identifier: Apache-2.0",
     ],
     "bsd": [
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
@@ -52,20 +50,61 @@ TEMPLATES = {
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "lgpl": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
-        "SPDX-License-Identifier: LGPL-2.1-only",
     ],
     "mit": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-        "SPDX-License-Identifier: MIT",
     ],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+        "The accompanying program is provided under the terms of this Eclipse Public License (\"Agreement\").",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "unlicense": ["This is free and unencumbered software released into the public domain."],
+}
+
+#: Identifiers of each family, as in a line ``SPDX-License-Identifier: ...``.
+IDENTIFIERS = {
+    "agpl": ["AGPL-3.0-only", "AGPL-3.0-or-later", "AGPL-3.0"],
+    "apache": ["Apache-2.0", "Apache-1.1"],
+    "bsd": ["BSD-3-Clause", "BSD-2-Clause", "0BSD"],
+    "cc-by": ["CC-BY-4.0", "CC-BY-3.0"],
+    "cc-by-nc": ["CC-BY-NC-4.0"],
+    "cc-by-sa": ["CC-BY-SA-4.0", "CC-BY-SA-3.0"],
+    "cc0": ["CC0-1.0"],
+    "epl": ["EPL-2.0", "EPL-1.0"],
+    "gpl": ["GPL-3.0-or-later", "GPL-3.0-only", "GPL-2.0-or-later", "GPL-2.0-only", "GPL-3.0", "GPL-2.0"],
+    "isc": ["ISC"],
+    "lgpl": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "mit": ["MIT", "MIT-0"],
+    "mpl": ["MPL-2.0"],
+    "unlicense": ["Unlicense"],
+}
+
+#: Headings of each family. They count only where they are a line of their own.
+HEADINGS = {
+    "agpl": ["GNU Affero General Public License"],
+    "apache": ["Apache License", "Apache License, Version 2.0", "Apache License, Version 2.0, January 2004"],
+    "bsd": ["BSD License", "BSD 2-Clause License", "BSD 3-Clause License"],
+    "cc-by": ["Attribution 4.0 International", "Creative Commons Attribution 4.0 International"],
+    "cc-by-sa": ["Attribution-ShareAlike 4.0 International"],
+    "cc0": ["CC0 1.0 Universal"],
+    "epl": ["Eclipse Public License", "Eclipse Public License - v 2.0"],
+    "gpl": ["GNU General Public License", "GNU General Public License v3.0"],
+    "isc": ["ISC License", "The ISC License"],
+    "lgpl": ["GNU Lesser General Public License"],
+    "mit": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License Version 2.0"],
+    "unlicense": ["The Unlicense"],
 }
+TEMPLATES = {f: [*texts, *(f"SPDX-License-Identifier: {i}" for i in IDENTIFIERS[f])] for f, texts in NOTICES.items()}
 
 #: Ways of speaking of licenses that grant none; they teach ``unknown``.
 OTHER = [
@@ -97,18 +136,29 @@ def disturbed(w: list[str], filler: list[str], rng: random.Random) -> list[str]:
     return [*before, *out, *after]
 
 
-def corpus_lines(docs: DataFrame, at_most: int) -> list[str]:
-    """At most ``at_most`` distinct lines of the corpus, of 2000 characters at most, for training: those with the smallest hashes."""
+def corpus_lines(docs: DataFrame, at_most: int, longest: int = 2000) -> list[str]:
+    """At most ``at_most`` distinct lines of the corpus, for training: those with the smallest hashes.
+
+    ``at_most`` and ``longest``, the characters of a line that may teach, bound the sample. The distinct lines are
+    estimated first, and only those whose hash lies under a limit that leaves some twice as many as wanted are sorted; so
+    the driver gets that many at most, from all tasks together, however large the corpus is.
+    """
     lines = docs.where(F.col("text").isNotNull()).select(F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.where((F.xxhash64("line") % 64 == 0) & (F.length("line") <= 2000))
-    return [r["line"] for r in lines.distinct().orderBy(F.xxhash64("line", F.lit("draw"))).limit(at_most).collect()]
+    lines = lines.where(F.length("line") <= longest).withColumn("draw", F.xxhash64("line", F.lit("draw")))
+    n = lines.agg(F.approx_count_distinct("line", 0.02)).first()[0]
+    limit = -(1 << 63) + min((1 << 64) - 1, (1 << 64) * 2 * at_most // max(n, 1))
+    drawn = lines.where(F.col("draw") <= limit).select("line", "draw").distinct()
+    return [r["line"] for r in drawn.orderBy("draw", "line").limit(at_most).collect()]
 
 
 class Notice:
-    """A template: its bigrams, how often it has each, and the pairs of words that are up to three places apart, in order."""
+    """A template: its bigrams, how often it has each, and the pairs of words that are up to three places apart, in order.
 
-    def __init__(self, family: str, w: list[str]):
-        self.family, self.counts = family, Counter(zip(w, w[1:]))
+    ``heading`` tells that it counts only where it is a line of its own.
+    """
+
+    def __init__(self, family: str, w: list[str], heading: bool = False):
+        self.family, self.words, self.heading, self.counts = family, w, heading, Counter(zip(w, w[1:]))
         self.pairs = set(self.counts)
         self.near = {*self.pairs, *zip(w, w[2:]), *zip(w, w[3:])}
 
@@ -120,10 +170,11 @@ class Notice:
 class Model:
     """Weights of the n-grams for each class (``unknown`` first), the temperature, and the templates' bigrams."""
 
-    def __init__(self, index, weights, bias, temperature, templates):
+    def __init__(self, index, weights, bias, temperature, templates, headings):
         self.index, self.weights, self.bias, self.temperature = index, weights, bias, temperature
         self.families = [UNKNOWN, *templates]
         self.notices = [Notice(f, w) for f, ts in templates.items() for w in ts]
+        self.notices += [Notice(f, w, True) for f, ts in headings.items() for w in ts]
         self.templates = {f: [n.pairs for n in self.notices if n.family == f] for f in templates}
         self.holders = {}  # bigram: numbers of the notices that have it
         for k, n in enumerate(self.notices):
@@ -166,6 +217,11 @@ class Model:
             n = len(notice.pairs)
             if count / n < share:
                 continue
+            if notice.heading:
+                for i, w in enumerate(lines):
+                    if w == notice.words and self.classify_words(w, least, share)[0] == notice.family:
+                        found.append((n, 0, i, k, set(notice.pairs)))
+                continue
             own = [Counter(g for g in zip(w, w[1:]) if g in notice.pairs) for w in lines]
             over = [notice.pairs & {(a[-1], b[0])} for a, b in zip(lines, lines[1:])] + [set()]
             for i in range(len(lines)):
@@ -222,26 +278,28 @@ def fit(lines: list[str], copies: int = 60, rounds: int = 400, seed: int = 5) ->
     """
     rng = random.Random(seed)
     templates = {f: [words(t) for t in ts] for f, ts in TEMPLATES.items()}
+    headings = {f: [words(t) for t in ts] for f, ts in HEADINGS.items()}
     pairs = {f: [set(zip(w, w[1:])) for w in ts] for f, ts in templates.items()}
-    index = {g: i for i, g in enumerate(sorted({g for ts in templates.values() for w in ts for g in grams(w)}))}
+    taught = {f: [*ts, *headings.get(f, [])] for f, ts in templates.items()}
+    index = {g: i for i, g in enumerate(sorted({g for ts in taught.values() for w in ts for g in grams(w)}))}
     unknown = [words(x) for x in [*lines, *OTHER * copies]]
     everything = [t for ts in pairs.values() for t in ts]
     unknown = [w for w in unknown if max(len(t & b) / min(len(t), max(len(b), 1)) for b in [set(zip(w, w[1:]))] for t in everything) < 0.6]
     filler = [x for w in unknown for x in w][:5000]
     rows = [(0, w) for w in unknown if any(g in index for g in grams(w))]
-    for c, ts in enumerate(templates.values(), 1):
+    for c, ts in enumerate(taught.values(), 1):
         rows += [(c, disturbed(w, filler, rng)) for w in ts for _ in range(copies)]
     # notices that lost most of their words are unknown, too
     rows += [(0, rng.choices(filler, k=4) + w[i : i + 3]) for ts in templates.values() for w in ts for i in range(0, max(1, len(w) - 3), 3) if filler]
     rng.shuffle(rows)
-    x = np.zeros((len(rows), len(index)))
-    y = np.zeros((len(rows), len(templates) + 1))
+    x = np.zeros((len(rows), len(index)), np.float32)
+    y = np.zeros((len(rows), len(templates) + 1), np.float32)
     for i, (c, w) in enumerate(rows):
         found = [index[g] for g in grams(w) if g in index]
         x[i, found] = max(len(found), 1) ** -0.5
         y[i, c] = 1
     cut = len(rows) * 4 // 5
-    weights, bias = np.zeros((len(index), y.shape[1])), np.zeros(y.shape[1])
+    weights, bias = np.zeros((len(index), y.shape[1]), np.float32), np.zeros(y.shape[1], np.float32)
     for _ in range(rounds):
         z = x[:cut] @ weights + bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
@@ -257,7 +315,7 @@ def fit(lines: list[str], copies: int = 60, rounds: int = 400, seed: int = 5) ->
         return float(-((s - np.log(np.exp(s).sum(axis=1, keepdims=True))) * y[cut:]).sum())
 
     temperature = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=loss)
-    return Model(index, weights, bias, temperature, templates)
+    return Model(index, weights, bias, temperature, templates, headings)
 
 
 def scan(docs: DataFrame, model: Model, least: float = 0.5, share: float = 0.6) -> DataFrame:
