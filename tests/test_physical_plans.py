@@ -13,6 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 ON_FILES = {"scan_csv", "scan_format", "scan_catalog", "schema_drift", "sink_catalog_append", "sink_overwrite"}
 ON_FILES |= {"sink_report_snapshot", "ddl_reports", "run_silver", "run_gold", "run_reports", "scan_csv_inferred"}
 ON_FILES |= {"sink_catalog_type_change_lost", "run_gold_types_lost", "run_gold_as_of", "run_gold_incremental"}
+ON_FILES |= {"scan_csv_one_pass", "run_silver_quarantine"}
 ON_FILES |= {"sink_catalog_type_change", "run_gold_csv_silver", "run_gold_two_loads"}
 
 pytestmark = pytest.mark.skipif(not __import__("os").path.isdir(SF_DIR), reason="no test tables")

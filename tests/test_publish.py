@@ -1,0 +1,142 @@
+"""Five reports as one publication, and the quarantine of malformed rows."""
+
+from pathlib import Path
+
+import pytest
+
+from tests.conftest import rows
+from tests.test_jobs import DAY, NEXT, cfg, gold, reports, snapshot  # noqa: F401
+from tillroll.plans import jobs, run_gold, run_reports, run_silver
+from tillroll.sinks import REPORT_TABLES, finish_publications, publish
+
+
+@pytest.fixture
+def ready(spark, cfg):  # noqa: F811
+    run_silver(spark, cfg())
+    run_gold(spark, gold(cfg))
+    run_reports(spark, reports(cfg))
+    return cfg
+
+
+def days_held(spark, cfg):  # noqa: F811
+    db = cfg().reporting_database
+    return {t: {r[0] for r in spark.table(f"{db}.{t}").select("spst_date").distinct().collect()} for t in REPORT_TABLES}
+
+
+def run_folders(cfg):  # noqa: F811
+    folder = Path(cfg().base_uri) / "reports" / "_runs"
+    return sorted(p.name for p in folder.iterdir()) if folder.exists() else []
+
+
+@pytest.mark.parametrize("failing", ["customer_activity_analysis", "top_performing_subcategories", "customer_purchase_frequency"])
+def test_a_report_that_fails_leaves_all_five(spark, ready, monkeypatch, failing):
+    cfg, before = ready, snapshot(spark, ready())  # noqa: F811
+
+    def fail(*_, **__):
+        from pyspark.sql import functions as F
+
+        return spark.range(3).select(F.raise_error(F.lit("lost")).alias(next(iter(REPORT_TABLES[failing]))))
+
+    monkeypatch.setattr(jobs, failing, fail)
+    for day in (DAY, NEXT):
+        with pytest.raises(Exception, match="lost|INCOMPATIBLE|column"):
+            run_reports(spark, reports(cfg, as_of=day))
+        assert snapshot(spark, cfg()) == before
+    monkeypatch.undo()
+    run_reports(spark, reports(cfg, as_of=NEXT))
+    assert days_held(spark, cfg) == {t: {DAY, NEXT} for t in REPORT_TABLES}
+
+
+@pytest.mark.parametrize("after", [0, 3])
+def test_a_run_that_fails_after_the_switch_is_finished_by_the_next(spark, ready, monkeypatch, after):
+    cfg, put, done = ready, publish.write_snapshot, []  # noqa: F811
+
+    def failing(df, database, name, *rest):
+        if database == cfg().reporting_database:
+            if len(done) == after:
+                raise OSError("lost")
+            done.append(name)
+        put(df, database, name, *rest)
+
+    monkeypatch.setattr(publish, "write_snapshot", failing)
+    with pytest.raises(OSError, match="lost"):
+        run_reports(spark, reports(cfg, as_of=NEXT))
+    monkeypatch.undo()
+    assert len(run_folders(cfg)) == 1
+    for _ in range(2):
+        finish_publications(spark, cfg().reporting_database, cfg().base_uri + "/reports")
+        assert days_held(spark, cfg) == {t: {DAY, NEXT} for t in REPORT_TABLES}
+    assert run_folders(cfg) == []
+    shots = snapshot(spark, cfg())
+    run_reports(spark, reports(cfg, as_of=NEXT))
+    assert snapshot(spark, cfg()) == shots
+
+
+def test_lengths_are_checked_before_the_switch(spark, ready, monkeypatch):
+    cfg, before = ready, snapshot(spark, ready())  # noqa: F811
+    long = "x" * 200
+    real = jobs.top_performing_subcategories
+    monkeypatch.setattr(jobs, "top_performing_subcategories", lambda pm: real(pm).selectExpr(f"'{long}' AS category", "* EXCEPT (category)"))
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|length"):
+        run_reports(spark, reports(cfg))
+    assert snapshot(spark, cfg()) == before
+
+
+def test_nothing_is_left_of_a_run(spark, ready):
+    assert run_folders(ready) == []
+    assert not [d.name for d in spark.catalog.listDatabases() if "_run_" in d.name]
+
+
+def test_appended_reports(spark, ready):
+    once = snapshot(spark, ready())
+    run_reports(spark, reports(ready, mode="append"))
+    twice = snapshot(spark, ready())
+    assert all(sorted(2 * once[t]) == twice[t] for t in REPORT_TABLES)
+
+
+def fates(spark, cfg):  # noqa: F811
+    audit = spark.table(f"{cfg().database}.load_audit")
+    return {(r["dataset"], r["load_date"]): (r["rows"], r["cleaned"], r["dropped"], r["quarantined"], r["malformed_kept"]) for r in audit.collect()}
+
+
+def test_malformed_rows_are_quarantined(spark, cfg):  # noqa: F811
+    raw = Path(cfg().base_uri) / "raw" / "transactions.csv"
+    raw.write_text(raw.read_text() + "6,1,1,2024-01-15 10:30:00,two,1.00,paypal\n7,1,1\n8,1,2,soon,1,1.00,paypal\n9,1,2,2024-01-15 10:30:00,,x,paypal,more\n")
+    counts = run_silver(spark, cfg())
+    assert counts["transactions"] == {"rows": 9, "malformed": 4}
+    db = cfg().database
+    held = spark.table(f"{db}.transactions_quarantine")
+    assert rows(held, "line") == [
+        ("6,1,1,2024-01-15 10:30:00,two,1.00,paypal", False, DAY),
+        ("7,1,1", False, DAY),
+        ("8,1,2,soon,1,1.00,paypal", True, DAY),
+        ("9,1,2,2024-01-15 10:30:00,,x,paypal,more", False, DAY),
+    ]
+    assert rows(spark.table(f"{db}.products_quarantine")) == [("4,Lamp,home,light,word,6", False, DAY)]
+    assert rows(spark.table(f"{db}.customers_quarantine")) == [("3,Cy,C,cy@x.com,uk,Bath,not a date", True, DAY)]
+    assert fates(spark, cfg) == {
+        ("customers", DAY): (3, 2, 1, 0, 1),
+        ("products", DAY): (4, 2, 1, 1, 0),
+        ("transactions", DAY): (9, 5, 1, 3, 1),
+    }
+    for (name, _), (read, cleaned, dropped, quarantined, _) in fates(spark, cfg).items():
+        assert read == cleaned + dropped + quarantined and spark.table(f"{db}.{name}").count() == cleaned
+
+    # the next day has one bad row, and a rerun of the first day without any empties that day's quarantine
+    text = raw.read_text()
+    raw.write_text(text.splitlines()[0] + "\n10,x,1,2024-01-15 10:30:00,1,1.00,paypal\n")
+    run_silver(spark, cfg(as_of=NEXT))
+    raw.write_text("\n".join(text.splitlines()[:6]) + "\n")
+    run_silver(spark, cfg())
+    assert rows(held.sparkSession.table(f"{db}.transactions_quarantine")) == [("10,x,1,2024-01-15 10:30:00,1,1.00,paypal", True, NEXT)]
+    assert fates(spark, cfg)[("transactions", DAY)] == (5, 4, 1, 0, 0)
+
+
+def test_clean_files_make_no_quarantine(spark, cfg):  # noqa: F811
+    raw = Path(cfg().base_uri) / "raw"
+    (raw / "products.csv").write_text("product_id,product_name,category,subcategory,price,supplier_id\n1,a,b,c,10,5\n")
+    run_silver(spark, cfg())
+    names = {t.name for t in spark.catalog.listTables(cfg().database)}
+    assert "customers_quarantine" in names and not {"products_quarantine", "transactions_quarantine"} & names
+    run_silver(spark, cfg(infer_schema=True, as_of=NEXT))
+    assert fates(spark, cfg)[("products", NEXT)] == (1, 1, 0, 0, 0)

@@ -16,8 +16,12 @@ def drop_missing(df: DataFrame, *columns: str) -> DataFrame:
 
     Same rows as ``na.drop``, but written as plain predicates so that ``IsNotNull`` reaches the scan.
     """
-    tests = [_present(df, c) for c in columns]
-    return df.filter(reduce(lambda a, b: a & b, tests)) if tests else df
+    return df.filter(all_present(df, *columns)) if columns else df
+
+
+def all_present(df: DataFrame, *columns: str) -> Column:
+    """Whether a row has all the given columns: what :func:`drop_missing` keeps."""
+    return reduce(lambda a, b: a & b, (_present(df, c) for c in columns))
 
 
 def _present(df: DataFrame, column: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.aggregates import count_where, row_count
 from tillroll.functions.money import holds_whole
 from tillroll.operators.asof import names_as_of, newest_names, newest_rows
+from tillroll.operators.cleaning import all_present
 from tillroll.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
 from tillroll.plans.gold import customer_metrics, product_keys, product_metrics
 from tillroll.plans.reports import (
@@ -18,14 +19,16 @@ from tillroll.plans.reports import (
     customer_segment_value,
     top_performing_subcategories,
 )
-from tillroll.plans.silver import process_customers, process_products, process_transactions
+from tillroll.plans.silver import REQUIRED, process_customers, process_products, process_transactions
 from tillroll.plans.states import customer_state, merged_customers, merged_products, product_customers, product_state
 from tillroll.sinks.ddl import create_report_tables, ensure_database, register_table
-from tillroll.sinks.tables import bind_table, write_catalog, write_overwrite, write_snapshot
+from tillroll.sinks.publish import publish_snapshots
+from tillroll.sinks.tables import bind_table, write_catalog, write_overwrite
 from tillroll.sources.drift import apply_drift, catalog_schemas, discover_datasets, infer_schemas, schema_drift
+from tillroll.sources.infer import scan_csv_once
 from tillroll.sources.scan import CORRUPT_COLUMN, header_schema, scan_catalog, scan_csv, scan_format, scan_parquet
 from tillroll.sources.schemas import GOLD, RAW, SILVER
-from tillroll.sqltext import TEXT_FORMATS, table_name
+from tillroll.sqltext import TEXT_FORMATS, identifier, table_name
 
 PROCESS = {
     "customers": process_customers,
@@ -107,26 +110,38 @@ def run_discovery(spark: SparkSession, cfg: Config) -> dict[str, int]:
     return taken
 
 
+QUARANTINE = "{}_quarantine"
+AUDIT = "load_audit"
+_MALFORMED = "_malformed"
+
+
 def run_silver(spark: SparkSession, cfg: Config) -> dict[str, dict[str, int]]:
     """Clean the three raw CSV files into silver tables, partitioned by ``load_date``.
 
     Columns are found by their header; ones that aren't declared come through as text and are added to the table.
-    Returns the rows read and, under a declared schema, the malformed ones among them, per table. Both are counted
-    while the rows are written, without another pass.
+    Returns the rows read and, under a declared schema, the malformed ones among them, per table. All are counted while
+    the rows are written, without another pass.
+
+    Malformed rows (a value that doesn't fit its declared type, too few or too many values) go to ``<table>_quarantine``
+    as the lines they were, and whether silver has the row, with NULL for what didn't fit. Only a file that has some is
+    read once more for them. ``load_audit`` says what became of each table's rows: those in silver, those without a
+    required value, and those that only the quarantine has add up to the rows read.
     """
     ensure_database(spark, cfg.database)
-    day, counts = cfg.day(spark), {}
+    day, counts, audit = cfg.day(spark), {}, []
     for name, process in PROCESS.items():
         path = cfg.source(f"{name}.csv")
         if cfg.infer_schema:
-            raw, bad = scan_csv(spark, path), F.lit(False)
+            raw, bad = scan_csv_once(spark, path), F.lit(False)
         else:
             raw = scan_csv(spark, path, header_schema(spark, path, RAW[name]), corrupt_column=CORRUPT_COLUMN)
             bad = F.col(CORRUPT_COLUMN).isNotNull()
-        seen = Observation(f"raw {name}")
-        raw = raw.observe(seen, row_count().alias("rows"), count_where(bad).alias("malformed")).drop(CORRUPT_COLUMN)
+        seen, left = Observation(f"raw {name}"), Observation(f"silver {name}")
+        read = raw.observe(seen, row_count().alias("rows"), count_where(bad).alias("malformed"))
+        clean = process(read.withColumn(_MALFORMED, bad).drop(CORRUPT_COLUMN), day)
+        clean = clean.observe(left, row_count().alias("cleaned"), count_where(F.col(_MALFORMED)).alias("kept"))
         write_catalog(
-            process(raw, day),
+            clean.drop(_MALFORMED),
             cfg.database,
             name,
             cfg.target(name),
@@ -135,9 +150,32 @@ def run_silver(spark: SparkSession, cfg: Config) -> dict[str, dict[str, int]]:
             mode=cfg.mode,
         )
         counts[name] = seen.get
+        rows, malformed, kept = counts[name]["rows"], counts[name]["malformed"], left.get["kept"]
+        audit.append((name, rows, left.get["cleaned"], rows - left.get["cleaned"] - (malformed - kept), malformed - kept, kept))
+        _write_quarantine(spark, cfg, name, day, raw.where(bad) if malformed else None)
+    told = "dataset string, rows bigint, cleaned bigint, dropped bigint, quarantined bigint, malformed_kept bigint"
+    write_catalog(
+        spark.createDataFrame(audit, told), cfg.database, AUDIT, cfg.target(AUDIT), partition={"load_date": day}, mode=cfg.mode
+    )
     return counts
 
 
+def _write_quarantine(spark: SparkSession, cfg: Config, name: str, day: date, malformed: DataFrame | None) -> None:
+    """The malformed lines of one table and day; none replace those of an earlier run of that day."""
+    table = QUARANTINE.format(name)
+    bind_table(spark, cfg.database, table, cfg.target(table))
+    if malformed is None:
+        if cfg.mode == "append" or not spark.catalog.tableExists(table_name(cfg.database, table)):
+            return
+        lines = spark.createDataFrame([], "line string, in_silver boolean")
+    else:
+        kept = all_present(malformed, *REQUIRED[name])
+        every = F.xxhash64(*(F.col(identifier(c)) for c in malformed.columns))
+        lines = malformed.where(F.pmod(every, F.lit(2)) < 2)  # holds always, but only columns that are used are parsed
+        lines = lines.select(F.col(CORRUPT_COLUMN).alias("line"), kept.alias("in_silver"))
+    write_catalog(lines, cfg.database, table, cfg.target(table), partition={"load_date": day}, mode=cfg.mode)
+
+
 def run_gold(spark: SparkSession, cfg: Config) -> None:
     """Compute both metrics tables from silver and register them in the catalog.
 
@@ -245,7 +283,8 @@ def run_reports(spark: SparkSession, cfg: Config) -> None:
     """Write the five reports as the day's snapshot under ``out_path``.
 
     Gold is read by name from the catalog; where that has lost the tables, or they are over another folder than
-    ``in_path``, they are registered again.
+    ``in_path``, they are registered again. The five are published together (:func:`tillroll.sinks.publish_snapshots`):
+    a report that fails leaves all five as they were.
     """
     create_report_tables(spark, cfg.reporting_database, cfg.target(""))
     for name, schema in GOLD.items():
@@ -261,5 +300,4 @@ def run_reports(spark: SparkSession, cfg: Config) -> None:
         "top_performing_subcategories": top_performing_subcategories(pm),
         "customer_purchase_frequency": customer_purchase_frequency(cm),
     }
-    for name, df in reports.items():
-        write_snapshot(df, cfg.reporting_database, name, day, cfg.mode)
+    publish_snapshots(spark, reports, cfg.reporting_database, cfg.target(""), day, cfg.mode)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.plans.jobs import Config, run_gold, run_reports, run_silver
+from tillroll.plans.jobs import AUDIT, QUARANTINE, Config, run_gold, run_reports, run_silver
 from tillroll.plans.reports import customer_segment_value
 from tillroll.plans.silver import process_products
 from tillroll.registry import reports as r
@@ -29,6 +29,7 @@ from tillroll.sources.drift import (
     infer_schemas,
     schema_drift,
 )
+from tillroll.sources.infer import scan_csv_once
 from tillroll.sources.scan import scan_catalog, scan_csv, scan_format, scan_parquet, scan_versioned
 from tillroll.sources.schemas import RAW
 from tillroll.sqltext import table_name
@@ -68,6 +69,12 @@ def _scan_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inferred.withColumn("customer_id", F.col("customer_id").cast("bigint"))  # int or bigint, by the values
 
 
+def _scan_csv_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'scan_csv')}/customers.csv"
+    write_overwrite(v.raw_files(spark, sf_dir)["customers"], path, "csv")
+    return scan_csv_once(spark, path).withColumn("customer_id", F.col("customer_id").cast("bigint"))
+
+
 def _scan_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'scan_format')}/transactions"
     write_overwrite(v.tx_raw(spark, sf_dir), path, "orc")
@@ -303,6 +310,35 @@ def _run_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of the raw rows of two runs of a day, counted in the tables; the second run's files hold bad values."""
+    database, base = _database(spark, "retail_quarantine")
+    _write_raw(spark, sf_dir, f"{base}/raw")
+    cfg = Config(base, "raw", "silver", database, as_of=v.AS_OF)
+    run_silver(spark, cfg)
+    raw = v.raw_files(spark, sf_dir)
+    day = F.col("registration_date").cast("string")
+    raw["customers"] = raw["customers"].withColumn("registration_date", F.when(F.col("customer_id") % 9 != 4, day).otherwise("soon"))
+    price = F.col("price").cast("string")
+    raw["products"] = raw["products"].withColumn("price", F.when(F.col("product_id") % 11 != 2, price).otherwise("dear"))
+    number = F.col("quantity").cast("string")
+    raw["transactions"] = raw["transactions"].withColumn("quantity", F.when(F.col("transaction_id") % 13 != 6, number).otherwise("two"))
+    for name, df in raw.items():
+        write_overwrite(df, f"{base}/raw/{name}.csv", "csv")
+    run_silver(spark, cfg)
+    audit = scan_catalog(spark, database, AUDIT).select("dataset", "load_date", F.col("rows").alias("raw"), "dropped")
+    parts = [
+        scan_catalog(spark, database, name).select(F.lit(name).alias("dataset"), F.lit("cleaned").alias("fate")) for name in raw
+    ]
+    for name in raw:
+        held = scan_catalog(spark, database, QUARANTINE.format(name))
+        parts.append(held.select(F.lit(name), F.when(F.col("in_silver"), "malformed_kept").otherwise("quarantined")))
+    fates = reduce(DataFrame.union, parts).groupBy("dataset").pivot("fate", ["cleaned", "malformed_kept", "quarantined"]).count()
+    fates = fates.fillna(0, ["cleaned", "malformed_kept", "quarantined"])
+    out = audit.join(fates, "dataset")
+    return out.withColumn("adds_up", F.col("cleaned") + F.col("dropped") + F.col("quarantined") == F.col("raw"))
+
+
 def _run_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_rows(spark, _gold_config(spark, sf_dir).database)
 
@@ -393,6 +429,7 @@ def _run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scan_csv": _scan_csv,
     "scan_csv_inferred": _scan_csv_inferred,
+    "scan_csv_one_pass": _scan_csv_one_pass,
     "scan_format": _scan_format,
     "scan_parquet": lambda s, d: scan_parquet(s, f"{d}/orders.parquet"),
     "scan_catalog": _scan_catalog,
@@ -404,6 +441,7 @@ QUERIES = {
     "sink_report_snapshot": _sink_report_snapshot,
     "ddl_reports": _ddl_reports,
     "run_silver": _run_silver,
+    "run_silver_quarantine": _silver_quarantine,
     "run_gold": _run_gold,
     "run_gold_csv_silver": _gold_csv_silver,
     "run_gold_two_loads": _gold_two_loads,
@@ -450,6 +488,18 @@ _GOLD_QUARTERS = _SILVER_GOLD.replace(
     "CAST(quantity * CASE WHEN transaction_id % 2 = 1 THEN 0.25 ELSE 1 END AS DECIMAL(12,2)) AS quantity)",
 ).replace(v.PM, v.PM_FRACTIONAL)
 
+#: Of each raw row: whether it has a value of the wrong type, and whether it has all that it must have, without that value.
+_QUARANTINE_SQL = f"""WITH {v.CUSTOMERS_RAW}, {v.PRODUCTS_RAW}, {v.TX_RAW}, fates AS (
+  SELECT 'customers' AS dataset, customer_id % 9 = 4 AS bad, email IS NOT NULL AS kept FROM customers_raw
+  UNION ALL SELECT 'products', product_id % 11 = 2,
+    price IS NOT NULL AND NOT isnan(price) AND supplier_id IS NOT NULL AND product_id % 11 <> 2 FROM products_raw
+  UNION ALL SELECT 'transactions', transaction_id % 13 = 6,
+    quantity IS NOT NULL AND unit_price IS NOT NULL AND transaction_id % 13 <> 6 FROM tx_raw)
+SELECT dataset, {_day(v.AS_OF)} AS load_date, count(*) AS raw, count(*) FILTER (WHERE kept) AS cleaned,
+  count(*) FILTER (WHERE NOT kept AND NOT bad) AS dropped, count(*) FILTER (WHERE NOT kept AND bad) AS quarantined,
+  count(*) FILTER (WHERE kept AND bad) AS malformed_kept, true AS adds_up
+FROM fates GROUP BY dataset"""
+
 #: The transactions of the second day with every fourth product's other name.
 _RENAMED = """FROM (SELECT tx.*, category,
     CASE WHEN transaction_id % 2 = 1 AND product_id % 4 = 0 THEN 'Renamed' ELSE subcategory END AS subcategory
@@ -464,6 +514,7 @@ UNION ALL SELECT * FROM p UNION ALL SELECT product_id, price, 's' || supplier_id
 ORACLES = {
     "scan_csv": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
     "scan_csv_inferred": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
+    "scan_csv_one_pass": f"WITH {v.RAW_CUSTOMERS_FILE} SELECT * FROM customers_file",
     "scan_format": f"WITH {v.TX_RAW} SELECT * FROM tx_raw",
     "scan_parquet": "SELECT * FROM orders",
     "scan_catalog": "SELECT * FROM part",
@@ -495,6 +546,7 @@ UNION ALL SELECT 'products', product_id, {v.initcap_sql("category")}, {v.initcap
        {_day(v.AS_OF)} FROM products_raw WHERE price IS NOT NULL AND NOT isnan(price) AND supplier_id IS NOT NULL
 UNION ALL SELECT 'transactions', transaction_id, CAST(customer_id AS VARCHAR), CAST(product_id AS VARCHAR), unit_price,
        {_day(v.AS_OF)} FROM tx_raw WHERE quantity IS NOT NULL AND unit_price IS NOT NULL""",
+    "run_silver_quarantine": _QUARANTINE_SQL,
     "run_gold": _GOLD_ROWS,
     "run_gold_csv_silver": _GOLD_ROWS,
     "run_gold_two_loads": _GOLD_ROWS,

@@ -7,6 +7,7 @@ from tillroll.sinks.ddl import (
     ensure_database,
     register_table,
 )
+from tillroll.sinks.publish import finish_publications, publish_snapshots
 from tillroll.sinks.tables import bind_table, write_catalog, write_overwrite, write_snapshot
 
 __all__ = [
@@ -15,6 +16,8 @@ __all__ = [
     "bind_table",
     "create_report_tables",
     "ensure_database",
+    "finish_publications",
+    "publish_snapshots",
     "register_table",
     "write_catalog",
     "write_overwrite",

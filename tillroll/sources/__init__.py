@@ -1,5 +1,6 @@
 """Where rows come from: files, catalog tables, and the discovery of their schemas."""
 
+from tillroll.sources.infer import infer_text_schemas, scan_csv_once
 from tillroll.sources.scan import (
     CORRUPT_COLUMN,
     header_schema,
@@ -17,8 +18,10 @@ __all__ = [
     "RAW",
     "SILVER",
     "header_schema",
+    "infer_text_schemas",
     "scan_catalog",
     "scan_csv",
+    "scan_csv_once",
     "scan_format",
     "scan_parquet",
     "scan_versioned",

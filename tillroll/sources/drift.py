@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.sources.infer import infer_text_schemas
 from tillroll.sources.scan import scan_format
 from tillroll.sqltext import columns_ddl, quoted, schema_columns, table_name
 
@@ -36,7 +37,9 @@ def discover_datasets(spark: SparkSession, base: str) -> dict[str, str]:
 
 
 def infer_schemas(spark: SparkSession, datasets: dict[str, str], fmt: str = "csv") -> dict[str, T.StructType]:
-    """Schema of each dataset as Spark infers it from all its rows."""
+    """Schema of each dataset as Spark infers it from all its rows. CSV datasets are read once each, all in one job."""
+    if fmt == "csv":
+        return infer_text_schemas({name: spark.read.option("header", True).csv(path) for name, path in datasets.items()})
     return {name: scan_format(spark, path, fmt).schema for name, path in datasets.items()}
 
 
