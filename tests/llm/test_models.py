@@ -272,6 +272,36 @@ def test_top_k_equals_brute_force(spark, shard, block):
     assert sorted(map(tuple, found.select("query_id", "rank", "vec_id", "score").collect())) == top_by_hand(exact, queries, 5)
 
 
+@pytest.mark.parametrize("block_bytes", [1, 700, 1 << 20])
+def test_top_k_in_blocks_of_queries(spark, block_bytes):
+    """Any size of the blocks gives the same; ties across shards and tasks go to the smaller id."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    found = topk.top_k(df, df.where("vec_id % 20 = 0"), 5, shard_rows=16, block_rows=3, block_bytes=block_bytes)
+    assert sorted(map(tuple, found.collect())) == top_by_hand(rows, range(0, 400, 20), 5)
+
+
+def test_top_k_refuses_scores_that_a_long_cannot_hold(spark):
+    rows = [(1, [3e9, 3e9]), (2, [4e9, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    with pytest.raises(ValueError, match="beyond a long"):
+        topk.top_k(df, df)
+    assert topk.top_k(df, df, scale=0.1).count() == 2
+
+
+def test_a_better_threshold_finds_the_same():
+    rng = np.random.default_rng(4)
+    matrix = rng.integers(-50, 50, (500, 8)).astype(float)
+    shard, q = topk.Shard(np.arange(500), matrix, 8), matrix[3]
+    every = shard.best(3, q, 5)
+    for n in range(5):
+        floor = float(every[n][1])
+        got = shard.best(3, q, 5, floor)
+        assert [r for r in got if r[1] >= floor] == [r for r in every if r[1] >= floor]
+    assert shard.best(3, q, 5, 1e9) == []
+
+
 def test_top_k_of_few_and_of_large_numbers(spark):
     rows = [(1, [1e6, 2e6]), (2, [-3e9, 1e9]), (3, [5e9, 5e9])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")

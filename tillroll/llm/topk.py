@@ -7,25 +7,29 @@ to less than the threshold, are not. A vector that is in no essential posting ca
 their essential scores, and the remaining dimensions are probed, largest bound first, only for those whose score plus
 the bounds still open reaches the threshold. Nothing is cut that could be among the best, so the result is exact.
 
-Each task packs its vectors into shards and its queries into blocks of bounded size, as one row each. Every block meets
-every shard (the stated query set against all rows), and the best of the shards merge per query.
+Vectors are packed into shards of bounded size where they lie. The queries form blocks of bounded size (``BLOCK_BYTES``).
+Each block in turn is broadcast, and every task takes it through the shards that it reads anyway, so a shard is read once
+for a block and never shuffled (the stated query set against all rows). The best that a task has found so far for a query is
+the threshold for its next shard; the best of the tasks merge per query.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component, and rows without an id, take no part;
 missing dimensions count as 0; a query's own row is every row with its id; other repeated rows are candidates each; ties
-go to the smaller id; a query without candidates has no rows; other columns are ignored.
+go to the smaller id; a query without candidates has no rows; other columns are ignored. Vectors whose scores a long can't
+hold are refused by name before anything is compared.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, ship, staged
+from .common import ship, staged
 
 PACK = "ids binary, matrix binary, dims int"
-GROUP = 32
+#: Bytes of a block of queries: what is broadcast at a time.
+BLOCK_BYTES = 64 << 20
 
 
 def usable(vectors: DataFrame, scale: float) -> DataFrame:
@@ -84,11 +88,14 @@ class Shard:
             return x @ q
         return np.array([sum(int(a) * int(b) for a, b in zip(r, q, strict=True)) for r in x], object)
 
-    def best(self, query_id: int, q: np.ndarray, k: int, probe: int = 8) -> list[tuple[int, int]]:
-        """The ``k`` best (id, score), without rows of ``query_id``."""
+    def best(self, query_id: int, q: np.ndarray, k: int, floor: float = -np.inf, probe: int = 8) -> list[tuple[int, int]]:
+        """The ``k`` best (id, score) that reach ``floor``, without rows of ``query_id``."""
         bound = np.maximum(0, np.maximum(q * self.high, q * self.low))
         order = np.argsort(-bound, kind="stable")
         open_after = np.concatenate((np.cumsum(bound[order][::-1])[::-1], [0.0]))  # sum of the bounds from term j on
+        slack = 1e-12 * open_after[0]  # doubles round sums over 2 ** 53
+        if open_after[0] + slack < floor:
+            return []
         other = self.ids != query_id
         # the first threshold: exact scores of the vectors that lead in the strongest term
         lead = np.flatnonzero(other)
@@ -96,8 +103,9 @@ class Shard:
             part = self.columns[order[0]][lead] * np.sign(q[order[0]])
             lead = lead[np.argpartition(-part, 8 * k)[: 8 * k]]
         first = self.scores(lead, q)
-        floor = float(np.sort(first)[-k]) if len(first) >= k else -np.inf
-        floor -= 1e-12 * open_after[0]  # doubles round sums over 2 ** 53
+        if len(first) >= k:
+            floor = max(floor, float(np.sort(first)[-k]))
+        floor -= slack
         essential = int(np.searchsorted(-open_after, -floor, side="right")) if floor > -np.inf else len(order)
         essential = min(essential, len(order))  # terms from here on sum to less than the threshold
         signed = self.columns[order[:essential]] * q[order[:essential], None]
@@ -115,40 +123,88 @@ class Shard:
         return found[:k]
 
 
+def refuse_large(*sides: DataFrame) -> None:
+    """Raises if the largest component of each side and the dimensions allow a score beyond a long."""
+    found = [s.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("x"), F.max(F.size("v")).alias("d")).first() for s in sides]
+    (a, m), (b, n) = ((r["x"] or 0.0, r["d"] or 0) for r in found)
+    if a * b * min(m, n) >= 2.0**63:
+        raise ValueError("top_k: components are so large that a score may be beyond a long")
+
+
+def block_of(packs: list) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and the matrix of several packs of queries."""
+    parts = [unpacked(r["ids"], r["matrix"], r["dims"]) for r in packs]
+    dims = max(m.shape[1] for _, m in parts)
+    return np.concatenate([i for i, _ in parts]), np.concatenate([np.pad(m, ((0, 0), (0, dims - m.shape[1]))) for _, m in parts])
+
+
+def search(shards: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> DataFrame:
+    """query_id, vec_id, score: each task's best for the queries."""
+    spark = shards.sparkSession
+    block = spark.sparkContext.broadcast((ids, matrix))
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, q_matrix = block.value
+        found: list[list[tuple[int, int]]] = [[] for _ in q_ids]
+        for batch in batches:
+            for row in zip(*(batch[c] for c in ("ids", "matrix", "dims")), strict=True):
+                own = unpacked(row[0].as_buffer(), row[1].as_buffer(), row[2].as_py())
+                dims = max(own[1].shape[1], q_matrix.shape[1])
+                shard = Shard(*own, dims)
+                queries = np.pad(q_matrix, ((0, 0), (0, dims - q_matrix.shape[1])))
+                for n, query_id in enumerate(q_ids.tolist()):
+                    so_far = found[n]
+                    floor = float(so_far[k - 1][1]) if len(so_far) == k else -np.inf
+                    better = shard.best(query_id, queries[n], k, floor)
+                    if better:
+                        found[n] = sorted(so_far + better, key=lambda r: (-r[1], r[0]))[:k]
+        for at in range(0, len(found), 1 << 14):
+            rows = [(q, i, s) for q, own in zip(q_ids[at : at + (1 << 14)].tolist(), found[at : at + (1 << 14)], strict=True) for i, s in own]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["query_id", "vec_id", "score"])
+
+    ship(spark)
+    out = staged(shards.mapInArrow(one, "query_id bigint, vec_id bigint, score bigint"), "found")
+    block.destroy()
+    return out
+
+
 def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, shard_rows: int = 1024, block_rows: int = 512
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int = 5,
+    scale: float = 256.0,
+    shard_rows: int = 1024,
+    block_rows: int = 1024,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """For each query row (vec_id, embedding): query_id, rank, vec_id, score of its ``k`` best rows in ``vectors``.
 
-    A block meets the shards in groups of ``GROUP``, so no task has to see them all.
+    ``block_rows`` queries go together to the driver, and as many of these as fit ``block_bytes`` make a block.
     """
-    shards = staged(packed(usable(vectors, scale), shard_rows), "shards")
-    blocks = staged(packed(usable(queries, scale).dropDuplicates(["id"]), block_rows), "blocks")
-    n_blocks, n_groups = max(1, blocks.count()), -(-shards.count() // GROUP) or 1
-
-    def number(n: int) -> Column:
-        return F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    blocks = blocks.select(
-        F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.col("dims").alias("q_dims"), number(n_blocks).alias("block"), every(n_groups).alias("group")
-    )
-    pairs = shards.select("*", number(n_groups).alias("group"), every(n_blocks).alias("block")).join(blocks, ["block", "group"])
-
-    def one(batch: pa.RecordBatch) -> list[tuple]:
-        out = []
-        for i in range(len(batch)):
-            (r,) = batch.slice(i, 1).to_pylist()
-            q_ids, q_matrix = unpacked(r["q_ids"], r["q_matrix"], r["q_dims"])
-            dims = max(r["dims"], r["q_dims"])
-            shard = Shard(*unpacked(r["ids"], r["matrix"], r["dims"]), dims)
-            for query_id, q in zip(q_ids.tolist(), np.pad(q_matrix, ((0, 0), (0, dims - r["q_dims"]))), strict=True):
-                out += [(query_id, vec_id, score) for vec_id, score in shard.best(query_id, q, k)]
-        return out
-
-    found = map_rows(pairs, one, "query_id bigint, vec_id bigint, score bigint")
+    rows, asked = usable(vectors, scale), usable(queries, scale).dropDuplicates(["id"])
+    refuse_large(asked, rows)
+    shards = staged(packed(rows, shard_rows), "shards")
+    packs = staged(packed(asked, block_rows), "queries")
+    found = None
+    for block in in_bytes(packs.toLocalIterator(), block_bytes):
+        best = search(shards, *block_of(block), k)
+        found = best if found is None else found.unionByName(best)
+    if found is None:
+        found = vectors.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def in_bytes(packs: Iterator, most: int) -> Iterator[list]:
+    """Packs of queries in lists of at most ``most`` bytes, or of one pack."""
+    held, size = [], 0
+    for pack in packs:
+        if held and size + len(pack["matrix"]) > most:
+            yield held
+            held, size = [], 0
+        held.append(pack)
+        size += len(pack["matrix"])
+    if held:
+        yield held
