@@ -10,7 +10,9 @@
    that are in another component by then; confirmed links give first components.
 5. Buckets that still hold several components: their pairs across components are estimated inside the join, by finer
    signatures of one bit per minimum, and those that may be links are confirmed as well, each pair once. Members of one
-   component need no further links, so a bucket of copies costs as many pairs as it has members.
+   component need no further links, so a bucket of copies costs as many pairs as it has members. In buckets of over
+   ``MANY`` components, as families of texts from one template make, only members meet that share one of their rarest
+   shingles: of two sets that are similar enough, those are known to overlap, and what comes from the template isn't rare.
 6. Components of all confirmed links; every document gets its smallest id.
 
 A pair right at a similarity of 0.8 shares no band with probability (1 - 0.8 ** rows) ** bands, 5e-6 by default.
@@ -27,7 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascend, descend, map_rows, match_rows, only_ids, row_keys, site_count, site_of, staged
@@ -36,6 +38,8 @@ from .components import components
 WHITE = re.compile(rb"[\x20\x09-\x0D]")
 PIECE = 1 << 20
 GIANT = 64
+#: Components of a bucket beyond which its members meet by their rarest shingles.
+MANY = 64
 FEATURES = "doc_id bigint, row_1 bigint, row_2 bigint, n_shingles bigint, digest binary, signature array<bigint>, bands array<bigint>"
 
 
@@ -176,6 +180,31 @@ def sets_of(docs: DataFrame, width: int, minima_of: int = 0) -> DataFrame:
     return map_rows(docs.select("text"), one, "digest binary, n_shingles bigint, items binary, fine array<bigint>")
 
 
+def rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """node, token and ``first``: the rarest shingles of each set (node, items), as many as it takes.
+
+    Under any order of all shingles (here that of their counts), two sets that have ``percent`` of their union in common
+    share a shingle among the first n - ceil(t * n) + 1 of the larger and the first n - ceil(2 * t / (1 + t) * n) + 1 of the
+    smaller one, t being the share and n a set's size: with fewer, too little would be left to overlap. ``first`` marks the
+    latter. So a set's own shingles, which come before those of a template, settle whom it meets as the smaller one.
+    """
+
+    def one(batch: pa.RecordBatch) -> list[tuple]:
+        sets = (np.frombuffer(x.as_buffer(), np.int64) for x in batch["items"])
+        return [(node, len(s), s.tolist()) for node, s in zip(batch["node"].to_pylist(), sets, strict=True)]
+
+    def ceiling(part: int, whole: int) -> Column:
+        return F.call_function("div", F.col("n") * part + (whole - 1), F.lit(whole))
+
+    each = map_rows(sets.select("node", "items"), one, "node bigint, n bigint, items array<bigint>")
+    each = staged(each.select("node", "n", F.explode("items").alias("token")), "shingles")
+    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    order = Window.partitionBy("node").orderBy("uses", "token")
+    ranked = each.join(counts, "token").withColumn("rank", F.row_number().over(order))
+    first = F.col("rank") <= F.col("n") - ceiling(2 * percent, 100 + percent) + 1
+    return ranked.where(F.col("rank") <= F.col("n") - ceiling(percent, 100) + 1).select("node", "token", first.alias("first"))
+
+
 def estimate(a: list[Column], b: list[Column], n: int, bits: int) -> Column:
     """Similarity from packed signatures: the share of agreeing minima, less what agrees by chance."""
     ones = sum(1 << i for i in range(0, 64, bits))
@@ -291,7 +320,10 @@ def labelled(
     sets = sets_for(mixed, fine, "mixed_sets")
     words = (fine + 63) // 64
     short = reps.select("node", F.transform("bands", lambda k: F.hash(k)).alias("keys"))
-    rows_in = mixed.join(sets.select("node", "n_shingles", *(F.col("fine")[i].alias(f"s{i}") for i in range(words))), "node")
+    fine_bits = sets.select("node", "n_shingles", *(F.col("fine")[i].alias(f"s{i}") for i in range(words)))
+    crowded = mixed.groupBy("band").agg(F.count_distinct("component").alias("n")).where(F.col("n") > MANY).select("band")
+    crowded = staged(crowded, "crowded")
+    rows_in = mixed.join(crowded, "band", "left_anti").join(fine_bits, "node")
     rows_in = staged(rows_in.join(short, "node"), "across")
     sx, sy = ([F.col(f"{t}.s{i}") for i in range(words)] for t in "xy")
     before = F.zip_with(F.slice("x.keys", 1, F.col("x.index")), F.slice("y.keys", 1, F.col("x.index")), lambda p, q: p == q)
@@ -300,7 +332,15 @@ def labelled(
     pair = pair & (estimate(sx, sy, fine, 1) >= least_estimate(percent, fine, 1))
     pair = pair & ~F.exists(before, lambda same: same)  # else the pair has met in an earlier band
     across = rows_in.alias("x").join(rows_in.alias("y"), pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    final = components(links.unionByName(confirmed(across, sets, percent)))
+    links = links.unionByName(confirmed(across, sets, percent))
+    if not crowded.isEmpty():
+        met = crowded_pairs(mixed.join(crowded, "band", "left_semi"), sets, percent)
+        x, y = ([F.col(f"{c}.fine")[i] for i in range(words)] for c in "xy")
+        bits_of = sets.select("node", "fine")
+        met = met.join(bits_of.alias("x"), F.col("a") == F.col("x.node")).join(bits_of.alias("y"), F.col("b") == F.col("y.node"))
+        met = met.where(estimate(x, y, fine, 1) >= least_estimate(percent, fine, 1)).select("a", "b")
+        links = links.unionByName(confirmed(met, sets, percent))
+    final = components(links)
 
     # the smallest id of each component, and so of its classes
     linked = staged(final.join(classes.select("node", "rep"), "node"), "linked")
@@ -315,6 +355,19 @@ def labelled(
     return grouped.unionByName(alone.withColumn("component", F.lit(None).cast("bigint")).select(rows_out))
 
 
+def crowded_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different components that share a band and may overlap by their rarest shingles, once each."""
+    own = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", "items", "n_shingles")
+    rows = members.select("node", "band", "component").join(rarest(own, percent), "node").join(own.select("node", "n_shingles"), "node")
+    rows = staged(rows, "rarest")
+    x, y = F.col("x.n_shingles"), F.col("y.n_shingles")
+    pair = (F.col("x.band") == F.col("y.band")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
+    pair = pair & (x <= y) & (x * 100 >= y * percent)
+    met = rows.where("first").alias("x").join(rows.alias("y"), pair)
+    ends = [f("x.node", "y.node") for f in (F.least, F.greatest)]
+    return staged(met.select(ends[0].alias("a"), ends[1].alias("b")).distinct(), "crowded_pairs")
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay, one of each group, with all their columns.
 
