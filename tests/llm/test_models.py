@@ -68,6 +68,66 @@ def test_long_texts_are_counted_in_pieces(monkeypatch):
     assert langid.unit(langid.damped(whole)) @ langid.unit(langid.damped(pieces)) > 0.98
 
 
+def grams_by_hand(text):
+    """Counts of the n-grams of one to three letters, words in lower case with a blank on both sides."""
+    words, word = [], ""
+    for c in text or "":
+        low = c.lower() if len(c.lower()) == 1 else c
+        if c.isalpha():
+            word += low
+        elif word:
+            words, word = [*words, word], ""
+    words += [word] if word else []
+    if not words:
+        return None
+    joined, found = " " + " ".join(words) + " ", {}
+    for n in (1, 2, 3):
+        for i in range(len(joined) - n + 1):
+            code = 0
+            for c in joined[i : i + n]:
+                code = code << 21 | ord(c)
+            place = (code * 0x9E3779B97F4A7C15 % 2**64) >> (64 - langid.BITS)
+            found[place] = found.get(place, 0) + 1
+    return found
+
+
+def test_predictions_by_hand(spark, edge_docs):
+    """Each text's n-grams counted one by one, and its cosine with every centroid."""
+    table = docs(spark).select("doc_id", "lang", "text").unionByName(edge_docs.where("doc_id IS NULL OR doc_id <> 8 AND doc_id <> 9").select("doc_id", "lang", "text"))
+    model = langid.fit(table)
+    got = langid.identify(table, model).collect()
+    texts = {(r["doc_id"], r["text"]) for r in table.collect()}
+    by_id = {}
+    for doc_id, text in texts:
+        by_id.setdefault(doc_id, []).append(text)
+    assert len(got) == table.count()
+    checked = 0
+    for r in got:
+        if len(by_id[r["doc_id"]]) > 1:
+            continue
+        counts = grams_by_hand(by_id[r["doc_id"]][0])
+        if counts is None:
+            assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
+            continue
+        weights = {p: n**0.5 * float(model.idf[p]) for p, n in counts.items()}
+        size = sum(w * w for w in weights.values()) ** 0.5
+        cosines = [sum(w * float(c[p]) for p, w in weights.items()) / size for c in model.centroids]
+        best = max(cosines)
+        assert abs(r["score"] - best) < 1e-4
+        assert r["lang_pred"] in {model.languages[i] for i, x in enumerate(cosines) if x > best - 1e-5}
+        assert r["rejected"] == (best < model.least) or abs(best - model.least) < 1e-5
+        checked += 1
+    assert checked > 150
+
+
+def test_too_many_languages_are_refused(spark):
+    rows = [(i, f"l{i % 9}", f"text number {i}") for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    with pytest.raises(ValueError, match="9 languages"):
+        langid.fit(table, most_languages=8)
+    assert len(set(langid.fit(table, most_languages=9).languages)) == 9
+
+
 def test_the_sample_is_bounded(spark):
     rows = langid.training_sample(docs(spark, "/root/testdata/sf0.01"), 20).groupBy("lang").count().collect()
     assert len(rows) == 4 and all(0 < r["count"] <= 20 for r in rows)

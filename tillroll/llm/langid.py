@@ -10,7 +10,7 @@ Fitting uses at most ``per_language`` labelled texts of each language (a bound o
 hash); prediction covers every text, whole.
 
 Defined results: ``und``, score 0 and rejected for a null text or one without a letter, and for all texts if nothing was
-learned; rows without language or id teach nothing; repeated rows get the same verdict; ties go to the first language in
+learned; rows without language or id teach nothing; more languages than ``most_languages`` are refused by name; repeated rows get the same verdict; ties go to the first language in
 order; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -94,16 +94,15 @@ def held_out():
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-MOST_LANGUAGES = 1000
-
-
-def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
+def training_sample(docs: DataFrame, per_language: int, most_languages: int = 1000) -> DataFrame:
     """At most ``per_language`` rows (lang, text) of each language, drawn by a hash of the id.
 
-    At most ``MOST_LANGUAGES`` languages, those with the most rows, are learned, so that the model's size is bounded.
+    More than ``most_languages`` languages are refused, since each takes its place in the model.
     """
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    sizes = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    if (n := sizes.count()) > most_languages:
+        raise ValueError(f"{n} languages to learn, most_languages is {most_languages}")
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     few = rows.join(F.broadcast(sizes), "lang").where(draw * F.col("n") < 1.2 * per_language + 50)
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -132,8 +131,10 @@ class Model:
         return names, score, ~known | (score < self.least)
 
 
-def fit(docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection: float = 0.35) -> Model:
-    """A model of the labelled rows that may teach. ``rejection``: see above."""
+def fit(
+    docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection: float = 0.35, most_languages: int = 1000
+) -> Model:
+    """A model of the labelled rows that may teach. ``rejection``: see above; ``most_languages`` bounds the model's size."""
 
     def vectors(batch: pa.RecordBatch) -> list[tuple]:
         found = ((lang.as_py(), counts(text.as_py())) for lang, text in zip(batch["lang"], batch["text"], strict=True))
@@ -149,7 +150,7 @@ def fit(docs: DataFrame, per_language: int = 500, clusters: int = 4, rejection:
         least = float((x @ c.T).max(axis=1).min())
         return pd.DataFrame({"lang": key[0], "cluster": range(len(c)), "vector": [v.astype(np.float32).tobytes() for v in c], "least": least})
 
-    sample = staged(map_rows(training_sample(docs, per_language), vectors, "lang string, vector binary"), "langid")
+    sample = staged(map_rows(training_sample(docs, per_language, most_languages), vectors, "lang string, vector binary"), "langid")
     stats = sample.groupBy("lang").applyInPandas(frequencies, "lang string, n bigint, df binary").collect()  # a row for each language
     n = sum(r["n"] for r in stats)
     df = sum((np.frombuffer(r["df"], np.int32) for r in stats), np.zeros(DIM, np.int64))
