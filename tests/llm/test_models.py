@@ -80,7 +80,7 @@ def grams_by_hand(text):
     words += [word] if word else []
     if not words:
         return None
-    joined, found = " " + " ".join(words) + " ", {}
+    joined, found = " " + " ".join(words) + ("" if text[-1].isalpha() else " ") + " ", {}  # the text's end is one more
     for n in (1, 2, 3):
         for i in range(len(joined) - n + 1):
             code = 0
