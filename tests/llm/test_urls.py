@@ -114,18 +114,23 @@ def test_the_weights_are_at_a_minimum(spark):
 
 
 def test_held_out_urls(spark):
-    """Hosts that weren't learned from: four in five of the table's own."""
+    """Names that weren't learned from, a fifth of the table's at a time, whatever prefix and ending they have."""
+
+    def name(url):
+        return re.sub(r"^(www|blog|m)\.", "", split_by_hand(url)[0]).rpartition(".example.")[0]
+
     table = urls.labelled_urls()
-    hosts = sorted({split_by_hand(u)[0] for u, _ in table})
+    names = sorted({name(u) for u, _ in table})
+    assert len(names) == len(urls.BLOCKED_NAMES) + len(urls.ALLOWED_NAMES)
     right = total = 0
     for fold in range(5):
-        out = set(hosts[fold::5])
-        model = urls.fit(spark.createDataFrame([r for r in table if split_by_hand(r[0])[0] not in out], LABELLED))
+        out = set(names[fold::5])
+        model = urls.fit(spark.createDataFrame([r for r in table if name(r[0]) not in out], LABELLED))
         for url, label in table:
-            if split_by_hand(url)[0] in out:
+            if name(url) in out:
                 right += (model.probability(*split_by_hand(url)) >= 0.5) == (label == "block")
                 total += 1
-    assert total == len(table) and right / total > 0.85
+    assert total == len(table) and right / total > 0.8
 
 
 def test_the_given_pages(spark, model):

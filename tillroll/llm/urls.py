@@ -31,37 +31,32 @@ SIZES = (2, 3, 4, 5)
 PIECE = 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Hosts and paths of the labelled table that the query learns from. Each host goes with each path of a
-#: few, by turns.
-BLOCKED_HOSTS = """best-casino.example online-casino24.example casino-royal-bonus.example grand-win-slots.example
-win-big-slots.example jackpot-winner.example poker-free-chips.example bet365-mirror.example bets-live.example
-sport-bets-now.example free-spins.example cheap-meds.example pills-online.example viagra-pills.example
-cheap-watches.example cheap-replica-bags.example discount-pills-shop.example weight-loss-pills.example
-adult-video.example adult-chat-live.example hot-adult-cams.example xxx-movies.example x-rated-clips.example
-sexy-dates.example spam-links.example spammy-blog-net.example link-farm.example content-farm-seo.example
-seo-farm-links.example ads-server.example ad-track-pixel.example click-track-ads.example tracker-ads.example
-pop-ads-media.example free-gift-cards.example free-iphone-win.example free-download-crack.example
-crack-keygen-warez.example loan-payday-fast.example crypto-double-win.example""".split()
-ALLOWED_HOSTS = """news.example www.city-library.example museum.example university.example physics-lab.example
-blog.gardening.example m.weather.example www.recipes.example history-archive.example open-data.example
-docs.python-guide.example wiki.travel.example maps.example www.hospital.example school-board.example
-m.football-results.example www.theatre.example theory-notes.example blog.author-notes.example other-thoughts.example
-the-river-times.example www.northern-herald.example nation-today.example education-station.example
-www.thunder-rain.example thesis-editor.example m.translation.example stationery.example www.method.example
-anthology.example rethink-health.example blog.theorem.example www.tenth-street.example strathon.example
-m.inthering.example thousand-trees.example athletics-club.example www.brothers-bakery.example
-action-nation.example notable-people.example""".split()
+#: Names, prefixes, endings and paths of the labelled table that the query learns from. By turns, each name goes
+#: with some prefixes, endings and paths, of which only the paths differ between the labels.
+BLOCKED_NAMES = """best-casino online-casino24 casino-royal-bonus grand-win-slots win-big-slots jackpot-winner poker-free-chips
+bet365-mirror bets-live sport-bets-now free-spins cheap-meds pills-online viagra-pills cheap-watches
+cheap-replica-bags discount-pills-shop weight-loss-pills adult-video adult-chat-live hot-adult-cams xxx-movies
+x-rated-clips sexy-dates spam-links spammy-blog-net link-farm content-farm-seo seo-farm-links ads-server
+ad-track-pixel click-track-ads tracker-ads pop-ads-media free-gift-cards free-iphone-win free-download-crack
+crack-keygen-warez loan-payday-fast crypto-double-win""".split()
+ALLOWED_NAMES = """news city-library museum university physics-lab gardening weather recipes history-archive open-data python-guide
+wiki-travel maps hospital school-board football-results theatre theory-notes author-notes other-thoughts
+the-river-times northern-herald nation-today education-station thunder-rain thesis-editor translation stationery
+method anthology rethink-health theorem tenth-street strathon inthering thousand-trees athletics-club brothers-bakery
+action-nation notable-people""".split()
+PREFIXES, ENDINGS = ["", "www.", "blog.", "m."], ["example.com", "example.org", "example.net"]
 BLOCKED_PATHS = ["/", "/win/now", "/en/12", "/bonus/100", "/fr/30.html", "/buy/cheap/4", "/de/7/", "/go/7", "/es/451"]
 ALLOWED_PATHS = ["/", "/about", "/en/12", "/news/today", "/fr/30.html", "/2019/05/story.html", "/de/7/", "/faq", "/es/451"]
 
 
-def labelled_urls() -> list[tuple[str, str]]:
-    """(url, label) of the small table that the registered query learns from."""
+def labelled_urls(variants: int = 3) -> list[tuple[str, str]]:
+    """(url, label) of the small table that the registered query learns from: ``variants`` urls of each name."""
+    sides = ((BLOCK, BLOCKED_NAMES, BLOCKED_PATHS), (ALLOW, ALLOWED_NAMES, ALLOWED_PATHS))
     return [
-        (f"https://{host}{paths[(i + k) % len(paths)]}", label)
-        for label, hosts, paths in ((BLOCK, BLOCKED_HOSTS, BLOCKED_PATHS), (ALLOW, ALLOWED_HOSTS, ALLOWED_PATHS))
-        for i, host in enumerate(hosts)
-        for k in (0, 4)
+        (f"https://{PREFIXES[n % 4]}{name}.{ENDINGS[n % 3]}{paths[(n + n // 9) % len(paths)]}", label)
+        for label, names, paths in sides
+        for i, name in enumerate(names)
+        for n in range(i, i + 5 * variants, 5)
     ]
 
 
