@@ -240,6 +240,33 @@ def test_plans_take_the_best_number_of_middles(low, high):
     assert sum(n for _, n in packing.plan(histogram)) == min(each) < max(each)
 
 
+@pytest.mark.parametrize("low, high, over", [(400, 601, 0.01), (300, 681, 0.005), (100, 601, 0.005), (50, 301, 0.005), (300, 2048, 0.03)])
+def test_plans_of_short_pieces_are_near_the_least(low, high, over):
+    """Pieces of which a sequence takes four and more have patterns, too, and no plan is worse than best fit alone."""
+    lengths = np.random.default_rng(1).integers(low, high, 20000)
+    histogram = np.bincount(lengths, minlength=2049)
+    chosen = packing.plan_or_best_fit(histogram)
+    used = np.zeros_like(histogram)
+    for pattern, n in chosen:
+        assert sum(pattern) <= 2048
+        np.add.at(used, list(pattern), n)
+    assert np.array_equal(used, histogram)
+    sequences, least = sum(n for _, n in chosen), -(-int(lengths.sum()) // 2048)
+    assert sequences <= (1 + over) * least
+    assert sequences <= sum(n for _, n in packing.best_fit(histogram.astype(np.int64), 2048))
+
+
+def test_least_squares_come_down_to_the_histogram():
+    """Also where every length is in many patterns: the misses shrink to little."""
+    histogram = np.bincount(np.random.default_rng(3).integers(300, 681, 20000), minlength=2049).astype(float)
+    rows = packing.patterns(np.flatnonzero(histogram), 2048, 32, 6)
+    x = packing.least_squares(rows, histogram)
+    made = sum(np.bincount(rows[:, j], x, len(histogram)) for j in range(rows.shape[1]))
+    made[0] = 0
+    assert (x >= 0).all() and np.abs(made - histogram).sum() < 0.05 * histogram.sum()
+    assert all(set(r[r > 0]) <= set(np.flatnonzero(histogram)) and r.sum() == 2048 for r in rows)
+
+
 def test_tokens_meet_the_targets(spark):
     table = docs(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").selectExpr("doc_id", "cast(quality AS string) AS domain")

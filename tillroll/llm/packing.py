@@ -2,9 +2,10 @@
 
 1. Each document is tokenised and ended by one id; only longer ones are cut, and the rest of a division is the first
    piece. So all pieces but the first are full.
-2. The histogram of piece lengths (at most ``capacity`` numbers) goes to the driver. Patterns of one to three lengths
-   that fill a sequence exactly are enumerated, of those of three a share, in several sizes. Non-negative least squares fits how often each is used; the counts are
-   rounded to what the histogram holds, and what is left is packed by best fit, whole groups of equal pieces at a time.
+2. The histogram of piece lengths (at most ``capacity`` numbers) goes to the driver. Patterns of one to three lengths, or to
+   six, that fill a sequence exactly are enumerated, of those of three and more a share, in several sizes. Non-negative
+   least squares fits how often each is used; the counts are rounded to what the histogram holds, and what is left is
+   packed by best fit, whole groups of equal pieces at a time.
 3. Pieces of a length are numbered through, first within (length, site), then by the sites' counts, so that a hot
    length is dealt out over all sites. Piece r of a length takes slot r of that length in the plan.
 
@@ -31,6 +32,8 @@ from .common import map_rows, site_count, staged
 CAPACITY = 2048
 #: Numbers of middle lengths to try for the patterns of three.
 MIDDLES = (8, 32)
+#: Numbers of lengths that patterns may have.
+MOST = (3, 6)
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 #: Fixed value: the one special token of the vocabulary.
 END_OF_TEXT = "<|endoftext|>"
@@ -84,22 +87,30 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = "byte_bp
     return map_rows(docs.select("doc_id", "text"), one, PIECES)
 
 
-def patterns(lengths: np.ndarray, capacity: int, middles: int) -> np.ndarray:
-    """Rows of three lengths, largest first and 0 for none, that fill a sequence exactly.
+def patterns(lengths: np.ndarray, capacity: int, middles: int, most: int = 3) -> np.ndarray:
+    """Rows of up to ``most`` lengths, largest first and 0 for none, that fill a sequence exactly.
 
-    All pairs; of the triples, ``middles`` evenly spread middle lengths for each largest one.
+    All pairs; of the triples, ``middles`` evenly spread middle lengths for each largest one; and so of the longer patterns,
+    which hold the largest length as often as makes two others of at most that length fill the rest.
     """
     there = np.zeros(capacity + 1, bool)
     there[lengths] = True
-    out = [(capacity, 0, 0)] if there[capacity] else []
-    out += [(a, capacity - a, 0) for a in range((capacity + 1) // 2, capacity) if there[a] and there[capacity - a]]
-    for a in lengths[(lengths < capacity) & (3 * lengths >= capacity)]:
-        rest = capacity - a
-        b = np.arange((rest + 1) // 2, min(a, rest - 1) + 1)
-        b = b[there[b] & there[rest - b]]
-        for m in b[np.unique(np.linspace(0, len(b) - 1, min(middles, len(b))).astype(int))] if len(b) else []:
-            out.append((a, m, rest - m))
-    return np.array(out, np.int64).reshape(-1, 3)
+    out = [(capacity,)] if there[capacity] else []
+    out += [(a, capacity - a) for a in range((capacity + 1) // 2, capacity) if there[a] and there[capacity - a]]
+    for a in lengths[lengths < capacity]:
+        for times in range(1, most - 1):
+            rest = capacity - times * a
+            if not 2 <= rest <= 2 * a:
+                continue
+            b = np.arange((rest + 1) // 2, min(a, rest - 1) + 1)
+            b = b[there[b] & there[rest - b]]
+            for m in b[np.unique(np.linspace(0, len(b) - 1, min(middles, len(b))).astype(int))] if len(b) else []:
+                out.append((a,) * times + (m, rest - m))
+    table = np.zeros((len(out), most), np.int64)
+    for n in {len(x) for x in out}:
+        at = [i for i, x in enumerate(out) if len(x) == n]
+        table[at, :n] = [out[i] for i in at]
+    return table
 
 
 def least_squares(rows: np.ndarray, histogram: np.ndarray, rounds: int = 400) -> np.ndarray:
@@ -110,11 +121,11 @@ def least_squares(rows: np.ndarray, histogram: np.ndarray, rounds: int = 400) ->
     uses[0] = 0
     scale = 1 / np.sqrt(np.maximum(uses, 1))  # rows of the system that many patterns use weigh less
     weight = (scale**2)[rows] * (rows > 0)
-    step = 1 / max(weight.sum(axis=1).max() * 3, 1e-9)
+    step = 1 / rows.shape[1]  # safe: each length's weight is one over its uses, so a pattern sees at most its own lengths
     x = y = np.zeros(len(rows))
     t = 1.0
     for _ in range(rounds):
-        made = sum(np.bincount(rows[:, j], y, len(histogram)) for j in range(3))
+        made = sum(np.bincount(rows[:, j], y, len(histogram)) for j in range(rows.shape[1]))
         miss = made - histogram
         new = np.maximum(0, y - step * (weight * miss[rows]).sum(axis=1))
         t, old = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
@@ -122,28 +133,61 @@ def least_squares(rows: np.ndarray, histogram: np.ndarray, rounds: int = 400) ->
     return x
 
 
-def plan(histogram: np.ndarray, capacity: int = CAPACITY, middles: tuple[int, ...] = MIDDLES) -> list[tuple[tuple[int, ...], int]]:
+def plan(
+    histogram: np.ndarray, capacity: int = CAPACITY, middles: tuple[int, ...] = MIDDLES, most: tuple[int, ...] = MOST
+) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in one sequence, number of such sequences); uses up ``histogram``, the count of each length from 0.
 
-    Of the plans with each number of ``middles`` the one with the fewest sequences: more patterns fit closer, but each is
-    used less often then, and rounding takes more of it away.
+    Of the plans with each number of ``middles`` and of lengths in a pattern the one with the fewest sequences: more patterns
+    fit closer, but each is used less often then, and rounding takes more of it away. None is tried after one that takes no
+    more sequences than the lengths need in all.
     """
-    return min((fitted(histogram, capacity, m) for m in middles), key=lambda chosen: sum(n for _, n in chosen))
+    least = -(-int((np.arange(len(histogram)) * histogram).sum()) // capacity)
+    plans: list[list[tuple[tuple[int, ...], int]]] = []
+    for n, m in ((n, m) for n in most for m in middles):
+        plans.append(fitted(histogram, capacity, m, n))
+        if sum(times for _, times in plans[-1]) == least:
+            break
+    return shortest(plans)
 
 
-def fitted(histogram: np.ndarray, capacity: int, middles: int) -> list[tuple[tuple[int, ...], int]]:
-    """A plan from the patterns that ``middles`` gives, and best fit for what they leave."""
-    left = histogram.astype(np.int64).copy()
-    left[0] = 0
-    rows = patterns(np.flatnonzero(left), capacity, middles)
-    x = least_squares(rows, left.astype(float))
+def plan_or_best_fit(histogram: np.ndarray, capacity: int = CAPACITY, middles: tuple[int, ...] = MIDDLES) -> list[tuple[tuple[int, ...], int]]:
+    """A plan, or best fit for everything where that takes fewer sequences."""
+    whole = histogram.astype(np.int64).copy()
+    whole[0] = 0
+    return shortest([plan(histogram, capacity, middles), best_fit(whole, capacity)])
+
+
+def shortest(plans: list[list[tuple[tuple[int, ...], int]]]) -> list[tuple[tuple[int, ...], int]]:
+    return min(plans, key=lambda chosen: sum(n for _, n in chosen))
+
+
+def fitted(histogram: np.ndarray, capacity: int, middles: int, most: int = 3) -> list[tuple[tuple[int, ...], int]]:
+    """A plan from the patterns that ``middles`` and ``most`` give, and best fit for what they leave.
+
+    The counts are rounded in several ways, of which the one with the fewest sequences stays.
+    """
+    whole = histogram.astype(np.int64).copy()
+    whole[0] = 0
+    rows = patterns(np.flatnonzero(whole), capacity, middles, most)
+    x = least_squares(rows, whole.astype(float))
+    up = np.ceil(x - 1e-6)
+    short = np.array([len(set(r[r > 0])) < 3 for r in rows], bool)
+    roundings = (np.where(short, up, np.round(x)), np.where(x >= 0.5, up, 0), up)
+    return shortest([rounded(whole, capacity, rows, x, n) for n in roundings])
+
+
+def rounded(whole: np.ndarray, capacity: int, rows: np.ndarray, x: np.ndarray, wanted: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Each pattern as often as ``wanted`` and as the lengths that are left allow, the most used first; then best fit."""
+    left = whole.copy()
     out: list[tuple[tuple[int, ...], int]] = []
     for i in np.argsort(-x, kind="stable"):
-        lengths, times = np.unique(rows[i][rows[i] > 0], return_counts=True)
-        n = min(int(np.ceil(x[i] - 1e-6)) if len(lengths) < 3 else int(round(x[i])), int((left[lengths] // times).min()))
-        if n > 0:
-            left[lengths] -= n * times
-            out.append((tuple(int(v) for v in rows[i] if v), n))
+        if wanted[i] > 0:
+            lengths, times = np.unique(rows[i][rows[i] > 0], return_counts=True)
+            n = min(int(wanted[i]), int((left[lengths] // times).min()))
+            if n > 0:
+                left[lengths] -= n * times
+                out.append((tuple(int(v) for v in rows[i] if v), n))
     return out + best_fit(left, capacity)
 
 
@@ -201,7 +245,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, middles: tuple[int, ...] = M
     histogram = np.zeros(capacity + 1, np.int64)
     for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # capacity rows at most
         histogram[r["length"]] = r["n"]
-    runs = slots(plan(histogram, capacity, middles), capacity)
+    runs = slots(plan_or_best_fit(histogram, capacity, middles), capacity)
     shift, names = np.int64(1 << 44), rows.columns
     starts = runs["length"] * shift + runs["first"]
 
