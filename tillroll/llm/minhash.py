@@ -11,8 +11,9 @@
 5. Buckets that still hold several components: their pairs across components are estimated inside the join, by finer
    signatures of one bit per minimum, and those that may be links are confirmed as well, each pair once. Members of one
    component need no further links, so a bucket of copies costs as many pairs as it has members. In buckets of over
-   ``MANY`` components, as families of texts from one template make, only members meet that share one of their rarest
-   shingles: of two sets that are similar enough, those are known to overlap, and what comes from the template isn't rare.
+   ``MANY`` components, as families of texts from one template make, the members that share one of their rarest shingles
+   meet instead: of two sets that are similar enough, those are known to overlap, and what comes from the template isn't
+   rare.
 6. Components of all confirmed links; every document gets its smallest id.
 
 A pair right at a similarity of 0.8 shares no band with probability (1 - 0.8 ** rows) ** bands, 5e-6 by default.
@@ -334,7 +335,8 @@ def labelled(
     across = rows_in.alias("x").join(rows_in.alias("y"), pair).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     links = links.unionByName(confirmed(across, sets, percent))
     if not crowded.isEmpty():
-        met = crowded_pairs(mixed.join(crowded, "band", "left_semi"), sets, percent)
+        inside = mixed.join(crowded, "band", "left_semi").select("node", "component").distinct()
+        met = crowded_pairs(staged(inside, "inside"), sets, percent)
         x, y = ([F.col(f"{c}.fine")[i] for i in range(words)] for c in "xy")
         bits_of = sets.select("node", "fine")
         met = met.join(bits_of.alias("x"), F.col("a") == F.col("x.node")).join(bits_of.alias("y"), F.col("b") == F.col("y.node"))
@@ -356,13 +358,15 @@ def labelled(
 
 
 def crowded_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of different components that share a band and may overlap by their rarest shingles, once each."""
-    own = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", "items", "n_shingles")
-    rows = members.select("node", "band", "component").join(rarest(own, percent), "node").join(own.select("node", "n_shingles"), "node")
-    rows = staged(rows, "rarest")
+    """The pairs (a, b) of different components that may overlap by their rarest shingles, once each.
+
+    ``members`` has a row for each class (node, component) of the crowded buckets, however many of these it is in.
+    """
+    own = sets.join(members.select("node"), "node", "left_semi").select("node", "items", "n_shingles")
+    about = members.join(own.select("node", "n_shingles"), "node")
+    rows = staged(rarest(own, percent).join(about, "node"), "rarest")
     x, y = F.col("x.n_shingles"), F.col("y.n_shingles")
-    pair = (F.col("x.band") == F.col("y.band")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component"))
-    pair = pair & (x <= y) & (x * 100 >= y * percent)
+    pair = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & (x <= y) & (x * 100 >= y * percent)
     met = rows.where("first").alias("x").join(rows.alias("y"), pair)
     ends = [f("x.node", "y.node") for f in (F.least, F.greatest)]
     return staged(met.select(ends[0].alias("a"), ends[1].alias("b")).distinct(), "crowded_pairs")
