@@ -201,11 +201,10 @@ def _gold_from_rows(spark: SparkSession, cfg: Config, tx: DataFrame, products: D
     names, by_load = _names(spark, cfg, tx, products, cfg.load_date)
     on = ["product_id", "load_date"] if by_load else ["product_id"]
     fits = measured_bytes(product_keys(names, on)) <= cfg.broadcast_limit_bytes
+    chosen = {option: True for option, wanted in (("bitmaps", cfg.bitmaps), ("by_load", by_load)) if wanted}
     return {
         "customer_metrics": customer_metrics(tx),
-        "product_metrics": product_metrics(
-            tx, names, products_are_small=fits, salts=cfg.product_salts, bitmaps=cfg.bitmaps, by_load=by_load
-        ),
+        "product_metrics": product_metrics(tx, names, products_are_small=fits, salts=cfg.product_salts, **chosen),
     }
 
 
